@@ -25,6 +25,15 @@ def floor_div(a, b) -> Column:
     return F.floor(_col(a) / _col(b))
 
 
+def int_floor_div(name: str, n: int) -> Column:
+    """Exact ``x // n`` for an integer column ``name`` and a positive integer
+    constant ``n``: integral ``div`` of ``x - pmod(x, n)``, no detour through
+    double, so 64-bit keys stay exact."""
+    if int(n) <= 0:
+        raise ValueError("n must be positive")
+    return F.expr(f"(`{name}` - pmod(`{name}`, {int(n)})) div {int(n)}")
+
+
 def py_mod(a, b) -> Column:
     """Python ``a % b``: result takes the sign of the divisor."""
     a, b = _col(a), _col(b)
