@@ -1 +1,50 @@
-"""Catalogue module."""
+"""Catalogue: pair reductions over all ``embeddings`` vectors."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import pairs as P
+from ..sources.tables import table
+from .registry import query
+
+CUTOFF = 1e-6
+
+_PAIRS = """d AS (
+  SELECT a.vec_id AS ia, b.vec_id AS ib,
+         list_sum(list_transform(list_zip(a.embedding, b.embedding),
+                  lambda x: (CAST(x[1] AS DOUBLE) - CAST(x[2] AS DOUBLE)) ^ 2)) AS r2
+  FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id)"""
+_LJ = "4 * (pow(1 / r2, 3) * pow(1 / r2, 3) - pow(1 / r2, 3))"
+
+
+@query("pairwise_distance", f"""
+WITH {_PAIRS},
+u AS (SELECT ia AS id, r2 FROM d UNION ALL SELECT ib AS id, r2 FROM d)
+SELECT id, round(min(r2), 6) AS nn_r2, round(sum(r2), 6) AS sum_r2, CAST(count(*) AS BIGINT) AS n_others
+FROM u GROUP BY id""", ids="JN-3, AG-23")
+def pairwise_distance(spark, sf):
+    s = P.nearest_stats(table(spark, sf, "embeddings"), "vec_id", "embedding")
+    return s.select("id", F.round("nn_r2", 6).alias("nn_r2"), F.round("sum_r2", 6).alias("sum_r2"),
+                    "n_others")
+
+
+@query("pairwise_potential", f"""
+WITH {_PAIRS}
+SELECT round(sum({_LJ}), 6) AS energy, CAST(count(*) AS BIGINT) AS n_pairs
+FROM d WHERE r2 > {CUTOFF}""", ids="JN-4, PRJ-8")
+def pairwise_potential(spark, sf):
+    e = P.pair_energy(table(spark, sf, "embeddings"), "vec_id", "embedding", cutoff=CUTOFF)
+    return e.select(F.round("energy", 6).alias("energy"), "n_pairs")
+
+
+# The full-matrix form: nansum over every ordered pair, halved.  The matrix
+# is symmetric and its diagonal is NaN (skipped), so this is the NaN-skipping
+# sum over the unordered pairs, with no cut-off.
+@query("pairwise_potential_full", f"""
+WITH {_PAIRS}
+SELECT round(sum(CASE WHEN isnan({_LJ}) THEN NULL ELSE {_LJ} END), 6) AS energy FROM d""",
+       ids="JN-5, AG-24")
+def pairwise_potential_full(spark, sf):
+    e = P.pair_energy_full(table(spark, sf, "embeddings"), "vec_id", "embedding")
+    return e.select(F.round("energy", 6).alias("energy"))
