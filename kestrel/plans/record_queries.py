@@ -111,3 +111,11 @@ def group_max(spark, sf):
     o = table(spark, sf, "orders")
     return G.group_reduce(o, F.pmod("o_orderkey", F.lit(2)).cast("bigint"),
                           {"max": F.max("o_orderkey"), "n": F.count(F.lit(1))})
+
+
+@query("json_parse", """
+SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
+       ids="SRC-3, FN-10")
+def json_parse(spark, sf):
+    e = table(spark, sf, "events").select("event_id", "event_type", "props")
+    return R.parse_json_records(e, "props", "k BIGINT")

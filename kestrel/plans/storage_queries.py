@@ -1 +1,58 @@
-"""Catalogue module."""
+"""Catalogue: scans, writes and storage layouts on ``customer``.
+
+Builders that write put their files in a fresh folder under the session's
+shared checkpoint folder and return a lazy read of what they wrote.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import storage as S
+from ..session import work_dir
+from ..sources.tables import table
+from .registry import query
+
+LOOKUP_KEY = 42
+STORE_FILES = 8
+TILES = 4
+
+
+@query("parquet_scan", """
+SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 0""", ids="SRC-9")
+def parquet_scan(spark, sf):
+    return table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal") \
+        .filter(F.col("c_acctbal") > 0)
+
+
+@query("parquet_roundtrip", "SELECT * FROM customer", ids="SNK-2, SNK-3, SRC-10")
+def parquet_roundtrip(spark, sf):
+    c = table(spark, sf, "customer")
+    path = S.write_parquet(c, work_dir(spark, "roundtrip"), compression="zstd")
+    return spark.read.parquet(path)
+
+
+@query("sorted_store_lookup", f"""
+SELECT * FROM customer WHERE c_custkey = {LOOKUP_KEY}""", ids="SNK-4, PRJ-6")
+def sorted_store_lookup(spark, sf):
+    c = table(spark, sf, "customer")
+    path = S.write_sorted_store(c, "c_custkey", work_dir(spark, "sorted"), STORE_FILES)
+    return S.lookup(spark, path, "c_custkey", LOOKUP_KEY)
+
+
+@query("categorize", """
+SELECT c_custkey, c_mktsegment, CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS BIGINT)
+       AS c_mktsegment_code
+FROM customer""", ids="SNK-5")
+def categorize(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    coded, _ = S.categorize(c, "c_mktsegment")
+    return coded.select("c_custkey", "c_mktsegment", "c_mktsegment_code")
+
+
+@query("set_index_divisions", f"""
+SELECT CAST(tile AS INTEGER) AS tile, min(c_name) AS lo, max(c_name) AS hi, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT c_name, ntile({TILES}) OVER (ORDER BY c_name) AS tile FROM customer) t
+GROUP BY tile""", ids="SL-5, SL-6")
+def set_index_divisions(spark, sf):
+    return S.exact_divisions(table(spark, sf, "customer"), "c_name", TILES)

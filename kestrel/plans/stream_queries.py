@@ -1 +1,18 @@
-"""Catalogue module."""
+"""Catalogue: the tumbling-window counter (batch form of the stream)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..sources.tables import table
+from ..streaming.counter import tumbling_counts
+from .registry import query
+
+
+@query("tumbling_counter", """
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+       CAST(count(*) AS BIGINT) AS n, round(sum(value), 4) AS total
+FROM events GROUP BY 1, 2""", ids="ST-1, AG-25")
+def tumbling_counter(spark, sf):
+    c = tumbling_counts(table(spark, sf, "events"), "ts", "1 hour", "value")
+    return c.select("window_start", "window_end", "n", F.round("total", 4).alias("total"))

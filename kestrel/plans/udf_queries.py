@@ -1 +1,98 @@
-"""Catalogue module."""
+"""Catalogue: the Python escape hatch (pandas UDFs, chunked group apply,
+two-phase fold, generated sub-frames) and cached reuse."""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
+from ..operators import udf as U
+from ..sources.tables import account, table
+from .registry import query
+
+_ACCOUNT = "account AS (SELECT c_custkey AS id, c_mktsegment AS names, c_acctbal AS amount FROM customer)"
+
+
+def _positive(s: pd.Series) -> pd.Series:
+    return s > 0
+
+
+def _inc_twice(s: pd.Series) -> pd.Series:
+    return s * 2 + 1
+
+
+@query("udf_map", f"""
+WITH {_ACCOUNT} SELECT id, amount * 2 + 1 AS y FROM account WHERE amount > 0""", ids="UD-1")
+def udf_map(spark, sf):
+    a = U.filter_values(account(spark, sf), "amount", _positive)
+    f = U.map_values(_inc_twice, "double")
+    return a.select("id", f(F.col("amount")).alias("y"))
+
+
+def _center(pdf: pd.DataFrame) -> pd.DataFrame:
+    centered = pdf["amount"] - pdf["group_mean"]
+    return pd.DataFrame({"id": pdf["id"], "names": pdf["names"], "centered": centered,
+                         "z": centered / pdf["group_std"]})
+
+
+@query("group_apply", f"""
+WITH {_ACCOUNT}
+SELECT id, names, round(amount - avg(amount) OVER (PARTITION BY names), 6) AS centered,
+       round((amount - avg(amount) OVER (PARTITION BY names)) / stddev_pop(amount) OVER (PARTITION BY names), 6) AS z
+FROM account""", ids="UD-2")
+def group_apply(spark, sf):
+    out = U.apply_in_chunks(account(spark, sf), ["names"], _center,
+                            "id long, names string, centered double, z double",
+                            context={"group_mean": F.avg("amount"),
+                                     "group_std": F.stddev_pop("amount")})
+    return out.select("id", "names", F.round("centered", 6).alias("centered"),
+                      F.round("z", 6).alias("z"))
+
+
+@query("udaf_fold", """
+SELECT CAST(o_orderkey % 2 AS BIGINT) AS key, max(o_orderkey) AS value FROM orders GROUP BY 1""",
+       ids="UD-3, AG-14")
+def udaf_fold(spark, sf):
+    o = table(spark, sf, "orders")
+    return U.fold_by(o, F.pmod("o_orderkey", F.lit(2)).cast("bigint"), "o_orderkey",
+                     np.maximum, np.iinfo(np.int64).min, value_type="bigint")
+
+
+def _day_hours(arg: pd.DataFrame) -> pd.DataFrame:
+    day = arg["day"].iloc[0]
+    return pd.DataFrame({"day": [day] * 24, "hour": np.arange(24, dtype=np.int64)})
+
+
+@query("gen_from_functions", """
+WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events),
+grid AS (SELECT day, CAST(unnest(range(24)) AS BIGINT) AS hour FROM days),
+c AS (SELECT CAST(ts AS DATE) AS day, CAST(hour(ts) AS BIGINT) AS hour, count(*) AS n FROM events GROUP BY 1, 2)
+SELECT g.day, g.hour, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM grid g LEFT JOIN c ON g.day = c.day AND g.hour = c.hour""", ids="SRC-6, SRC-5")
+def gen_from_functions(spark, sf):
+    e = table(spark, sf, "events")
+    days = e.select(F.to_date("ts").alias("day")).distinct()
+    grid = U.from_functions(days, _day_hours, "day date, hour long")
+    counts = e.groupBy(F.to_date("ts").alias("day"), F.hour("ts").cast("bigint").alias("hour")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    return grid.join(counts, ["day", "hour"], "left") \
+        .select("day", "hour", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+
+
+@query("cached_reuse", f"""
+WITH {_ACCOUNT}
+SELECT names, round(avg(amount), 6) AS mean, CAST(count(*) AS BIGINT) AS n FROM account GROUP BY names
+UNION ALL
+SELECT 'ALL' AS names, round(avg(amount), 6) AS mean, CAST(count(*) AS BIGINT) AS n FROM account""",
+       ids="MT-1, MT-3")
+def cached_reuse(spark, sf):
+    # the account frame is read once and reused by both aggregates; the cache
+    # spills to disk under memory pressure and is rebuilt from lineage if an
+    # executor is lost
+    a = account(spark, sf).persist()
+    per = a.groupBy("names").agg(F.avg("amount").alias("mean"), F.count(F.lit(1)).alias("n"))
+    tot = a.agg(F.lit("ALL").alias("names"), F.avg("amount").alias("mean"),
+                F.count(F.lit(1)).alias("n"))
+    return per.unionByName(tot).select("names", F.round("mean", 6).alias("mean"), "n")
+
