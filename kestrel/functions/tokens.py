@@ -52,16 +52,42 @@ def word_tokens(c) -> Column:
     return F.regexp_extract_all(_col(c), F.lit(WORD_CLASS), 0)
 
 
+_REGEX_META = set(".^$*+?()[]{}|\\")
+
+
+def literal_of(pattern: str) -> str | None:
+    """The literal text a regex matches if it is a plain literal (escaped
+    punctuation allowed, e.g. ``\\.``), else ``None``."""
+    out, i = [], 0
+    while i < len(pattern):
+        ch = pattern[i]
+        if ch == "\\":
+            if i + 1 >= len(pattern) or pattern[i + 1].isalnum():
+                return None                     # \d, \w, \Q... are not literals
+            out.append(pattern[i + 1])
+            i += 2
+            continue
+        if ch in _REGEX_META:
+            return None
+        out.append(ch)
+        i += 1
+    return "".join(out) if out else None
+
+
 def delete_patterns(c, patterns: Sequence[str]) -> Column:
     """Remove every match of each Java regex, in list order (duplicates are
-    dropped first, keeping the first occurrence)."""
+    dropped first, keeping the first occurrence).  Literal patterns use a
+    plain string replace, which removes the same left-to-right,
+    non-overlapping matches without the regex engine."""
     out = _col(c)
     seen: list[str] = []
     for p in patterns:
         if p not in seen:
             seen.append(p)
     for p in seen:
-        out = F.regexp_replace(out, p, "")
+        lit = literal_of(p)
+        out = F.replace(out, F.lit(lit), F.lit("")) if lit is not None \
+            else F.regexp_replace(out, p, "")
     return out
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions.tokens import TOKENIZER_DELIMS
 from ..operators import text as T
-from ..sources.tables import lines, table
+from ..sources.tables import documents, lines
 from .registry import query
 
 # The skip-pattern side file of the word-count job (one Java
@@ -68,7 +68,7 @@ SELECT word, CAST(count(*) AS BIGINT) AS n FROM (
 WHERE word <> '' GROUP BY word""", ids="AG-1, AG-4, FN-1")
 def word_count(spark, sf):
     # newline is a delimiter, so tokenising whole texts equals tokenising lines
-    return T.word_count(table(spark, sf, "documents"), "text")
+    return T.word_count(documents(spark, sf).select("text"), "text")
 
 
 @query("wc_skip", _wc_sql(lower=False), ids="AG-2, FN-4, SRC-12")
@@ -110,4 +110,4 @@ def max_words_per_line(spark, sf):
 SELECT CAST(sum(len(regexp_extract_all(text, '[\p{L}\p{N}_]+'))) AS BIGINT) AS n_tokens
 FROM documents""", ids="AG-5, FN-5")
 def regex_word_total(spark, sf):
-    return T.regex_word_total(table(spark, sf, "documents"), "text")
+    return T.regex_word_total(documents(spark, sf).select("text"), "text")

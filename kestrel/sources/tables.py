@@ -20,6 +20,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Hash-distribute ``df`` on ``key`` when its scan yields fewer
+    partitions than the cluster runs tasks at once.
+
+    Used before CPU-heavy per-row work (tokenising, regex) so that a few
+    large files (or a single row group) do not pin that work to a few tasks.
+    On a large input the scan is already split into many tasks and this is
+    a no-op, so no extra shuffle is paid at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Register every table as a temporary view of the same name."""
     for name in TABLES:
@@ -41,7 +56,13 @@ def account(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text lines of ``documents``: ``(doc_id, line_no, line)``, 1-based."""
     from ..operators.text import split_lines
-    return split_lines(table(spark, sf_dir, "documents"), "doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return split_lines(docs, "doc_id", "text")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` spread over all cores before text work (see ``spread``)."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
 
 
 def vector(spark: SparkSession, sf_dir: str) -> DataFrame:
