@@ -4,8 +4,8 @@ query with the same transform.
 The reference reads a running total and resets it on a fixed schedule; on
 event data that is a count (and sum) per tumbling window of event time.  The
 stream form uses a watermark, so state for closed windows is dropped and
-rows later than the watermark are discarded; the number discarded is
-reported from the query's progress.
+rows later than the watermark are discarded; how many (partial aggregates
+of late rows) is reported from the query's progress.
 """
 
 from __future__ import annotations
@@ -50,7 +50,9 @@ def streaming_tumbling_counts(stream: DataFrame, ts: str, every: str = "1 hour",
 class StreamRun:
     output_path: str
     checkpoint: str
-    dropped_late_rows: int
+    # Spark's numRowsDroppedByWatermark: late input counted after the
+    # map-side partial aggregate, i.e. one per (window, task) partial
+    dropped_late_partials: int
     batches: int
 
 
