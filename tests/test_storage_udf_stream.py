@@ -148,3 +148,26 @@ def test_stream_equals_batch_on_complete_windows(spark, scratch):
     assert all(b[k] == v for k, v in s.items())       # every emitted window is complete
     # the 25 late rows reach the watermark check as per-window partials
     assert 1 <= run.dropped_late_partials <= 25, run
+
+
+def test_multi_file_csv_and_generators(spark, scratch):
+    from kestrel.sources import files as FS
+    for i in range(3):
+        with open(os.path.join(scratch, f"accounts.{i}.csv"), "w") as f:
+            f.write("id,names,amount\n")
+            for j in range(10):
+                f.write(f"{i * 10 + j},{'Alice' if j % 2 else 'Zelda'},{(j - 5) * 10}\n")
+    df = FS.read_csv(spark, os.path.join(scratch, "accounts.*.csv"),
+                     "id long, names string, amount long")
+    assert df.count() == 30 and df.filter(F.col("amount") < 0).count() == 15
+    per_file = df.groupBy(F.input_file_name()).count().collect()
+    assert len(per_file) == 3 and sum(r[1] for r in per_file) == 30
+    arr = FS.random_normal(spark, (200, 300), mean=10, std=0.1, seed=3)
+    m = arr.agg(F.avg("value"), F.stddev_pop("value"), F.max("i0"), F.max("i1"),
+                F.count(F.lit(1))).first()
+    assert abs(m[0] - 10) < 0.01 and abs(m[1] - 0.1) < 0.01
+    assert (m[2], m[3], m[4]) == (199, 299, 60000)
+    pts = FS.make_cluster(spark, 500, radius=500, seed=1981)
+    s = pts.select(F.explode("v").alias("x")).agg(F.avg("x"), F.stddev_pop("x")).first()
+    assert abs(s[0] + 0.5) < 60 and 400 < s[1] < 600
+    assert FS.from_sequence(spark, range(1, 11)).count() == 10
