@@ -56,3 +56,39 @@ FROM (SELECT c_name, ntile({TILES}) OVER (ORDER BY c_name) AS tile FROM customer
 GROUP BY tile""", ids="SL-5, SL-6")
 def set_index_divisions(spark, sf):
     return S.exact_divisions(table(spark, sf, "customer"), "c_name", TILES)
+
+
+@query("text_output", """
+SELECT word, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT unnest(regexp_split_to_array(text, '[ \\t\\n\\r\\f]+')) AS word FROM documents) t
+WHERE word <> '' GROUP BY word""", ids="SNK-1, SL-2")
+def text_output(spark, sf):
+    from ..operators import text as T
+    from ..sources.tables import documents
+    counts = T.word_count(documents(spark, sf).select("text"), "text")
+    path = work_dir(spark, "wordcount-text")
+    T.write_key_value_text(counts, path)
+    parts = F.split(F.col("value"), "\t")
+    return spark.read.text(path).select(parts[0].alias("word"), parts[1].cast("bigint").alias("n"))
+
+
+@query("csv_scan", "SELECT * FROM customer", ids="SRC-4, SRC-2")
+def csv_scan(spark, sf):
+    from ..sources.files import read_csv
+    c = table(spark, sf, "customer")
+    path = work_dir(spark, "csv")
+    c.repartition(3).write.option("header", True).csv(path)
+    return read_csv(spark, f"{path}/*.csv", c.schema)
+
+
+@query("gzip_text_scan", """
+SELECT CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars
+FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) t""", ids="SRC-2, SRC-1")
+def gzip_text_scan(spark, sf):
+    from ..sources.files import read_text
+    from ..sources.tables import lines
+    path = work_dir(spark, "gz")
+    lines(spark, sf).select("line").write.option("compression", "gzip").text(path)
+    back = read_text(spark, f"{path}/*.txt.gz")
+    return back.agg(F.count(F.lit(1)).alias("n_lines"),
+                    F.sum(F.length("value")).cast("bigint").alias("n_chars"))
