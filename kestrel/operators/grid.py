@@ -126,15 +126,24 @@ def stack_files(spark, paths: Sequence[str], axis: str = "axis0") -> DataFrame:
 
 
 def anomaly(grid: DataFrame, axis: str, dims: Sequence[str], value: str = "value",
-            at: Column | None = None) -> DataFrame:
+            at=None) -> DataFrame:
     """``grid[at] - grid.mean(axis)``: the slice at ``axis == at`` (default:
     the first axis value) minus the mean over ``axis``, aligned on ``dims``
-    (inner: cells missing from either side are dropped)."""
-    means = grid.groupBy(*dims).agg(F.avg(value).alias("_mean"))
+    (inner: cells missing from the slice are dropped).
+
+    One aggregate per cell gives its mean over ``axis``, its first axis
+    value and the value there (``min_by``); the default slice is then a join
+    with the one-row global minimum of those first values, so the grid is
+    reduced once and no slice is read twice.
+    """
+    cells = grid.groupBy(*dims).agg(F.avg(value).alias("_mean"),
+                                    F.min(axis).alias("_first"),
+                                    F.min_by(F.col(value), F.col(axis)).alias("_v0"))
     if at is None:
-        first = grid.agg(F.min(axis).alias(axis))          # one row: broadcast is safe
-        sl = grid.join(F.broadcast(first), axis)
-    else:
-        sl = grid.filter(F.col(axis) == at)
-    return (sl.join(broadcast_if_small(means), list(dims))
-              .select(*dims, (F.col(value) - F.col("_mean")).alias("anomaly")))
+        first = cells.agg(F.min("_first").alias("_first"))      # one row: broadcast is safe
+        sl = cells.join(F.broadcast(first), "_first")
+        return sl.select(*dims, (F.col("_v0") - F.col("_mean")).alias("anomaly"))
+    means = cells.select(*dims, "_mean")
+    slice_at = grid.filter(F.col(axis) == F.lit(at)).select(*dims, F.col(value).alias("_v"))
+    return (slice_at.join(broadcast_if_small(means), list(dims))
+                    .select(*dims, (F.col("_v") - F.col("_mean")).alias("anomaly")))

@@ -110,18 +110,21 @@ def _modpow_np(base: int, exps: np.ndarray, m: int) -> np.ndarray:
     return result
 
 
-def modpow(base: Column, exp: Column, m: int, bits: int = 48) -> Column:
-    """``base ** exp mod m`` as a Column (square-and-multiply over bits)."""
+def modpow(base: Column, exp: Column, m: int) -> Column:
+    """``base ** exp mod m`` as a Column: square-and-multiply over the bits
+    of ``exp`` (the loop runs bit-length + 1 steps, so small exponents are
+    cheap)."""
+    e0 = exp.cast("bigint")
     init = F.struct(F.lit(1).cast("bigint").alias("r"),
-                    F.pmod(base.cast("bigint"), F.lit(m)).alias("b"),
-                    exp.cast("bigint").alias("e"))
+                    F.pmod(base.cast("bigint"), F.lit(m)).alias("b"), e0.alias("e"))
+    steps = F.when(e0 > 0, F.floor(F.log2(e0)).cast("int") + 1).otherwise(F.lit(0))
 
     def step(acc, _):
         odd = F.pmod(acc["e"], F.lit(2)) == 1
         return F.struct(F.when(odd, F.pmod(acc["r"] * acc["b"], F.lit(m))).otherwise(acc["r"]).alias("r"),
                         F.pmod(acc["b"] * acc["b"], F.lit(m)).alias("b"),
                         F.shiftright(acc["e"], 1).alias("e"))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(bits - 1)), init, step, lambda a: a["r"])
+    return F.aggregate(F.sequence(F.lit(0), steps), init, step, lambda a: a["r"])
 
 
 def ordered_fold(df: DataFrame, key: str, order: Sequence[str], value: str,
