@@ -103,7 +103,9 @@ def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.records import nest_children
     o = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"))
-    li = table(spark, sf_dir, "lineitem").select(
+    # spread by order key: the grouping on (order, file, block) below is then
+    # already clustered and needs no second exchange
+    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(
         F.col("l_orderkey").alias("id"),
         F.pmod(F.col("l_partkey"), F.lit(4)).alias("file"),
         F.expr(f"l_linenumber div {RECORD_BLOCK}").cast("bigint").alias("block"),
