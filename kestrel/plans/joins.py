@@ -16,16 +16,21 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (no job is run)."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (no job is run); ``None`` when the
+    session does not expose the plan (then nothing is hinted)."""
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(str(stats.sizeInBytes()))
+    except Exception:
+        return None
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """``F.broadcast(df)`` when its estimated size is at most ``max_bytes``,
     else ``df`` unchanged."""
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
+    size = estimated_bytes(df)
+    return F.broadcast(df) if size is not None and size <= max_bytes else df
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",

@@ -59,7 +59,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     (HDFS, S3A, ...).  Only when nothing is set - local tests - do we pick a
     fresh scratch folder ourselves.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:                     # Spark Connect: the server owns the setting
+        d = spark.conf.get(CHECKPOINT_KEY, None)
+        return d or tempfile.mkdtemp(prefix="kestrel-ckpt-")
     d = sc.getCheckpointDir() or spark.conf.get(CHECKPOINT_KEY, None) \
         or sc.getConf().get(CHECKPOINT_KEY, None)
     if not d:
@@ -73,3 +77,12 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/kestrel-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster (default parallelism), or the shuffle
+    partition count when the session does not expose its context."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

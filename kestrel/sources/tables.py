@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import parallelism
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -29,8 +31,11 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     On a large input the scan is already split into many tasks and this is
     a no-op, so no extra shuffle is paid at scale.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = parallelism(df.sparkSession)
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:          # no RDD view (e.g. a Spark Connect session): leave as is
         return df
     return df.repartition(target, key) if key else df.repartition(target)
 
