@@ -11,11 +11,14 @@ import datetime as dt
 import decimal
 import hashlib
 import math
+import os
 import sys
 import time
 
 import duckdb
 
+EXACT = bool(os.environ.get("ORACLE_EXACT"))
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -38,7 +41,7 @@ def _norm(v):
             return "nan"
         if math.isinf(v):
             return "inf" if v > 0 else "-inf"
-        return float(f"{v:.9g}")
+        return v if EXACT else float(f"{v:.9g}")
     if isinstance(v, decimal.Decimal):
         return float(f"{float(v):.9g}")
     if isinstance(v, dt.datetime):

@@ -171,3 +171,22 @@ def test_multi_file_csv_and_generators(spark, scratch):
     s = pts.select(F.explode("v").alias("x")).agg(F.avg("x"), F.stddev_pop("x")).first()
     assert abs(s[0] + 0.5) < 60 and 400 < s[1] < 600
     assert FS.from_sequence(spark, range(1, 11)).count() == 10
+
+
+def test_bucketed_tables_join_without_exchange(spark, scratch):
+    from kestrel.plans.joins import write_bucketed
+    li = table(spark, SF_SMALL, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    o = table(spark, SF_SMALL, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
+                                                "o_orderpriority")
+    write_bucketed(li, "li_b", "l_orderkey", 8, os.path.join(scratch, "li_b"))
+    write_bucketed(o, "o_b", "l_orderkey", 8, os.path.join(scratch, "o_b"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("li_b").join(spark.table("o_b"), "l_orderkey")
+        plan = plan_text(j)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == li.join(o, "l_orderkey").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS li_b")
+        spark.sql("DROP TABLE IF EXISTS o_b")
