@@ -133,13 +133,14 @@ def ordered_fold(df: DataFrame, key: str, order: Sequence[str], value: str,
     """``(key, fold)`` for ``acc <- (mult * acc + v) mod modulus``."""
     if not 1 < modulus < 3_000_000_000:
         raise ValueError("modulus must be in (1, 3e9) so products fit in 64 bits")
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key_type = df.schema[key].dataType.simpleString()
-    rows = (df.select(F.col(key).alias("_k"), *[F.col(c) for c in order],
-                      F.col(value).cast("bigint").alias("_v"))
-              .repartitionByRange(n_parts, "_k", *order)
-              .sortWithinPartitions("_k", *order))
+    cols = ["_k", *order]
+    rows = df.select(F.col(key).alias("_k"), *[F.col(c) for c in order],
+                     F.col(value).cast("bigint").alias("_v"))
+    # without an explicit count AQE may coalesce neighbouring ranges, which
+    # keeps partitions contiguous and ordered, so the fold stays exact
+    rows = (rows.repartitionByRange(partitions, *cols) if partitions
+            else rows.repartitionByRange(*cols)).sortWithinPartitions(*cols)
 
     def runs(batches):
         from pyspark import TaskContext

@@ -26,8 +26,8 @@ def global_row_number(df: DataFrame, order: Sequence[str], name: str = "rn",
     (ties broken by the sort; make ``order`` unique for a stable answer)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    srt = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    srt = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
     pos = (srt.withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
