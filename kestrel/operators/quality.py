@@ -64,3 +64,15 @@ def ratio_with_quarantine(df: DataFrame, a: str, b: str) -> DataFrame:
                    F.floor(F.try_divide(F.col(a), F.col(b))).cast("bigint"))
     return (tagged.groupBy(F.coalesce(F.col("error"), F.lit("ok")).alias("status"))
                   .agg(F.count(F.lit(1)).alias("n"), F.sum(ratio).alias("total")))
+
+
+def zip_by_position(a: DataFrame, b: DataFrame, order_a: list[str], order_b: list[str],
+                    how: str = "inner") -> DataFrame:
+    """Pair the i-th row of ``a`` with the i-th row of ``b`` (``zip``), each
+    side in its stated order.  Positions come from the distributed global
+    rank (no single-partition window), then an equi-join on the position;
+    ``how='inner'`` stops at the shorter side as ``zip`` does."""
+    from ..plans.ranking import global_row_number
+    pa = global_row_number(a, order_a, "_pos")
+    pb = global_row_number(b, order_b, "_pos")
+    return pa.join(pb, "_pos", how)

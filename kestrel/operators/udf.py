@@ -144,6 +144,19 @@ def fold_by(df: DataFrame, key: Column | str, value: str,
     return partials.repartition("key").mapInPandas(final, schema)
 
 
+def flat_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """One row to many rows with arbitrary Python (a table function): ``fn``
+    maps a pandas batch of input rows to the output rows of that batch.
+    Vectorised over Arrow batches; prefer ``explode`` when a Column
+    expression can say it."""
+    def run(batches):
+        for pdf in batches:
+            out = fn(pdf)
+            if len(out):
+                yield out
+    return df.mapInPandas(run, schema)
+
+
 def from_functions(args: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
                    schema: str) -> DataFrame:
     """A frame made of the sub-frames that ``fn`` returns for each argument

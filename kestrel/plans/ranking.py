@@ -28,16 +28,16 @@ def global_row_number(df: DataFrame, order: Sequence[str], name: str = "rn",
     ensure_checkpoint_dir(spark)
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     srt = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
-    pos = (srt.withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id()
+    pos = (srt.withColumn("__rank_pid", F.spark_partition_id())
+              .withColumn("__rank_pos", F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
-    counts = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
+    counts = pos.groupBy("__rank_pid").agg(F.count(F.lit(1)).alias("__rank_c"))
+    w = Window.orderBy("__rank_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__rank_pid", F.coalesce(F.sum("__rank_c").over(w), F.lit(0)).alias("__rank_off"))
     # one row per partition: bounded by the partition count, safe to broadcast
-    return (pos.join(F.broadcast(offsets), "_pid")
-               .withColumn(name, F.col("_off") + F.col("_pos") + 1)
-               .drop("_pid", "_pos", "_off"))
+    return (pos.join(F.broadcast(offsets), "__rank_pid")
+               .withColumn(name, F.col("__rank_off") + F.col("__rank_pos") + 1)
+               .drop("__rank_pid", "__rank_pos", "__rank_off"))
 
 
 def ntile_column(rn: str, total: int, k: int):

@@ -159,3 +159,24 @@ def test_modpow_column(spark):
     df = spark.createDataFrame([(0,), (1,), (5,), (10**12 + 7,)], "e long")
     got = [r[0] for r in df.select(K.modpow(F.lit(2), F.col("e"), 1_000_003)).collect()]
     assert got == [pow(2, e, 1_000_003) for e in [0, 1, 5, 10**12 + 7]]
+
+
+def test_zip_by_position_ratio(spark):
+    a = spark.createDataFrame([(0, 5), (1, 25), (2, 30)], "i long, a long")
+    b = spark.createDataFrame([(10, 5), (11, 5), (12, 6), (13, 99)], "j long, b long")
+    z = Q.zip_by_position(a, b, ["i"], ["j"])
+    assert sorted((r["a"], r["b"]) for r in z.collect()) == [(5, 5), (25, 5), (30, 6)]
+    assert Q.floor_ratio_sum(z, "a", "b").first()[0] == 11
+
+
+def test_flat_map_denormalize(spark):
+    import pandas as pd
+    df = spark.createDataFrame([(1, "Alice", [1.0, 2.0]), (2, "Bob", [])],
+                               "id long, name string, amounts array<double>")
+
+    def denorm(pdf):
+        rows = [(i, n, x) for i, n, xs in zip(pdf["id"], pdf["name"], pdf["amounts"]) for x in xs]
+        return pd.DataFrame(rows, columns=["id", "name", "amount"])
+
+    out = U.flat_map(df, denorm, "id long, name string, amount double")
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "Alice", 1.0), (1, "Alice", 2.0)]
