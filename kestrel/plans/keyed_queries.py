@@ -119,3 +119,19 @@ def quarantine_bad_rows(spark, sf):
     li = table(spark, sf, "lineitem").select(F.col("l_quantity").alias("a"),
                                              (F.col("l_linenumber") - 1).alias("b"))
     return Q.ratio_with_quarantine(li, "a", "b")
+
+
+@query("zip_ratio_sum", f"""
+WITH a AS (SELECT l_quantity AS a, row_number() OVER (ORDER BY {", ".join(["l_orderkey"] + FOLD_ORDER)}) AS pos
+           FROM lineitem),
+     b AS (SELECT p_size AS b, row_number() OVER (ORDER BY p_partkey) AS pos FROM part)
+SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(floor(a / b)) AS BIGINT) AS total
+FROM a JOIN b ON a.pos = b.pos""", ids="PRJ-13")
+def zip_ratio_sum(spark, sf):
+    # two sequences - line-item quantities in key order, part sizes in
+    # part-key order - zipped by position (stops at the shorter), then
+    # sum(a // b)
+    li = table(spark, sf, "lineitem").select("l_orderkey", *FOLD_ORDER, F.col("l_quantity").alias("a"))
+    pt = table(spark, sf, "part").select("p_partkey", F.col("p_size").alias("b"))
+    z = Q.zip_by_position(li, pt, ["l_orderkey", *FOLD_ORDER], ["p_partkey"])
+    return z.agg(F.count(F.lit(1)).alias("n"), F.sum(Q.floor_ratio("a", "b")).alias("total"))
