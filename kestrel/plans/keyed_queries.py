@@ -12,6 +12,9 @@ from ..sources.tables import table
 from .registry import query
 
 SHIFT = 10
+# The accumulator operator op(x, y) = 2x + y and its
+# identity 1.  The modulus is ours, against overflow.
+FOLD_MULT, FOLD_INIT = 2, 1
 MODULUS = 1_000_003
 FOLD_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
@@ -97,7 +100,7 @@ FROM lineitem GROUP BY l_orderkey""", ids="AG-26")
 def ordered_fold(spark, sf):
     li = table(spark, sf, "lineitem")
     return K.ordered_fold(li, "l_orderkey", FOLD_ORDER, "l_quantity",
-                          init=1, mult=2, modulus=MODULUS)
+                          init=FOLD_INIT, mult=FOLD_MULT, modulus=MODULUS)
 
 
 @query("floor_ratio_sum", """

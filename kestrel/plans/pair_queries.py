@@ -8,6 +8,8 @@ from ..operators import pairs as P
 from ..sources.tables import table
 from .registry import query
 
+# Fixed value: pairs with squared distance at or below this are left out of
+# the upper-triangle energy.
 CUTOFF = 1e-6
 
 _PAIRS = """d AS (
