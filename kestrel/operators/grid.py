@@ -60,7 +60,7 @@ def blocked_mean(df: DataFrame, idx: str, value: str, chunk_rows: int) -> DataFr
     (never a mean of means)."""
     parts = (with_chunk(df, idx, chunk_rows).groupBy("chunk")
              .agg(F.sum(value).alias("s"), F.count(value).alias("c")))
-    return parts.agg((F.sum("s") / F.sum("c")).alias("mean"))
+    return parts.agg(F.try_divide(F.sum("s"), F.sum("c")).alias("mean"))
 
 
 def range_slice(df: DataFrame, idx: str, lo: int, hi: int) -> DataFrame:

@@ -130,13 +130,17 @@ def modpow(base: Column, exp: Column, m: int) -> Column:
 def ordered_fold(df: DataFrame, key: str, order: Sequence[str], value: str,
                  init: int = 1, mult: int = 2, modulus: int = 1_000_003,
                  partitions: int | None = None, out: str = "fold") -> DataFrame:
-    """``(key, fold)`` for ``acc <- (mult * acc + v) mod modulus``."""
+    """``(key, fold)`` for ``acc <- (mult * acc + v) mod modulus``.
+
+    ``order`` should be unique within a key (ties leave the order, and so
+    the result, undefined).  NULL values are skipped.
+    """
     if not 1 < modulus < 3_000_000_000:
         raise ValueError("modulus must be in (1, 3e9) so products fit in 64 bits")
     key_type = df.schema[key].dataType.simpleString()
     cols = ["_k", *order]
-    rows = df.select(F.col(key).alias("_k"), *[F.col(c) for c in order],
-                     F.col(value).cast("bigint").alias("_v"))
+    rows = df.filter(F.col(value).isNotNull()).select(
+        F.col(key).alias("_k"), *[F.col(c) for c in order], F.col(value).cast("bigint").alias("_v"))
     # without an explicit count AQE may coalesce neighbouring ranges, which
     # keeps partitions contiguous and ordered, so the fold stays exact
     rows = (rows.repartitionByRange(partitions, *cols) if partitions

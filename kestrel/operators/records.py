@@ -81,8 +81,9 @@ def nested_mean(df: DataFrame, list_col: str, field: str, cond: Column | None =
     as total / count so the answer never depends on how records are split."""
     if cond is not None:
         df = df.filter(cond)
-    return df.agg((F.sum(list_sum(list_col, field)) /
-                   F.sum(list_count(list_col, field))).alias("mean"))
+    # try_divide: no values gives NULL (as ``avg`` of nothing), not an error
+    return df.agg(F.try_divide(F.sum(list_sum(list_col, field)),
+                               F.sum(list_count(list_col, field))).alias("mean"))
 
 
 def nested_size_mean(df: DataFrame, list_col: str, cond: Column | None = None) -> DataFrame:

@@ -133,3 +133,16 @@ def test_pairs_single_block_equals_many(spark, cluster):
     a = P.pair_energy(df, "id", "v", block_rows=10_000).first()["energy"]
     b = P.pair_energy(df, "id", "v", block_rows=17).first()["energy"]
     assert a == pytest.approx(b, rel=1e-12)
+
+
+def test_empty_and_null_edges(spark):
+    from kestrel.operators import keyed as K
+    empty = spark.createDataFrame([(1, "x", [])], ACCOUNT_SIMPLE)
+    assert R.nested_mean(empty, "transactions", "amount").first()[0] is None
+    df = spark.createDataFrame([(1, 1, 3), (1, 2, None), (1, 3, 4)], "k long, o long, v long")
+    assert K.ordered_fold(df, "k", ["o"], "v").first()["fold"] == ((1 * 2 + 3) * 2 + 4)
+    v = spark.createDataFrame([(0, None)], "idx long, value double")
+    assert GR.blocked_mean(v, "idx", "value", 10).first()[0] is None
+
+
+ACCOUNT_SIMPLE = "id long, name string, transactions array<struct<transaction_id:long, amount:double>>"
