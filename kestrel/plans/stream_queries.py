@@ -1,11 +1,12 @@
-"""Catalogue: the tumbling-window counter (batch form of the stream)."""
+"""Catalogue: the tumbling-window counter, as a batch query and as a stream."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from ..streaming.counter import tumbling_counts
+from ..session import work_dir
+from ..streaming.counter import run_tumbling_stream, tumbling_counts
 from .registry import query
 
 
@@ -16,3 +17,25 @@ FROM events GROUP BY 1, 2""", ids="ST-1, AG-25")
 def tumbling_counter(spark, sf):
     c = tumbling_counts(table(spark, sf, "events"), "ts", "1 hour", "value")
     return c.select("window_start", "window_end", "n", F.round("total", 4).alias("total"))
+
+
+# Append mode writes a window once the watermark (latest event time minus the
+# allowed lateness) has passed its end; with the whole folder in one
+# micro-batch nothing is late, so the emitted windows are exactly those that
+# end at or before max(ts) - 1 hour.
+@query("tumbling_counter_stream", """
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+       CAST(count(*) AS BIGINT) AS n, round(sum(value), 4) AS total
+FROM events GROUP BY 1, 2
+HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+       ids="ST-1")
+def tumbling_counter_stream(spark, sf):
+    ev = table(spark, sf, "events")
+    src = work_dir(spark, "events-landing")
+    ev.write.parquet(src)                      # files landing in a folder: the stream source
+    run = run_tumbling_stream(spark, src, ev.schema, "ts", every="1 hour", lateness="1 hour",
+                              value="value")
+    out = spark.read.parquet(run.output_path)
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                      "n", F.round("total", 4).alias("total"))
