@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import work_dir
+from ..session import parallelism, work_dir
 
 
 def tumbling_counts(df: DataFrame, ts: str, every: str = "1 hour",
@@ -59,7 +59,8 @@ class StreamRun:
 def run_tumbling_stream(spark: SparkSession, source_path: str, schema: StructType, ts: str,
                         every: str = "1 hour", lateness: str = "1 hour",
                         value: str | None = None, max_files_per_trigger: int | None = None,
-                        output_path: str | None = None) -> StreamRun:
+                        output_path: str | None = None,
+                        state_partitions: int | None = None) -> StreamRun:
     """Run the counter over a folder of Parquet files as a stream
     (``availableNow``: everything present, in micro-batches, then stop).
 
@@ -75,9 +76,19 @@ def run_tumbling_stream(spark: SparkSession, source_path: str, schema: StructTyp
     agg = streaming_tumbling_counts(reader.parquet(source_path), ts, every, lateness, value)
     out = output_path or work_dir(spark, "stream-out")
     ckpt = work_dir(spark, "stream-ckpt")
-    q = (agg.writeStream.outputMode("append").format("parquet")
-            .option("path", out).option("checkpointLocation", ckpt)
-            .trigger(availableNow=True).start())
+    # the state store is split into the shuffle-partition count in force when
+    # the query first starts (then fixed by its checkpoint): one per task slot
+    # unless told otherwise
+    parts = state_partitions or parallelism(spark)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(parts))
+    try:
+        q = (agg.writeStream.outputMode("append").format("parquet")
+                .option("path", out).option("checkpointLocation", ckpt)
+                .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, before)
     q.awaitTermination()
     dropped, batches = 0, 0
     for p in q.recentProgress:
