@@ -22,12 +22,19 @@ from ..session import ensure_checkpoint_dir
 
 def global_row_number(df: DataFrame, order: Sequence[str], name: str = "rn",
                       partitions: int | None = None) -> DataFrame:
-    """``df`` plus ``name``: 1-based position in the total order ``order``
-    (ties broken by the sort; make ``order`` unique for a stable answer)."""
+    """``df`` plus ``name``: 1-based position in the total order ``order``.
+
+    Rows tied on ``order`` are ordered by a hash of the whole row, which is
+    deterministic across runs and retries; make ``order`` unique when tied
+    rows must come in a particular order."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    srt = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
+    # a row hash as last sort key: rows equal on ``order`` (a hot value) can
+    # then span several range partitions instead of landing in one task
+    keyed = df.withColumn("__rank_tie", F.xxhash64(*[F.col(c) for c in df.columns]))
+    cols = [*order, "__rank_tie"]
+    ranged = keyed.repartitionByRange(partitions, *cols) if partitions else keyed.repartitionByRange(*cols)
+    srt = ranged.sortWithinPartitions(*cols).checkpoint(eager=True).drop("__rank_tie")
     pos = (srt.withColumn("__rank_pid", F.spark_partition_id())
               .withColumn("__rank_pos", F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))

@@ -190,3 +190,13 @@ def test_bucketed_tables_join_without_exchange(spark, scratch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE IF EXISTS li_b")
         spark.sql("DROP TABLE IF EXISTS o_b")
+
+
+def test_global_row_number_splits_hot_value(spark):
+    df = spark.range(0, 6000).select(F.when(F.col("id") < 3000, F.lit(7)).otherwise(F.col("id"))
+                                     .alias("k"), F.col("id").alias("payload"))
+    ranked = global_row_number(df, ["k"], partitions=6)
+    rows = ranked.collect()
+    assert sorted(r["rn"] for r in rows) == list(range(1, 6001))
+    by_rn = sorted(rows, key=lambda r: r["rn"])
+    assert [r["k"] for r in by_rn] == sorted(r["k"] for r in rows)
