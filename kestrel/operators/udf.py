@@ -18,7 +18,6 @@ unbounded group, to one task:
 from __future__ import annotations
 
 import functools
-import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -167,7 +166,3 @@ def from_functions(args: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
             for _, row in pdf.iterrows():
                 yield fn(row.to_frame().T.reset_index(drop=True))
     return args.mapInPandas(gen, schema)
-
-
-def n_chunks(total_rows: int, max_chunk_rows: int) -> int:
-    return max(1, math.ceil(total_rows / max_chunk_rows))
