@@ -16,16 +16,40 @@ from pyspark.sql import functions as F
 
 
 def nest_children(parent: DataFrame, child: DataFrame, key: str, part_cols: Sequence[str],
-                  child_cols: Sequence[str], list_name: str) -> DataFrame:
+                  child_cols: Sequence[str], list_name: str, max_items: int = 1000,
+                  max_hot_groups: int = 1_000_000) -> DataFrame:
     """One record per parent and part: parent columns + list of child structs.
 
     ``part_cols`` split a parent's children over several records (the "one
-    line per account and file" layout), which also bounds the list length
-    per record.  Parents without children get one record with an empty list
-    and parts set to 0.  Lists are sorted, so records are deterministic.
+    line per account and file" layout).  No record holds more than about
+    ``max_items`` children: group sizes are counted first (a partial
+    aggregate over the key columns), and only groups above the bound - hot
+    keys - are split into ``ceil(size / max_items)`` records by a hash of the
+    child, so a key with a third of all rows becomes many bounded records
+    spread over many tasks.  The hot-group table is materialised with a
+    reliable checkpoint and broadcast only when its row count is proven
+    small; with no hot group the plan is the plain grouping.  Parents without
+    children get one record with an empty list and parts set to 0.  Lists
+    are sorted, so records are deterministic.
     """
-    grouped = (child.groupBy(key, *part_cols)
-                    .agg(F.array_sort(F.collect_list(F.struct(*child_cols))).alias(list_name)))
+    from ..plans.cache import cut_lineage
+    groups = [key, *part_cols]
+    hot = cut_lineage(child.groupBy(*groups).agg(F.count(F.lit(1)).alias("_size"))
+                      .filter(F.col("_size") > max_items)
+                      .select(*groups, F.ceil(F.col("_size") / max_items).alias("_chunks")))
+    n_hot = hot.count()
+    if n_hot:
+        side = F.broadcast(hot) if n_hot <= max_hot_groups else hot
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in child_cols]), F.col("_chunks"))
+        child = (child.join(side, groups, "left")
+                      .withColumn("_chunk", F.coalesce(salt, F.lit(0)).cast("bigint")).drop("_chunks"))
+        if n_hot > max_hot_groups:        # too many to broadcast: spread the chunks explicitly
+            child = child.repartition(*groups, "_chunk")
+    else:
+        child = child.withColumn("_chunk", F.lit(0).cast("bigint"))
+    grouped = (child.groupBy(*groups, "_chunk")
+                    .agg(F.array_sort(F.collect_list(F.struct(*child_cols))).alias(list_name))
+                    .drop("_chunk"))
     rec = parent.join(grouped, key, "left")
     empty = F.array().cast(grouped.schema[list_name].dataType)
     return rec.select(*parent.columns,

@@ -8,6 +8,8 @@ unbounded group, to one task:
 * ``map_values`` / ``filter_values`` run vectorised on Arrow batches;
 * ``apply_in_groups`` runs an exact per-group function only after checking
   the largest group against a bound;
+* both group runners walk key-sorted partitions with ``mapInPandas``, so
+  many small groups do not pay one Python round trip each;
 * ``apply_in_chunks`` splits every group into chunks of bounded size (hot
   groups get more chunks) and hands the function the group's statistics,
   computed by Spark, next to each chunk;
@@ -40,6 +42,46 @@ def filter_values(df: DataFrame, col: str, pred: Callable[[pd.Series], pd.Series
     return df.filter(keep(F.col(col)))
 
 
+def run_sorted_groups(df: DataFrame, group_cols: Sequence[str], fn, schema: str,
+                      drop: Sequence[str] = ()) -> DataFrame:
+    """Call ``fn(pandas_frame)`` once per group of ``group_cols``.
+
+    Spark hash-partitions the rows on the group columns and sorts each
+    partition; every task then walks its sorted Arrow batches and hands
+    each complete group to ``fn`` (a group split over two batches is
+    carried over).  Unlike ``applyInPandas``, many small groups cost one
+    Python round trip per batch, not per group.  Groups must be bounded
+    (callers chunk hot groups first).
+    """
+    cols = list(group_cols)
+
+    def runner(batches):
+        buf, cur = [], None                 # rows of the open group, its key hash
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            h = pd.util.hash_pandas_object(pdf[cols], index=False).to_numpy()
+            body = pdf.drop(columns=list(drop)) if drop else pdf
+            starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            ends = np.r_[starts[1:], len(pdf)]
+            outs = []
+            for a, b in zip(starts, ends):
+                if buf and h[a] != cur:
+                    outs.append(fn(buf[0] if len(buf) == 1 else pd.concat(buf, ignore_index=True)))
+                    buf = []
+                buf.append(body.iloc[a:b].reset_index(drop=True))
+                cur = h[a]
+            outs = [o for o in outs if len(o)]
+            if outs:                        # one Arrow batch out per batch in
+                yield pd.concat(outs, ignore_index=True)
+        if buf:
+            out = fn(buf[0] if len(buf) == 1 else pd.concat(buf, ignore_index=True))
+            if len(out):
+                yield out
+
+    return df.repartition(*cols).sortWithinPartitions(*cols).mapInPandas(runner, schema)
+
+
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
 
@@ -55,28 +97,35 @@ def apply_in_groups(df: DataFrame, keys: Sequence[str], fn, schema: str,
     biggest = group_sizes(df, keys).agg(F.max("_size")).first()[0]
     if biggest is not None and biggest > max_group_rows:
         raise ValueError(f"largest group has {biggest} rows > {max_group_rows}")
-    return df.groupBy(*keys).applyInPandas(fn, schema)
+    return run_sorted_groups(df, keys, fn, schema)
 
 
 def apply_in_chunks(df: DataFrame, keys: Sequence[str], fn, schema: str,
                     context: dict[str, Column] | None = None,
-                    max_chunk_rows: int = 1_000_000) -> DataFrame:
+                    max_chunk_rows: int = 1_000_000,
+                    salt_cols: Sequence[str] | None = None) -> DataFrame:
     """Per-group function over bounded chunks of each group.
 
     ``context`` names group-level aggregates (computed by Spark, partial
     then final) that are joined onto every row before the function runs, so
     a function that needs, say, the group mean sees it in every chunk.
     A group of ``s`` rows is split into ``ceil(s / max_chunk_rows)`` chunks
-    by a hash of the row, so one hot key never lands in a single task.
+    by a hash of the row, so one hot key never lands in a single task.  The
+    hash covers ``salt_cols`` (default: every column) and the input
+    partition id - both fixed on a retry, unlike row positions - so rows that
+    are identical in every column still spread over chunks when they come
+    from different input partitions; pass a unique column as ``salt_cols``
+    when there is one.
     """
     aggs = [F.count(F.lit(1)).alias("_size")]
     aggs += [c.alias(n) for n, c in (context or {}).items()]
     stats = df.groupBy(*keys).agg(*aggs).withColumn(
         "_chunks", F.greatest(F.lit(1), F.ceil(F.col("_size") / F.lit(max_chunk_rows))))
     rows = df.join(broadcast_if_small(stats), list(keys))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_chunks"))
-    return (rows.withColumn("_chunk", salt).drop("_size", "_chunks")
-                .groupBy(*keys, "_chunk").applyInPandas(fn, schema))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in (salt_cols or df.columns)],
+                             F.spark_partition_id()), F.col("_chunks"))
+    rows = rows.withColumn("_chunk", salt).drop("_size", "_chunks")
+    return run_sorted_groups(rows, [*keys, "_chunk"], fn, schema, drop=["_chunk"])
 
 
 def fold_by(df: DataFrame, key: Column | str, value: str,

@@ -90,32 +90,32 @@ def cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cell_means(e, "ts", "event_type", "value")
 
 
-# Records hold at most this many line numbers each (see ``nested``).
-RECORD_BLOCK = 1000
-
-
 def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested account-like records from ``orders`` + ``lineitem``.
 
-    One record per order, "file" and block of ``RECORD_BLOCK`` line numbers
-    (the reference keeps one line per account and file, so the same id
-    occurs in several records).  The file of a line item is
-    ``l_partkey % 4``; the block ``l_linenumber div RECORD_BLOCK`` keeps a
-    record's list bounded even for an order with millions of lines, and the
-    grouping key (order, file, block) spreads such an order over many tasks.
-    ``transactions`` is ``ARRAY<STRUCT<transaction_id BIGINT, amount DOUBLE>>``.
+    One record per order and "file" (the reference keeps one line per account
+    and file, so the same id occurs in several records); the file of a line
+    item is ``l_partkey % 4``.  ``transactions`` is
+    ``ARRAY<STRUCT<transaction_id BIGINT, amount DOUBLE>>``.
     """
+    o = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem")
+    return nested_from(o, li)
+
+
+def nested_from(orders: DataFrame, lineitem: DataFrame, max_items: int = 1000) -> DataFrame:
+    """The nested records of ``nested`` from given orders / lineitem frames;
+    a record holds at most about ``max_items`` transactions (hot orders are
+    split, see ``records.nest_children``)."""
     from ..operators.records import nest_children
-    o = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"))
-    # spread by order key: the grouping on (order, file, block) below is then
-    # already clustered and needs no second exchange
-    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(
+    o = orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"))
+    # spread by order key: the grouping on (order, file) below is then already
+    # clustered and needs no second exchange (a no-op on large inputs)
+    li = spread(lineitem, "l_orderkey").select(
         F.col("l_orderkey").alias("id"),
         F.pmod(F.col("l_partkey"), F.lit(4)).alias("file"),
-        F.expr(f"l_linenumber div {RECORD_BLOCK}").cast("bigint").alias("block"),
         F.col("l_linenumber").cast("bigint").alias("transaction_id"),
         F.col("l_extendedprice").alias("amount"))
-    rec = nest_children(o, li, key="id", part_cols=["file", "block"],
-                        child_cols=["transaction_id", "amount"], list_name="transactions")
-    return rec.drop("block")
+    return nest_children(o, li, key="id", part_cols=["file"],
+                         child_cols=["transaction_id", "amount"], list_name="transactions",
+                         max_items=max_items)
