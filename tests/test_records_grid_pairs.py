@@ -146,3 +146,28 @@ def test_empty_and_null_edges(spark):
 
 
 ACCOUNT_SIMPLE = "id long, name string, transactions array<struct<transaction_id:long, amount:double>>"
+
+
+def test_stack_slices_and_pluck_list(spark, scratch):
+    a = spark.createDataFrame([(0, 1.0), (1, 2.0)], "j long, value double")
+    b = spark.createDataFrame([(0, 3.0), (1, 4.0)], "j long, value double")
+    st = GR.stack([a, b], "k")
+    assert sorted(tuple(r) for r in st.select("k", "j", "value").collect()) == \
+        [(0, 0, 1.0), (0, 1, 2.0), (1, 0, 3.0), (1, 1, 4.0)]
+    means = {r["j"]: r["mean"] for r in GR.axis_mean(st, ["j"]).collect()}
+    assert means == {0: 2.0, 1: 3.0}
+    rec = spark.createDataFrame([(1, "x", [(1, 2.5), (2, None)])], ACCOUNT_SIMPLE)
+    got = rec.select(R.pluck_list_field("transactions", "amount")).first()[0]
+    assert got == [2.5, None]
+    assert rec.select(R.list_max("transactions", "amount")).first()[0] == 2.5
+
+
+def test_count_per_file(spark, scratch):
+    from kestrel.operators import text as T
+    for i in range(3):
+        with open(os.path.join(scratch, f"part{i}.txt"), "w") as f:
+            f.write("\n".join(["line"] * (i + 1)) + "\n")
+    got = sorted(r["n_rows"] for r in T.count_per_file(T.read_lines(
+        spark, os.path.join(scratch, "part*.txt"))).collect())
+    assert got == [1, 2, 3]
+    assert T.row_count(T.read_lines(spark, os.path.join(scratch, "part*.txt"))).first()[0] == 6
