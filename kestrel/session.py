@@ -43,6 +43,8 @@ def build_session(master: str | None = None, app: str = "kestrel",
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("KESTREL_DRIVER_MEMORY", "8g"))
         .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
+        # checkpoint files are removed once no DataFrame refers to them
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         b = b.config(k, v)

@@ -23,8 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-distribute ``df`` on ``key`` when its scan yields fewer
-    partitions than the cluster runs tasks at once.
+    """Hash-distribute ``df`` on ``key`` over one partition per task slot
+    when its scan yields fewer than two partitions per slot.
 
     Used before CPU-heavy per-row work (tokenising, regex) so that a few
     large files (or a single row group) do not pin that work to a few tasks.
@@ -32,12 +32,12 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     a no-op, so no extra shuffle is paid at scale.
     """
     try:
-        target = parallelism(df.sparkSession)
-        if df.rdd.getNumPartitions() >= target:
+        slots = parallelism(df.sparkSession)
+        if df.rdd.getNumPartitions() >= 2 * slots:
             return df
     except Exception:          # no RDD view (e.g. a Spark Connect session): leave as is
         return df
-    return df.repartition(target, key) if key else df.repartition(target)
+    return df.repartition(slots, key) if key else df.repartition(slots)
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:
