@@ -34,10 +34,13 @@ def nest_children(parent: DataFrame, child: DataFrame, key: str, part_cols: Sequ
     """
     from ..plans.cache import cut_lineage
     groups = [key, *part_cols]
-    hot = cut_lineage(child.groupBy(*groups).agg(F.count(F.lit(1)).alias("_size"))
-                      .filter(F.col("_size") > max_items)
-                      .select(*groups, F.ceil(F.col("_size") / max_items).alias("_chunks")))
-    n_hot = hot.count()
+    sizes = child.groupBy(*groups).agg(F.count(F.lit(1)).alias("_size"))
+    biggest = sizes.agg(F.max("_size")).first()[0] or 0      # one aggregate, one number back
+    n_hot = 0
+    if biggest > max_items:
+        hot = cut_lineage(sizes.filter(F.col("_size") > max_items)
+                          .select(*groups, F.ceil(F.col("_size") / max_items).alias("_chunks")))
+        n_hot = hot.count()
     if n_hot:
         side = F.broadcast(hot) if n_hot <= max_hot_groups else hot
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in child_cols]), F.col("_chunks"))
