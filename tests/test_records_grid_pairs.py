@@ -171,3 +171,18 @@ def test_count_per_file(spark, scratch):
         spark, os.path.join(scratch, "part*.txt"))).collect())
     assert got == [1, 2, 3]
     assert T.row_count(T.read_lines(spark, os.path.join(scratch, "part*.txt"))).first()[0] == 6
+
+
+def test_pairs_wide_vectors_chunked(spark):
+    rng = np.random.default_rng(5)
+    pts = rng.normal(0, 1, (60, 1024))
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(pts)],
+                               "id long, v array<double>")
+    energy, n_pairs, full, nn, rowsum = brute(pts)
+    old = P.CHUNK_BYTES
+    P.CHUNK_BYTES = 60 * 1024 * 8 * 3            # forces 3-row chunks
+    try:
+        e = P.pair_energy(df, "id", "v", block_rows=25).first()
+    finally:
+        P.CHUNK_BYTES = old
+    assert e["n_pairs"] == n_pairs and e["energy"] == pytest.approx(energy, rel=1e-9)
