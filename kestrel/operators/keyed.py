@@ -84,9 +84,19 @@ def kv_concat(df: DataFrame, group: str, key: str, value: str, sep: str = ", ",
 def search_first(df: DataFrame, group: str, cond: Column, order: str,
                  cols: Sequence[str]) -> DataFrame:
     """Per group, the matching row with the lowest ``order`` value
-    (``search`` made deterministic); ``min_by`` aggregates map-side."""
-    best = F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(order))
-    return df.filter(cond).groupBy(group).agg(best.alias("_b")).select(group, "_b.*")
+    (``search`` made deterministic).
+
+    The lowest value per group is a hash aggregate on a fixed-width column
+    (partial before the shuffle, no sort of the rows); the matching rows are
+    then fetched by joining on (group, lowest value), with the per-group
+    table broadcast only if proven small.  ``order`` must be unique within a
+    group (a key), else tied rows are all returned.
+    """
+    hits = df.filter(cond)
+    firsts = hits.groupBy(group).agg(F.min(order).alias(order))
+    keep = [c for c in cols if c not in (group, order)]
+    return hits.select(group, order, *keep).join(broadcast_if_small(firsts), [group, order]) \
+        .select(group, *cols)
 
 
 # ----------------------------------------------------------- ordered fold
