@@ -54,22 +54,31 @@ def build_session(master: str | None = None, app: str = "kestrel",
     return spark
 
 
+def _fallback_dir(spark: SparkSession, local: bool) -> str:
+    """Where to work when ``spark.checkpoint.dir`` is unset: a fresh scratch
+    folder for local runs (tests); on a cluster a folder under the shared
+    warehouse directory, never a machine-local temporary folder."""
+    if local:
+        return tempfile.mkdtemp(prefix="kestrel-ckpt-")
+    base = spark.conf.get("spark.sql.warehouse.dir", None) or "spark-warehouse"
+    return f"{base.rstrip('/')}/_kestrel_checkpoints"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster whoever runs it sets that key to a shared file system
-    (HDFS, S3A, ...).  Only when nothing is set - local tests - do we pick a
-    fresh scratch folder ourselves.
+    (HDFS, S3A, ...).  Only when nothing is set do we choose one ourselves
+    (``_fallback_dir``).
     """
     try:
         sc = spark.sparkContext
     except Exception:                     # Spark Connect: the server owns the setting
-        d = spark.conf.get(CHECKPOINT_KEY, None)
-        return d or tempfile.mkdtemp(prefix="kestrel-ckpt-")
+        return spark.conf.get(CHECKPOINT_KEY, None) or _fallback_dir(spark, local=False)
     d = sc.getCheckpointDir() or spark.conf.get(CHECKPOINT_KEY, None) \
         or sc.getConf().get(CHECKPOINT_KEY, None)
     if not d:
-        d = tempfile.mkdtemp(prefix="kestrel-ckpt-")
+        d = _fallback_dir(spark, local=sc.master.startswith("local"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
