@@ -46,6 +46,17 @@ def register_views(spark: SparkSession, sf_dir: str) -> None:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
+def register_standard_views(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Register the tables and the stand-in views (``account``, ``lines``,
+    ``vector``, ``matrix``, ``cube``, ``nested``) for ``spark.sql``."""
+    register_views(spark, sf_dir)
+    views = {"account": account, "lines": lines, "vector": vector, "matrix": matrix,
+             "cube": cube, "nested": nested}
+    for name, make in views.items():
+        make(spark, sf_dir).createOrReplaceTempView(name)
+    return [*TABLES, *views]
+
+
 # ---------------------------------------------------------------- stand-ins
 # The reference's own inputs (account CSV/JSON files, HDF5 arrays) are not in
 # its tree; these views give the same shapes over the supplied tables.

@@ -42,3 +42,14 @@ def test_every_survey_row_is_covered():
     covered = {i for q in load_all().values() for i in q.survey_ids}
     assert len(ids) == 100
     assert ids - covered - FIXTURE_ONLY == set()
+
+
+def test_sql_views(spark):
+    from kestrel.sources.tables import register_standard_views
+    register_standard_views(spark, SF_CHECK)
+    got = spark.sql("SELECT names, round(avg(amount), 6) AS mean FROM account "
+                    "WHERE amount < 0 GROUP BY names").collect()
+    want = {r["names"]: r["mean"] for r in QUERIES["group_mean_filtered"](spark, SF_CHECK).collect()}
+    assert {r["names"]: r["mean"] for r in got} == want
+    n = spark.sql("SELECT sum(size(transactions)) FROM nested").first()[0]
+    assert n == spark.sql("SELECT count(*) FROM lineitem").first()[0]
