@@ -148,6 +148,11 @@ def test_stream_equals_batch_on_complete_windows(spark, scratch):
     assert all(b[k] == v for k, v in s.items())       # every emitted window is complete
     # the 25 late rows reach the watermark check as per-window partials
     assert 1 <= run.dropped_late_partials <= 25, run
+    # the exact report finds every late row, and only those
+    from kestrel.streaming.counter import late_row_report
+    rep = late_row_report(spark, run, f"{src}/in/*", ev.schema, "ts", "1 hour")
+    assert rep.agg(F.sum("n_dropped")).first()[0] == 25
+    assert all(r["n_emitted"] == b[r["window_start"]][0] for r in rep.collect())
 
 
 def test_multi_file_csv_and_generators(spark, scratch):
