@@ -38,6 +38,22 @@ def whitespace_tokens(c) -> Column:
     return F.filter(parts, lambda t: t != F.lit(""))
 
 
+# The same delimiters as single characters.
+TOKENIZER_DELIM_CHARS = [" ", "\t", "\n", "\r", "\f"]
+
+
+def whitespace_token_count(c) -> Column:
+    """Number of non-empty whitespace tokens, without a lambda (stays in
+    whole-stage codegen): a greedy split only leaves an empty first token
+    after a leading delimiter and an empty last one before a trailing
+    delimiter, and gives ``[""]`` for the empty string."""
+    v = _col(c)
+    first_is_delim = F.substring(v, 1, 1).isin(TOKENIZER_DELIM_CHARS).cast("int")
+    last_is_delim = F.substring(v, -1, 1).isin(TOKENIZER_DELIM_CHARS).cast("int")
+    n = F.size(F.split(v, TOKENIZER_DELIMS)) - first_is_delim - last_is_delim
+    return F.when(v == F.lit(""), F.lit(0)).otherwise(F.greatest(n, F.lit(0)))
+
+
 def space_split(c) -> Column:
     """ARRAY<STRING> with the semantics of Java ``line.split(" ")``."""
     v = _col(c)

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.tokens import normalise_line, space_split, whitespace_tokens, word_tokens
+from ..functions.tokens import (TOKENIZER_DELIMS, normalise_line, space_split,
+                               whitespace_token_count, word_tokens)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -47,9 +48,14 @@ def split_lines(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def tokens(df: DataFrame, text: str, lower: bool = False,
            patterns: Sequence[str] = ()) -> DataFrame:
-    """One row per whitespace token after optional lower-case + pattern removal."""
+    """One row per whitespace token after optional lower-case + pattern removal.
+
+    The raw split is exploded and empty pieces dropped by a plain filter,
+    which keeps the whole stage in generated code (a lambda filter on the
+    array would be interpreted per element)."""
     line = normalise_line(F.col(text), lower=lower, patterns=patterns)
-    return df.select(F.explode(whitespace_tokens(line)).alias("word"))
+    return (df.select(F.explode(F.split(line, TOKENIZER_DELIMS)).alias("word"))
+              .filter(F.col("word") != ""))
 
 
 def word_count(df: DataFrame, text: str = "value", lower: bool = False,
@@ -82,7 +88,7 @@ def input_words(df: DataFrame, text: str = "value", lower: bool = False,
                 patterns: Sequence[str] = ()) -> DataFrame:
     """One row: the number of tokens the word count emits (exact)."""
     line = normalise_line(F.col(text), lower=lower, patterns=patterns)
-    return df.agg(F.sum(F.size(whitespace_tokens(line))).cast("bigint").alias("input_words"))
+    return df.agg(F.sum(whitespace_token_count(line)).cast("bigint").alias("input_words"))
 
 
 def word_count_space(df: DataFrame, text: str = "value") -> DataFrame:

@@ -8,7 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from kestrel.functions.arith import floor_div, py_mod
-from kestrel.functions.tokens import space_split, whitespace_tokens, word_tokens
+from kestrel.functions.tokens import (space_split, whitespace_token_count, whitespace_tokens,
+                                      word_tokens)
 
 ALPHABET = st.sampled_from(list("ab AZ\t\r\n\f,.!_9é ßÉ"))
 LINES = st.lists(st.text(ALPHABET, max_size=12), min_size=1, max_size=25)
@@ -48,6 +49,13 @@ def test_whitespace_tokens_match_string_tokenizer(spark, rows):
     assert collect(spark, rows, whitespace_tokens("value")) == [string_tokenizer(r) for r in rows]
 
 
+@SETTINGS
+@given(LINES)
+def test_token_count_matches_string_tokenizer(spark, rows):
+    assert collect(spark, rows, whitespace_token_count("value")) == \
+        [len(string_tokenizer(r)) for r in rows]
+
+
 @SETTINGS
 @given(LINES)
 def test_word_tokens_match_python_w(spark, rows):
