@@ -25,13 +25,15 @@ def floor_div(a, b) -> Column:
     return F.floor(_col(a) / _col(b))
 
 
-def int_floor_div(name: str, n: int) -> Column:
-    """Exact ``x // n`` for an integer column ``name`` and a positive integer
-    constant ``n``: integral ``div`` of ``x - pmod(x, n)``, no detour through
-    double, so 64-bit keys stay exact."""
-    if int(n) <= 0:
-        raise ValueError("n must be positive")
-    return F.expr(f"(`{name}` - pmod(`{name}`, {int(n)})) div {int(n)}")
+def int_floor_div(a, b) -> Column:
+    """Exact Python ``a // b`` for integer columns (or constants): integral
+    ``div`` truncates, so one is taken off when the remainder is non-zero
+    and the signs differ.  No detour through double, so 64-bit keys stay
+    exact.  Raises on ``b = 0``, as Python does."""
+    a, b = _col(a), _col(b)
+    q = F.call_function("div", a, b)
+    r = a % b
+    return F.when((r != 0) & ((r < 0) != (b < 0)), q - 1).otherwise(q)
 
 
 def py_mod(a, b) -> Column:

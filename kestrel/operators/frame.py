@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arith import floor_div, py_mod
+from ..functions.arith import int_floor_div, py_mod
 from ..plans.joins import join_small
 
 
@@ -28,10 +28,11 @@ def arithmetic(df: DataFrame, keep: Sequence[str], exprs: dict[str, Column]) ->
 
 
 def python_ops(x, n: int) -> dict[str, Column]:
-    """``x + 1, x * 2, x ** 2, x // n, x % n`` with Python semantics."""
+    """``x + 1, x * 2, x ** 2, x // n, x % n`` with Python semantics for an
+    integer ``x`` (floor division stays in exact integer arithmetic)."""
     x = _c(x)
     return {"plus_one": x + 1, "times_two": x * 2, "squared": F.pow(x, 2),
-            "floordiv": floor_div(x, F.lit(n)).cast("bigint"), "mod": py_mod(x, F.lit(n))}
+            "floordiv": int_floor_div(x, F.lit(n)).cast("bigint"), "mod": py_mod(x, F.lit(n))}
 
 
 def where(df: DataFrame, cond: Column) -> DataFrame:

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kestrel.functions.arith import floor_div, py_mod
+from kestrel.functions.arith import floor_div, int_floor_div, py_mod
 from kestrel.functions.tokens import (space_split, whitespace_token_count, whitespace_tokens,
                                       word_tokens)
 
@@ -69,3 +69,12 @@ def test_floor_div_and_mod_match_python(spark, pairs):
     df = spark.createDataFrame(pairs, "a long, b long")
     got = [tuple(r) for r in df.select(floor_div("a", "b").cast("long"), py_mod("a", "b")).collect()]
     assert got == [(a // b, a % b) for a, b in pairs]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(-2**62, 2**62), st.integers(-2**31, 2**31).filter(bool)),
+                min_size=1, max_size=30))
+def test_int_floor_div_exact_64bit(spark, pairs):
+    df = spark.createDataFrame(pairs, "a long, b long")
+    got = [r[0] for r in df.select(int_floor_div("a", "b")).collect()]
+    assert got == [a // b for a, b in pairs]
