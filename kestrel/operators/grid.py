@@ -49,10 +49,17 @@ def chunk_summary(df: DataFrame, idx: str, chunk_rows: int) -> DataFrame:
 
 
 def blocked_sum(df: DataFrame, idx: str, value: str, chunk_rows: int) -> DataFrame:
-    """Per-chunk sums plus the total (row with ``chunk`` NULL), from one
-    aggregation (``rollup``): partial sums are combined before the shuffle."""
-    return (with_chunk(df, idx, chunk_rows).rollup("chunk")
-            .agg(F.sum(value).alias("chunk_sum"), F.count(value).alias("n")))
+    """Per-chunk sums plus the total (row with ``chunk`` NULL).
+
+    The chunk sums are one aggregate (partial sums before the shuffle); the
+    total is the sum of those partials, computed from the same aggregate, so
+    Spark reuses its shuffle and the data is read once (a ``rollup`` would
+    duplicate every input row into two grouping sets)."""
+    parts = (with_chunk(df, idx, chunk_rows).groupBy("chunk")
+             .agg(F.sum(value).alias("chunk_sum"), F.count(value).alias("n")))
+    total = parts.agg(F.lit(None).cast("bigint").alias("chunk"),
+                      F.sum("chunk_sum").alias("chunk_sum"), F.sum("n").alias("n"))
+    return parts.unionByName(total)
 
 
 def blocked_mean(df: DataFrame, idx: str, value: str, chunk_rows: int) -> DataFrame:
