@@ -205,3 +205,18 @@ def test_global_row_number_splits_hot_value(spark):
     assert sorted(r["rn"] for r in rows) == list(range(1, 6001))
     by_rn = sorted(rows, key=lambda r: r["rn"])
     assert [r["k"] for r in by_rn] == sorted(r["k"] for r in rows)
+
+
+def test_uri_paths_and_gzip_spread(spark, scratch):
+    import gzip
+    from kestrel.sources import files as FS
+    for i in range(2):
+        with gzip.open(os.path.join(scratch, f"log{i}.txt.gz"), "wt") as f:
+            f.write("\n".join(f"line {i} {j}" for j in range(500)) + "\n")
+    uri = "file://" + os.path.join(scratch, "log*.txt.gz")       # URIs pass straight through
+    df = FS.read_text(spark, uri, min_partitions=6)
+    assert df.rdd.getNumPartitions() >= 6 and df.count() == 1000
+    c = table(spark, SF_SMALL, "customer")
+    c.write.option("header", True).csv(os.path.join(scratch, "c"))
+    back = FS.read_csv(spark, "file://" + os.path.join(scratch, "c", "*.csv"), c.schema)
+    assert back.exceptAll(c).count() == 0 and back.count() == c.count()
