@@ -61,3 +61,15 @@ def ieee_divide(a, b) -> Column:
     by_zero = (F.when(F.isnan(a) | (a == 0), F.lit(float("nan")))
                .when(a > 0, inf).otherwise(-inf))
     return F.when(b == 0, by_zero).otherwise(a / b)
+
+
+def round_half_away(c, digits: int) -> Column:
+    """Round a double to ``digits`` decimals the way SQL engines that scale
+    first do it: ``sign(x) * floor(|x| * 10^d + 0.5) / 10^d`` (half away
+    from zero on the scaled double).  Spark's ``round`` rounds the double's
+    exact decimal expansion instead, which differs on values whose scaled
+    double lands exactly on .5; using the same arithmetic keeps results
+    comparable digit for digit."""
+    x = _col(c).cast("double")
+    scale = float(10 ** digits)
+    return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)

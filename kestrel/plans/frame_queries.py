@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.arith import round_half_away
 from ..operators import frame as FR
 from ..sources.tables import account, table
 from .registry import query
@@ -24,9 +25,9 @@ def elementwise(spark, sf):
     x = F.col("id") - 750
     ops = FR.python_ops(x, 7)
     return FR.arithmetic(a, ["id"], {
-        "plus_one": F.round(F.col("amount") + 1, 6),
-        "times_two": F.round(F.col("amount") * 2, 6),
-        "squared": F.round(F.pow("amount", 2), 6),
+        "plus_one": round_half_away(F.col("amount") + 1, 6),
+        "times_two": round_half_away(F.col("amount") * 2, 6),
+        "squared": round_half_away(F.pow("amount", 2), 6),
         "floordiv": ops["floordiv"], "mod": ops["mod"].cast("bigint")})
 
 
@@ -101,7 +102,7 @@ WITH {_ACCOUNT} SELECT names, round(avg(amount), 6) AS mean FROM account
 WHERE names IS NOT NULL GROUP BY names""", ids="AG-15")
 def group_mean(spark, sf):
     return FR.group_mean(account(spark, sf), "names", "amount") \
-        .select("names", F.round("mean", 6).alias("mean"))
+        .select("names", round_half_away("mean", 6).alias("mean"))
 
 
 @query("group_mean_filtered", f"""
@@ -109,7 +110,7 @@ WITH {_ACCOUNT} SELECT names, round(avg(amount), 6) AS mean FROM account
 WHERE amount < 0 AND names IS NOT NULL GROUP BY names""", ids="AG-16, PRJ-3")
 def group_mean_filtered(spark, sf):
     return FR.group_mean(account(spark, sf), "names", "amount", F.col("amount") < 0) \
-        .select("names", F.round("mean", 6).alias("mean"))
+        .select("names", round_half_away("mean", 6).alias("mean"))
 
 
 @query("group_count", f"""
@@ -125,7 +126,7 @@ SELECT o_custkey, round(mean, 6) AS mean FROM (
   ORDER BY mean DESC, o_custkey LIMIT 10) t""", ids="SL-3")
 def topk_group_mean(spark, sf):
     return FR.topk_group_mean(table(spark, sf, "orders"), "o_custkey", "o_totalprice", 10) \
-        .select("o_custkey", F.round("mean", 6).alias("mean"))
+        .select("o_custkey", round_half_away("mean", 6).alias("mean"))
 
 
 @query("global_stats", f"""
@@ -136,8 +137,8 @@ SELECT CAST(count(amount) AS BIGINT) AS n, round(sum(amount), 4) AS total,
 FROM account""", ids="AG-9")
 def global_stats(spark, sf):
     s = FR.global_stats(account(spark, sf), "amount")
-    return s.select("n", F.round("total", 4).alias("total"), F.round("mean", 6).alias("mean"),
-                    "min", "max", F.round("var", 4).alias("var"), F.round("std", 6).alias("std"))
+    return s.select("n", round_half_away("total", 4).alias("total"), round_half_away("mean", 6).alias("mean"),
+                    "min", "max", round_half_away("var", 4).alias("var"), round_half_away("std", 6).alias("std"))
 
 
 @query("join_on_column", """

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.arith import round_half_away
 from ..operators import grid as GR
 from ..sources.tables import cube, table, vector
 from .registry import query
@@ -37,7 +38,7 @@ SELECT CAST(event_id // {CHUNK} AS BIGINT) AS chunk, round(sum(value), 4) AS chu
 FROM events GROUP BY ROLLUP (event_id // {CHUNK})""", ids="AG-20")
 def blocked_sum(spark, sf):
     return GR.blocked_sum(vector(spark, sf), "idx", "value", CHUNK) \
-        .select("chunk", F.round("chunk_sum", 4).alias("chunk_sum"), "n")
+        .select("chunk", round_half_away("chunk_sum", 4).alias("chunk_sum"), "n")
 
 
 @query("blocked_mean", f"""
@@ -46,7 +47,7 @@ SELECT round(sum(s) / sum(c), 6) AS mean FROM (
        ids="AG-21")
 def blocked_mean(spark, sf):
     return GR.blocked_mean(vector(spark, sf), "idx", "value", CHUNK) \
-        .select(F.round("mean", 6).alias("mean"))
+        .select(round_half_away("mean", 6).alias("mean"))
 
 
 @query("range_slice", f"""
@@ -88,14 +89,14 @@ def nan_sum(spark, sf):
     v = table(spark, sf, "events").select(
         F.when(F.col("event_type") == "error", F.lit(float("nan")))
          .otherwise(F.col("value")).alias("value"))
-    return GR.nan_sum(v, "value").select(F.round("nansum", 4).alias("nansum"), "n_nan")
+    return GR.nan_sum(v, "value").select(round_half_away("nansum", 4).alias("nansum"), "n_nan")
 
 
 @query("axis_mean", f"""
 WITH {_MATRIX} SELECT j, round(avg(value), 6) AS mean FROM matrix GROUP BY j""", ids="AG-22")
 def axis_mean(spark, sf):
     m = GR.explode_vectors(table(spark, sf, "embeddings"), "vec_id", "embedding")
-    return GR.axis_mean(m, ["j"]).select("j", F.round("mean", 6).alias("mean"))
+    return GR.axis_mean(m, ["j"]).select("j", round_half_away("mean", 6).alias("mean"))
 
 
 @query("axis_mean_strided", f"""
@@ -103,14 +104,14 @@ WITH {_MATRIX} SELECT j, round(avg(value), 6) AS mean FROM matrix
 WHERE j % {AXIS_STRIDE} = 0 GROUP BY j""", ids="GR-4, AG-22, GR-2")
 def axis_mean_strided(spark, sf):
     m = GR.explode_vectors(table(spark, sf, "embeddings"), "vec_id", "embedding", step=AXIS_STRIDE)
-    return GR.axis_mean(m, ["j"]).select("j", F.round("mean", 6).alias("mean"))
+    return GR.axis_mean(m, ["j"]).select("j", round_half_away("mean", 6).alias("mean"))
 
 
 @query("grid_stack", f"""
 WITH {_CUBE} SELECT day, hour, event_type, round(value, 6) AS value, n FROM cube""", ids="GR-1")
 def grid_stack(spark, sf):
     return cube(spark, sf).select("day", "hour", "event_type",
-                                  F.round("value", 6).alias("value"), "n")
+                                  round_half_away("value", 6).alias("value"), "n")
 
 
 @query("grid_anomaly", f"""
@@ -121,4 +122,4 @@ SELECT s.hour, s.event_type, round(s.value - m.mean_value, 6) AS anomaly
 FROM s JOIN m ON s.hour = m.hour AND s.event_type = m.event_type""", ids="JN-6")
 def grid_anomaly(spark, sf):
     a = GR.anomaly(cube(spark, sf), "day", ["hour", "event_type"])
-    return a.select("hour", "event_type", F.round("anomaly", 6).alias("anomaly"))
+    return a.select("hour", "event_type", round_half_away("anomaly", 6).alias("anomaly"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.arith import round_half_away
 from ..operators import pairs as P
 from ..sources.tables import table
 from .registry import query
@@ -27,7 +28,7 @@ SELECT id, round(min(r2), 6) AS nn_r2, round(sum(r2), 6) AS sum_r2, CAST(count(*
 FROM u GROUP BY id""", ids="JN-3, AG-23")
 def pairwise_distance(spark, sf):
     s = P.nearest_stats(table(spark, sf, "embeddings"), "vec_id", "embedding")
-    return s.select("id", F.round("nn_r2", 6).alias("nn_r2"), F.round("sum_r2", 6).alias("sum_r2"),
+    return s.select("id", round_half_away("nn_r2", 6).alias("nn_r2"), round_half_away("sum_r2", 6).alias("sum_r2"),
                     "n_others")
 
 
@@ -37,7 +38,7 @@ SELECT round(sum({_LJ}), 6) AS energy, CAST(count(*) AS BIGINT) AS n_pairs
 FROM d WHERE r2 > {CUTOFF}""", ids="JN-4, PRJ-8")
 def pairwise_potential(spark, sf):
     e = P.pair_energy(table(spark, sf, "embeddings"), "vec_id", "embedding", cutoff=CUTOFF)
-    return e.select(F.round("energy", 6).alias("energy"), "n_pairs")
+    return e.select(round_half_away("energy", 6).alias("energy"), "n_pairs")
 
 
 # The full-matrix form: nansum over every ordered pair, halved.  The matrix
@@ -49,4 +50,4 @@ SELECT round(sum(CASE WHEN isnan({_LJ}) THEN NULL ELSE {_LJ} END), 6) AS energy
        ids="JN-5, AG-24")
 def pairwise_potential_full(spark, sf):
     e = P.pair_energy_full(table(spark, sf, "embeddings"), "vec_id", "embedding")
-    return e.select(F.round("energy", 6).alias("energy"))
+    return e.select(round_half_away("energy", 6).alias("energy"))

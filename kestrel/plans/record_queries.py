@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.arith import round_half_away
 from ..operators import groups as G
 from ..operators import records as R
 from ..sources.tables import nested, table
@@ -54,7 +55,7 @@ def bag_to_frame(spark, sf):
     return R.to_frame(nested(spark, sf), {
         "id": F.col("id"), "file": F.col("file"), "name": F.col("name"),
         "n_tx": F.size("transactions").cast("bigint"),
-        "total": F.round(R.list_sum("transactions", "amount"), 2)})
+        "total": round_half_away(R.list_sum("transactions", "amount"), 2)})
 
 
 @query("nested_mean", f"""
@@ -63,7 +64,7 @@ FROM li JOIN orders o ON li.id = o.o_orderkey WHERE o.o_orderpriority = '{URGENT
        ids="AG-10")
 def nested_mean(spark, sf):
     return R.nested_mean(nested(spark, sf), "transactions", "amount", F.col("name") == URGENT) \
-        .select(F.round("mean", 6).alias("mean"))
+        .select(round_half_away("mean", 6).alias("mean"))
 
 
 @query("nested_count_mean", f"""
@@ -71,7 +72,7 @@ WITH {_REC} SELECT round(avg(n_tx), 6) AS mean_count FROM rec WHERE name = '{URG
        ids="AG-11")
 def nested_count_mean(spark, sf):
     return R.nested_size_mean(nested(spark, sf), "transactions", F.col("name") == URGENT) \
-        .select(F.round("mean_count", 6).alias("mean_count"))
+        .select(round_half_away("mean_count", 6).alias("mean_count"))
 
 
 @query("fold_count", f"""
@@ -92,7 +93,7 @@ WITH {_REC} SELECT name, round(sum(total), 2) AS total FROM rec GROUP BY name"""
 def fold_nested_sum(spark, sf):
     return R.fold_by(nested(spark, sf), "name",
                      {"total": F.sum(R.list_sum("transactions", "amount"))}) \
-        .select("name", F.round("total", 2).alias("total"))
+        .select("name", round_half_away("total", 2).alias("total"))
 
 
 @query("group_collect", """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.arith import round_half_away
 from ..sources.tables import table
 from ..session import work_dir
 from ..streaming.counter import run_tumbling_stream, tumbling_counts
@@ -16,7 +17,7 @@ SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL
 FROM events GROUP BY 1, 2""", ids="ST-1, AG-25")
 def tumbling_counter(spark, sf):
     c = tumbling_counts(table(spark, sf, "events"), "ts", "1 hour", "value")
-    return c.select("window_start", "window_end", "n", F.round("total", 4).alias("total"))
+    return c.select("window_start", "window_end", "n", round_half_away("total", 4).alias("total"))
 
 
 # Append mode writes a window once the watermark (latest event time minus the
@@ -38,4 +39,4 @@ def tumbling_counter_stream(spark, sf):
     out = spark.read.parquet(run.output_path)
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-                      "n", F.round("total", 4).alias("total"))
+                      "n", round_half_away("total", 4).alias("total"))

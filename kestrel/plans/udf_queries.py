@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from ..functions.arith import round_half_away
 from ..operators import udf as U
 from .cache import cut_lineage, persisted
 from ..sources.tables import account, table
@@ -47,8 +48,8 @@ def group_apply(spark, sf):
                             "id long, names string, centered double, z double",
                             context={"group_mean": F.avg("amount"),
                                      "group_std": F.stddev_pop("amount")})
-    return out.select("id", "names", F.round("centered", 6).alias("centered"),
-                      F.round("z", 6).alias("z"))
+    return out.select("id", "names", round_half_away("centered", 6).alias("centered"),
+                      round_half_away("z", 6).alias("z"))
 
 
 @query("udaf_fold", """
@@ -95,5 +96,5 @@ def cached_reuse(spark, sf):
         per = a.groupBy("names").agg(F.avg("amount").alias("mean"), F.count(F.lit(1)).alias("n"))
         tot = a.agg(F.lit("ALL").alias("names"), F.avg("amount").alias("mean"),
                     F.count(F.lit(1)).alias("n"))
-        out = cut_lineage(per.unionByName(tot).select("names", F.round("mean", 6).alias("mean"), "n"))
+        out = cut_lineage(per.unionByName(tot).select("names", round_half_away("mean", 6).alias("mean"), "n"))
     return out
