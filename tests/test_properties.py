@@ -78,3 +78,14 @@ def test_int_floor_div_exact_64bit(spark, pairs):
     df = spark.createDataFrame(pairs, "a long, b long")
     got = [r[0] for r in df.select(int_floor_div("a", "b")).collect()]
     assert got == [a // b for a, b in pairs]
+
+
+def test_round_half_away_matches_duckdb(spark):
+    import duckdb
+    from kestrel.functions.arith import round_half_away
+    vals = [44.5690625, 45.8059375, -2.5e-7, 2.5e-7, -1e-9, 1234.56785, -1234.56785, 0.0, 1e12 + 0.5]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r[0] for r in df.select(round_half_away("x", 6)).collect()]
+    con = duckdb.connect()
+    want = [con.execute(f"SELECT round({v!r}::DOUBLE, 6)").fetchall()[0][0] for v in vals]
+    assert [repr(g) for g in got] == [repr(w) for w in want]
