@@ -220,3 +220,27 @@ def test_uri_paths_and_gzip_spread(spark, scratch):
     c.write.option("header", True).csv(os.path.join(scratch, "c"))
     back = FS.read_csv(spark, "file://" + os.path.join(scratch, "c", "*.csv"), c.schema)
     assert back.exceptAll(c).count() == 0 and back.count() == c.count()
+
+
+def test_sorted_group_runner_across_batches(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(k, i) for k in range(60) for i in range(rnd.randint(1, 40))]
+    rows += [(None, i) for i in range(9)]                       # a NULL key is a group too
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "k long, v long")
+
+    def summarise(pdf):
+        return pd.DataFrame({"k": [pdf["k"].iloc[0]], "n": [len(pdf)], "s": [int(pdf["v"].sum())]})
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = U.run_sorted_groups(df, ["k"], summarise, "k long, n long, s long").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {}
+    for k, v in rows:
+        n, s = want.get(k, (0, 0))
+        want[k] = (n + 1, s + v)
+    assert len(got) == len(want)                                # each group exactly once
+    assert {r["k"]: (r["n"], r["s"]) for r in got} == want
