@@ -180,3 +180,22 @@ def test_flat_map_denormalize(spark):
 
     out = U.flat_map(df, denorm, "id long, name string, amount double")
     assert sorted(tuple(r) for r in out.collect()) == [(1, "Alice", 1.0), (1, "Alice", 2.0)]
+
+
+def test_fold_by_small_batches_many_keys(spark):
+    rnd = random.Random(11)
+    rows = [(rnd.randint(0, 40), rnd.randint(-1000, 1000)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "k long, v long").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        u = {r["key"]: r["value"] for r in U.fold_by(df, "k", "v", np.add, 0,
+                                                       value_type="bigint").collect()}
+        p = {r["key"]: r["value"] for r in U.fold_by(df, "k", "v", lambda a, b: max(a, b),
+                                                       -10**9, value_type="bigint").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    sums, maxes = {}, {}
+    for k, v in rows:
+        sums[k] = sums.get(k, 0) + v
+        maxes[k] = max(maxes.get(k, -10**9), v)
+    assert u == sums and p == maxes
