@@ -137,8 +137,9 @@ SELECT CAST(count(amount) AS BIGINT) AS n, round(sum(amount), 4) AS total,
 FROM account""", ids="AG-9")
 def global_stats(spark, sf):
     s = FR.global_stats(account(spark, sf), "amount")
-    return s.select("n", round_half_away("total", 4).alias("total"), round_half_away("mean", 6).alias("mean"),
-                    "min", "max", round_half_away("var", 4).alias("var"), round_half_away("std", 6).alias("std"))
+    return s.select("n", round_half_away("total", 4).alias("total"),
+                    round_half_away("mean", 6).alias("mean"), "min", "max",
+                    round_half_away("var", 4).alias("var"), round_half_away("std", 6).alias("std"))
 
 
 @query("join_on_column", """
