@@ -180,7 +180,7 @@ def test_pairs_wide_vectors_chunked(spark):
                                "id long, v array<double>")
     energy, n_pairs, full, nn, rowsum = brute(pts)
     old = P.CHUNK_BYTES
-    P.CHUNK_BYTES = 60 * 1024 * 8 * 3            # forces 3-row chunks
+    P.CHUNK_BYTES = 25 * 16 * 3                   # forces chunks of a few rows
     try:
         e = P.pair_energy(df, "id", "v", block_rows=25).first()
     finally:
