@@ -46,3 +46,17 @@ def test_filters_reach_the_scan(spark, name):
     assert pushed, plan
     assert any(tok in ln for ln in pushed for tok in ("In(", "EqualTo", "GreaterThan",
                                                       "LessThan")), pushed
+
+
+def test_spread_is_a_no_op_on_large_inputs(spark):
+    from kestrel.sources.tables import spread
+    many = spark.range(0, 1000, numPartitions=64)
+    assert spread(many, "id") is many                    # enough splits: no shuffle added
+    few = spark.range(0, 1000, numPartitions=1)
+    assert "Exchange" in plan_text(spread(few, "id"))
+
+
+def test_blocked_sum_reads_the_data_once(spark):
+    q = QUERIES["blocked_sum"](spark, SF_SMALL)
+    q.collect()                                          # final adaptive plan after execution
+    assert "ReusedExchange" in plan_text(q)
