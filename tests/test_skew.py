@@ -52,3 +52,33 @@ def test_hot_group_chunked_apply(spark):
     assert agg.agg(F.max("rows")).first()[0] <= 2600
     assert agg.agg(F.sum("n")).first()[0] == li.count()
     assert agg.agg(F.max(F.abs("s"))).first()[0] < 1e-6
+
+
+def test_hot_customer_join_is_split_by_aqe(spark):
+    from kestrel.plans.cache import plan_text
+    from kestrel.plans.joins import join_small
+    o = table(spark, SF, "orders").select(
+        F.when(F.pmod("o_orderkey", F.lit(3)) == 0, F.lit(7).cast("bigint"))
+         .otherwise(F.col("o_custkey")).alias("o_custkey"), "o_orderkey", "o_totalprice") \
+        .repartition(8)        # several map tasks, as any large scan has (AQE splits by map blocks)
+    c = table(spark, SF, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        # max_bytes=-1: the customer side counts as too big to broadcast, as at scale
+        j = join_small(o, c, "o_custkey", max_bytes=-1)
+        n = j.count()
+        j.collect()
+        plan = plan_text(j)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert n == o.count()                                  # every order found its customer
+    assert "skew=true" in plan                             # the hot key's partition was split
