@@ -82,3 +82,27 @@ def test_hot_customer_join_is_split_by_aqe(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert n == o.count()                                  # every order found its customer
     assert "skew=true" in plan                             # the hot key's partition was split
+
+
+def test_many_hot_groups_take_the_shuffle_path(spark):
+    li = skewed_lineitem(spark).select(F.col("l_orderkey").alias("id"),
+                                       F.pmod("l_partkey", F.lit(4)).alias("file"),
+                                       F.col("l_linenumber").cast("bigint").alias("transaction_id"),
+                                       F.col("l_extendedprice").alias("amount"))
+    o = table(spark, SF, "orders").select(F.col("o_orderkey").alias("id"),
+                                          F.col("o_orderpriority").alias("name"))
+
+    def build(max_hot):
+        return R.nest_children(o, li, key="id", part_cols=["file"],
+                               child_cols=["transaction_id", "amount"], list_name="transactions",
+                               max_items=1000, max_hot_groups=max_hot)
+
+    def summary(rec):
+        return sorted((r["id"], r["file"], r["n"], round(r["s"], 2)) for r in R.with_size(
+            rec, "transactions").groupBy("id", "file").agg(
+                F.sum("n").alias("n"), F.sum(R.list_sum("transactions", "amount")).alias("s"),
+                F.max("n").alias("biggest")).filter(F.col("id") == 0).collect())
+
+    shuffled, broadcast = build(0), build(1_000_000)        # 0: hot table never broadcast
+    assert summary(shuffled) == summary(broadcast)
+    assert R.with_size(shuffled, "transactions").agg(F.max("n")).first()[0] <= 1300
