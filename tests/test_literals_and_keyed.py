@@ -199,3 +199,16 @@ def test_fold_by_small_batches_many_keys(spark):
         sums[k] = sums.get(k, 0) + v
         maxes[k] = max(maxes.get(k, -10**9), v)
     assert u == sums and p == maxes
+
+
+def test_ordered_fold_default_partitions_hot_key(spark):
+    rnd = random.Random(17)
+    rows = [(5, i, rnd.randint(0, 99)) for i in range(4000)]
+    rows += [(k, i, rnd.randint(0, 99)) for k in range(6, 400) for i in range(rnd.randint(1, 9))]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "k long, o long, v long").repartition(6)
+    got = {r["k"]: r["fold"] for r in K.ordered_fold(df, "k", ["o"], "v").collect()}
+    expect = {}
+    for k in {r[0] for r in rows}:
+        expect[k] = brute_fold([v for _, _, v in sorted(r for r in rows if r[0] == k)])
+    assert got == expect
