@@ -60,12 +60,28 @@ def exact_divisions(df: DataFrame, key: str, k: int) -> DataFrame:
                        F.count(F.lit(1)).alias("n")))
 
 
-def write_sorted_store(df: DataFrame, key: str, path: str, files: int,
+TARGET_FILE_BYTES = 256 * 1024 * 1024
+MAX_STORE_FILES = 200_000
+
+
+def store_file_count(df: DataFrame, target_bytes: int = TARGET_FILE_BYTES) -> int:
+    """Files for a sorted store: about ``target_bytes`` each by Catalyst's
+    size estimate, and at least one per task slot."""
+    from ..plans.joins import estimated_bytes
+    from ..session import parallelism
+    est = estimated_bytes(df)
+    known = est is not None and 0 < est < 2 ** 60      # Long.MaxValue means "unknown"
+    by_size = -(-est // target_bytes) if known else 0
+    return min(max(parallelism(df.sparkSession), int(by_size)), MAX_STORE_FILES)
+
+
+def write_sorted_store(df: DataFrame, key: str, path: str, files: int | None = None,
                        row_group_rows: int | None = None) -> str:
     """Archive sorted and range-partitioned by ``key``: each file and row
     group covers a narrow key range, so Parquet min/max statistics let a
-    point or range look-up skip almost everything."""
-    w = set_index(df, key, files).write.mode("errorifexists")
+    point or range look-up skip almost everything.  ``files`` defaults to
+    ``store_file_count`` (grows with the data)."""
+    w = set_index(df, key, files or store_file_count(df)).write.mode("errorifexists")
     if row_group_rows:
         w = w.option("parquet.block.size", str(row_group_rows))
     w.parquet(path)
