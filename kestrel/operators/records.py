@@ -100,6 +100,7 @@ def list_count(list_col: str, field: str) -> Column:
 
 
 def list_max(list_col: str, field: str) -> Column:
+    """Largest value of one field over the list (NULL for an empty list)."""
     return F.array_max(F.transform(F.col(list_col), lambda s: s[field]))
 
 
@@ -114,6 +115,7 @@ def nested_mean(df: DataFrame, list_col: str, field: str, cond: Column | None =
 
 
 def nested_size_mean(df: DataFrame, list_col: str, cond: Column | None = None) -> DataFrame:
+    """One row: the mean list length over (filtered) records."""
     if cond is not None:
         df = df.filter(cond)
     return df.agg(F.avg(F.size(F.col(list_col))).alias("mean_count"))
