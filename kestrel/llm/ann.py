@@ -9,9 +9,10 @@ is an index of its own: for every one of ``m`` projections (rows of random
 orthogonal matrices) a sorted array of the block's projected values.  Every
 query is sent to every block.  There its windows, one per projection and
 centred on its own projected value, widen by a constant factor per round
-(virtual rehashing: no new hash values, only further stretches of the sorted
-arrays); each newly covered entry is one collision of its vector.  Vectors
-that reach ``threshold * m`` collisions are candidates; a query stops in a
+(virtual rehashing: no new hash values, only longer stretches of the sorted
+arrays); a vector collides in every projection whose window covers its place
+in the sorted array, which is one comparison of small integers.  Vectors that
+reach ``threshold * m`` collisions are candidates; a query stops in a
 block once it has ``share`` of the block's vectors (at least
 ``candidates_per_k * k``) as candidates or the windows cover the block.  Candidates are
 scored on the original vectors in double precision; a block returns its best
@@ -57,51 +58,49 @@ class BlockIndex:
         rest = np.sqrt(np.maximum(0.0, 1.0 - np.einsum("ij,ij->i", x, x)))
         self.scale = scale
         self.directions = projections(vectors.shape[1] + 1, m, seed)
-        self.projected = np.column_stack([x, rest]) @ self.directions
-        self.order = np.argsort(self.projected, axis=0, kind="stable").astype(np.int32)
-        self.lines = np.take_along_axis(self.projected, self.order, axis=0)
-        self.start = np.std(self.projected) / 2 or 1.0
-        self.widest = np.ptp(self.lines, axis=0).max()
+        projected = np.column_stack([x, rest]) @ self.directions
+        order = np.argsort(projected, axis=0, kind="stable")
+        self.lines = np.ascontiguousarray(np.take_along_axis(projected, order, axis=0).T)
+        small = np.uint16 if len(ids) < 1 << 16 else np.uint32
+        self.places = np.empty((m, len(ids)), dtype=small)      # of every vector in every sorted array
+        for j in range(m):
+            self.places[j, order[:, j]] = np.arange(len(ids), dtype=small)
+        self.start = np.std(projected) or 1.0
 
     def candidates(self, queries: np.ndarray, need: int, wanted: int):
         """Candidate row numbers of each query: vectors with at least ``need``
         collisions at the first width where ``wanted`` of them have that many."""
-        n, m = self.lines.shape
+        m, n = self.places.shape
         wanted = min(wanted, n)
+        total = np.uint8 if m < 256 else np.uint16
         lens = np.sqrt(np.einsum("ij,ij->i", queries, queries))
         q = queries / np.where(lens > 0, lens, 1.0)[:, None]
         at = np.column_stack([q, np.zeros(len(q))]) @ self.directions
         out: list = [None] * len(q)
-        counts = np.zeros((len(q), n), dtype=np.uint16)
-        old_lo = old_hi = None
         active = np.arange(len(q))
         width = self.start
         while len(active):
-            lo = np.empty((len(q), m), dtype=np.int64)
-            hi = np.empty((len(q), m), dtype=np.int64)
+            lo = np.empty((m, len(active)), dtype=self.places.dtype)
+            span = np.empty_like(lo)
             for j in range(m):
-                lo[:, j] = np.searchsorted(self.lines[:, j], at[:, j] - width, side="left")
-                hi[:, j] = np.searchsorted(self.lines[:, j], at[:, j] + width, side="right")
-            if old_lo is None:
-                old_lo = old_hi = (lo + hi) // 2
+                first = np.searchsorted(self.lines[j], at[active, j] - width, side="left")
+                lo[j] = first
+                span[j] = np.searchsorted(self.lines[j], at[active, j] + width, side="right") - first
             left = []
-            for i in active:
-                new = [self.order[lo[i, j]:old_lo[i, j], j] for j in range(m)]
-                new += [self.order[old_hi[i, j]:hi[i, j], j] for j in range(m)]
-                counts[i] += np.bincount(np.concatenate(new), minlength=n).astype(np.uint16)
-                hit = np.flatnonzero(counts[i] >= need)
-                if len(hit) >= wanted or (hi[i] - lo[i]).min() == n:
+            for c, i in enumerate(active):
+                covered = (self.places - lo[:, c:c + 1]) < span[:, c:c + 1]     # unsigned: below lo wraps around
+                hit = np.flatnonzero(np.add.reduce(covered.view(np.uint8), axis=0, dtype=total) >= need)
+                if len(hit) >= wanted or span[:, c].min() == n:
                     out[i] = hit
                 else:
                     left.append(i)
-            old_lo, old_hi = lo, hi
             active = np.array(left, dtype=np.int64)
             width *= GROWTH
         return out
 
     def search(self, query_ids, queries, k, threshold, share, per_k):
         """Best ``k`` of the block per query as ``(query, id, score)`` arrays."""
-        n, m = self.lines.shape
+        m, n = self.places.shape
         wanted = max(math.ceil(share * n), per_k * k)
         q_out, id_out, s_out = [], [], []
         for qid, q, hit in zip(query_ids, queries, self.candidates(queries, math.ceil(threshold * m), wanted)):
