@@ -2,8 +2,8 @@
 
 A line is parsed to a template by a tree of fixed depth:
 
-* tokens are the words between blanks; a token with a digit is a variable
-  field, written ``<*>`` (the *masked* line);
+* white space at its ends goes; tokens are what stands between single blanks;
+  a token with a digit is a variable field, written ``<*>`` (the *masked* line);
 * the leaf of a line is its token count and its first ``depth`` masked tokens;
 * within a leaf, for lines of at least ``long_tokens`` tokens, a token that
   only one distinct masked line has at its place is a variable field too.
@@ -25,19 +25,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.joins import broadcast_if_small
 from .common import materialize
 
 FIELD = "<*>"
+SMALL_TABLE = 16 << 20          # a written table of at most this size (in bytes) may be broadcast
 
 
 def _parsed(docs: DataFrame, depth: int) -> DataFrame:
     """``(doc_id, pos, n, leaf, form, raw, n_var, masked)`` per non-blank line."""
-    line = F.trim(F.regexp_replace("line", r"[ \t\r\f\x0B]+", " "))
+    digit = F.col("line").rlike("[0-9]")           # most lines have none and need no rewriting
     out = (docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-               .select("doc_id", "pos", line.alias("line")).filter("line != ''")
-               .withColumn("masked", F.regexp_replace("line", r"[^ ]*[0-9][^ ]*", FIELD))
-               .withColumn("n", (F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1))
-               .withColumn("n_var", F.size(F.split(F.col("masked"), r"(?<= |^)<\*>(?= |$)")) - 1))
+               .select("doc_id", "pos", F.btrim("line", F.lit(" \t\r\f\x0b")).alias("line")).filter("line != ''")
+               .withColumn("masked", F.when(digit, F.regexp_replace("line", r"[^ ]*[0-9][^ ]*", FIELD)).otherwise(F.col("line")))
+               .withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
+               .withColumn("n_var", F.when(digit, F.size(F.split(F.col("masked"), r"(?<![^ ])<\*>(?![^ ])")) - 1).otherwise(0)))
     return out.select("doc_id", "pos", "n", F.xxhash64("n", F.substring_index("masked", " ", depth)).alias("leaf"),
                       F.xxhash64("masked").alias("form"), F.xxhash64("line").alias("raw"), "n_var", "masked")
 
@@ -47,7 +49,7 @@ def _generalised(lines: DataFrame, parsed: DataFrame, depth: int, long_tokens: i
     forms = lines.filter(F.col("n") >= long_tokens).groupBy("leaf", "form").agg(F.count(F.lit(1)).alias("_c"))
     leaves = forms.groupBy("leaf").agg(F.count(F.lit(1)).alias("forms")).filter("forms > 1").select("leaf")
     leaves = materialize(leaves, "leaves")
-    texts = (parsed.filter(F.col("n") >= long_tokens).join(leaves, "leaf", "left_semi")
+    texts = (parsed.filter(F.col("n") >= long_tokens).join(broadcast_if_small(leaves, SMALL_TABLE), "leaf", "left_semi")
                    .groupBy("leaf", "form").agg(F.min("masked").alias("masked"), F.min("n").alias("n")))
     tokens = materialize(texts.select("leaf", "form", "n", F.posexplode(F.split("masked", " ")).alias("at", "token"))
                               .select("leaf", "form", "n", "at", (F.col("token") == FIELD).alias("field"),
@@ -86,14 +88,14 @@ def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     recurring = (seen.groupBy("template").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first"), F.max("long").alias("long"))
                      .filter(F.col("docs") >= F.when(F.col("long"), min_docs).otherwise(min_docs_short)).select("template", "first"))
     hit = keyed.join(recurring, "template").filter("doc_id > first")
-    return hit.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("lines"))
+    return materialize(hit.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("lines")), "dropped")
 
 
 def drop_lines(docs: DataFrame, hits: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the lines named by ``hits`` (``recurring_lines``) taken
     out of ``text``; columns and other rows stay as they are.  A document all
     of whose lines go keeps an empty text."""
-    h = hits.select(F.col("doc_id").alias("_hit_id"), F.col("lines").alias("_hit_lines"))
+    h = broadcast_if_small(hits.select(F.col("doc_id").alias("_hit_id"), F.col("lines").alias("_hit_lines")), SMALL_TABLE)
     parts = F.split(F.col(text), "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_hit_lines"))
     left = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
