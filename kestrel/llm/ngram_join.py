@@ -6,10 +6,12 @@ least 0.75 (``num / den``).  The join is exact:
 1. **Sets.**  Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; each
    5-gram is a 64-bit hash.  Documents with the same set (exact copies) share
    one node, so a group of copies, however large, is one row from here on.
-2. **Frequency test.**  For features whose hash lies in a fixed 30 % of the
-   hash range, one aggregate tells which occur in a single set.  A set with
-   more than a quarter of its features unique cannot reach 0.75 with any
-   other set and leaves the join (the test never removes a linked set).
+2. **Frequency test.**  A set with more than a quarter of its features unique
+   cannot reach 0.75 with any other set and leaves the join (the test never
+   removes a linked set).  First one aggregate over the features whose hash
+   lies in a fixed 30 % of the hash range drops the sets that share next to
+   nothing; then one over all features of the sets that are left, in which
+   features shared only with dropped sets count as unique too.
 3. **Signatures.**  Sets fall into size bands whose limits grow by 4/3, so a
    linked pair shares a band or lies in neighbouring ones; every set is coded
    for its own band and the next.  Within a code, sizes at most ``R`` and
@@ -23,12 +25,15 @@ least 0.75 (``num / den``).  The join is exact:
    after three partitions under one signature per code.  Sets of up to 11
    features use the finest partition: every subset left after deleting at
    most a quarter of the features.
-4. **Verification** by set intersection, without expanding a bucket into its
-   pairs: first every set against the smallest member of one of its buckets,
-   then against the smallest members of its other buckets where the two are
-   not yet connected, and last the pairs of a bucket that still lie in
-   different components.  Members already connected need no further check,
-   so a bucket of thousands of near copies costs one check per member.
+4. **Verification** without making rows of a bucket's pairs.  First every set
+   is intersected with the smallest member of one of its buckets, which
+   connects most of a group of near copies with one check per member.  Sets
+   that share buckets, directly or through others, form a cluster; a cluster
+   is dealt into blocks (large components into blocks of their own), and every
+   pair of blocks that may hold a link between different components is one
+   piece of work for one task, which counts common features by postings and
+   returns at most one edge per component.  Blocks are bounded in sets and in
+   features, so a cluster of any size is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -47,6 +52,8 @@ WIDTH = 5
 TINY = 11                       # sets up to this size are coded by deletion
 SEEDS = 3
 FREQUENCY_SHARE = 0.30          # share of the hash range counted in step 2
+BLOCK_SETS = 1024               # sets, and features, of a block in step 4
+BLOCK_FEATURES = 1 << 20
 _U = np.uint64
 # one odd multiplier per place in a shingle, so that word order matters
 _SHIFT = mix64(np.arange(1, 9, dtype=np.uint64)) | _U(1)
@@ -114,6 +121,12 @@ def _counted_features(docs: DataFrame, width: int, share: float) -> DataFrame:
     return docs.mapInArrow(run, "feature bigint, set_key bigint")
 
 
+def _unique_features(features: DataFrame) -> DataFrame:
+    """``(set_key, unique)``: features that no other set of ``features`` has."""
+    return (features.groupBy("feature").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi"))
+                    .filter("lo = hi").groupBy(F.col("lo").alias("set_key")).agg(F.count(F.lit(1)).alias("unique")))
+
+
 # ------------------------------------------------------------- signatures
 
 def band_limits(upto: int) -> list[int]:
@@ -274,9 +287,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 def _set_components(src: DataFrame, base: DataFrame, num: int, den: int, width: int) -> DataFrame:
     """``(node, component)`` over set keys, for sets with at least one link."""
     spark = src.sparkSession
-    single = (_counted_features(src, width, FREQUENCY_SHARE)
-              .groupBy("feature").agg(F.min("set_key").alias("lo"), F.max("set_key").alias("hi"))
-              .filter("lo = hi").groupBy(F.col("lo").alias("set_key")).agg(F.count(F.lit(1)).alias("unique")))
+    single = _unique_features(_counted_features(src, width, FREQUENCY_SHARE))
     alive = (base.filter(F.col("set_key").isNotNull())
                  .groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
                  .join(single, "set_key", "left")
@@ -284,7 +295,13 @@ def _set_components(src: DataFrame, base: DataFrame, num: int, den: int, width:
                  .filter(F.col("doc_id").isNotNull()).select("doc_id"))
     alive = materialize(alive, "alive")
     release_shuffles(spark)
-    sets = materialize(_sets_of(src.join(alive, "doc_id", "left_semi"), width), "features")
+    near = materialize(_sets_of(src.join(alive, "doc_id", "left_semi"), width), "features")
+    single = _unique_features(near.select(F.explode("features").alias("feature"), "set_key"))
+    n = F.size("features")
+    sets = materialize(near.join(single, "set_key", "left")
+                           .filter(den * (n - F.coalesce("unique", F.lit(0))) >= num * n)
+                           .select("set_key", "features"), "features")
+    drop_tables(near, alive)
     release_shuffles(spark)
     sigs = _signature_rows(sets)
     shared = sigs.groupBy("sig").agg(F.min("set_key").alias("rep"), F.max("set_key").alias("top")) \
@@ -297,26 +314,97 @@ def _set_components(src: DataFrame, base: DataFrame, num: int, den: int, width:
     edges = materialize(_verify(first, sets, num, den), "links")
     comp = materialize(connected_components(edges, "a", "b"), "components")
 
-    def again(pairs: DataFrame, edges: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
-        found = materialize(_verify(pairs, sets, num, den), "links")
-        if found.isEmpty():
-            return edges, comp
-        edges = materialize(edges.unionByName(found), "links")
-        return edges, materialize(connected_components(edges, "a", "b"), "components")
-
-    # against the smallest members of its other buckets, unless connected already
-    rest = members.filter("set_key > rep").select(F.col("rep").alias("a"), F.col("set_key").alias("b")).distinct()
-    rest = _with_component(_with_component(rest, comp, "a", "ca"), comp, "b", "cb").filter("ca != cb").select("a", "b")
-    edges, comp = again(rest, edges, comp)
-
-    # pairs of a bucket that neither touch its smallest member nor are connected
-    tagged = _with_component(members, comp, "set_key", "c").filter("set_key > rep").select("sig", "set_key", "c")
-    mixed = tagged.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("sig")
-    tagged = materialize(tagged.join(mixed, "sig", "left_semi"), "mixed")
-    if not tagged.isEmpty():
-        left = tagged.select("sig", F.col("set_key").alias("a"), F.col("c").alias("ca"))
-        right = tagged.select("sig", F.col("set_key").alias("b"), F.col("c").alias("cb"))
-        cross = left.join(right, "sig").filter("a < b AND ca != cb").select("a", "b").distinct()
-        edges, comp = again(cross, edges, comp)
-    drop_tables(members, sets, alive, tagged)
+    # sets that share buckets, and what is left to compare among them
+    star = members.filter("set_key > rep").select(F.col("rep").alias("a"), F.col("set_key").alias("b")).distinct()
+    clusters = materialize(connected_components(star, "a", "b"), "clusters")
+    drop_tables(members)
+    release_shuffles(spark)
+    more = materialize(_between_components(clusters, comp, sets, num, den), "links")
+    if not more.isEmpty():
+        comp = materialize(connected_components(edges.unionByName(more), "a", "b"), "components")
+    drop_tables(sets, clusters)
     return comp
+
+
+def _between_components(clusters: DataFrame, comp: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``(a, b)``: edges that connect the components of each cluster wherever
+    two of their sets are linked."""
+    member = _with_component(clusters.select(F.col("node").alias("set_key"), F.col("component").alias("cluster")),
+                             comp, "set_key", "c")
+    member = member.join(sets.select("set_key", F.size("features").alias("n")).distinct(), "set_key")
+    open_ = member.groupBy("cluster").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("in_cluster"),
+                                          F.sum("n").alias("cluster_n")) \
+                  .filter("lo < hi AND in_cluster > 2").drop("lo", "hi")      # two sets have been compared already
+    size = member.groupBy("c").agg(F.count(F.lit(1)).alias("in_c"), F.sum("n").alias("c_n"))
+    blocks = lambda count, n: F.greatest(F.ceil(count / BLOCK_SETS), F.ceil(n / BLOCK_FEATURES))
+    large = (F.col("in_c") >= BLOCK_SETS // 4) | (F.col("c_n") >= BLOCK_FEATURES // 4)
+    placed = (member.join(open_, "cluster").join(size, "c")
+                    .withColumn("pure", F.when(large, F.col("c")))
+                    .withColumn("block", F.when(large, F.xxhash64("c", F.pmod(F.xxhash64("set_key"), blocks(F.col("in_c"), F.col("c_n")))))
+                                .otherwise(F.xxhash64("cluster", F.pmod(F.xxhash64("c"), blocks(F.col("in_cluster"), F.col("cluster_n"))))))
+                    .select("cluster", "block", "pure", "set_key", "c"))
+    placed = materialize(placed, "placed")
+    table = placed.select("cluster", "block", "pure").distinct()
+    other = table.select("cluster", F.col("block").alias("o"), F.col("pure").alias("o_pure"))
+    pairs = table.join(other, "cluster").filter("NOT (pure <=> o_pure AND pure IS NOT NULL)") \
+                 .select("block", F.least("block", "o").alias("x"), F.greatest("block", "o").alias("y"))
+    work = placed.select("block", "set_key", "c").join(pairs, "block").join(sets, "set_key") \
+                 .select("x", "y", "block", "set_key", "c", "features")
+    edge = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(group: pa.Table) -> pa.Table:
+        x, y = group["x"][0].as_py(), group["y"][0].as_py()
+        group = group.combine_chunks()
+        keys, comps, block = (group[c].to_numpy() for c in ("set_key", "c", "block"))
+        lists = group["features"].chunk(0) if group["features"].num_chunks else pa.array([], pa.list_(pa.int64()))
+        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        left = np.flatnonzero(block == x)
+        right = left if x == y else np.flatnonzero(block == y)
+        a, b = linked_components(flat, ends, keys, comps, left, right, num, den)
+        return pa.table({"a": a, "b": b}, schema=edge)
+
+    return work.groupBy("x", "y").applyInArrow(run, "a bigint, b bigint")
+
+
+def linked_components(flat: np.ndarray, ends: np.ndarray, keys: np.ndarray, comps: np.ndarray, left: np.ndarray,
+                      right: np.ndarray, num: int, den: int) -> tuple[list[int], list[int]]:
+    """Edges between linked sets of ``left`` and ``right`` (row numbers) that
+    connect different components; each edge merges two of them.  ``flat`` and
+    ``ends`` hold the feature lists."""
+    sizes = np.diff(ends)
+    # postings of the right side: rows by feature
+    at = np.concatenate([np.arange(ends[r], ends[r + 1]) for r in right]) if len(right) else np.empty(0, dtype=np.int64)
+    owner = np.repeat(np.arange(len(right)), sizes[right])
+    order = np.argsort(flat[at], kind="stable")
+    feats, owner = flat[at][order], owner[order]
+    values, starts = np.unique(feats, return_index=True)
+    stops = np.append(starts[1:], len(feats))
+    root = {c: c for c in set(comps.tolist())}
+
+    def find(c):
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    out_a, out_b = [], []
+    for i in left:
+        f = flat[ends[i]:ends[i + 1]]
+        p = np.searchsorted(values, f)
+        inside = p < len(values)
+        p, f = p[inside], f[inside]
+        p = p[values[p] == f]
+        lens = stops[p] - starts[p]
+        total = int(lens.sum())
+        if not total:
+            continue
+        gather = np.repeat(starts[p] - np.concatenate(([0], np.cumsum(lens)[:-1])), lens) + np.arange(total)
+        both = np.bincount(owner[gather], minlength=len(right))
+        hit = np.flatnonzero((den * both >= num * (sizes[i] + sizes[right] - both)) & (comps[right] != comps[i]))
+        for j in hit:
+            ca, cb = find(int(comps[i])), find(int(comps[right[j]]))
+            if ca != cb:
+                root[max(ca, cb)] = min(ca, cb)
+                out_a.append(int(keys[i]))
+                out_b.append(int(keys[right[j]]))
+    return out_a, out_b
