@@ -92,7 +92,8 @@ def path_templates(paths: DataFrame, depth: int = 5, fan_out: int = 50, slug_sha
         cur = cur.withColumn("prefix", prefix).join(kids, ["host", "prefix"], "left")
         wild = F.concat(prefix, F.array(F.lit(WILD)), F.slice("final", d + 2, depth + 1))
         cur = cur.withColumn("final", F.when(F.col("slugs") & (F.size("final") > d), wild).otherwise(F.col("final"))).drop("prefix", "slugs")
-    cur = materialize(cur, "templates")
+        # a table per level: with no slugs the joins vanish and the levels' expressions would multiply
+        cur = materialize(cur, "templates")
     # merge similar branches: the children of a host's root and what lies below them
     branch = F.get(F.col("final"), F.lit(0))
     below = F.array_join(F.slice("final", 2, depth + 1), "/")
