@@ -1,9 +1,10 @@
 """Quality score by regularised quadratic discriminant analysis.
 
 Every text becomes a vector of transformed document statistics (logs of
-counts, log-odds of shares).  Training is one pass: the count, sum and
-product sum of the vectors of each class, added up per task and then per
-class, so the number of labelled documents is not limited.  Each class has a
+counts, log-odds of shares).  ``describe`` computes the vectors once, so labels are joined to
+vectors and not to texts.  Training is one pass: the count, sum and product
+sum of the vectors of each class, added up per task and then per class, so
+the number of labelled documents is not limited.  Each class has a
 Gaussian with its own mean and a covariance shrunk towards the pooled one and
 towards its diagonal; the Cholesky factors are computed once and travel with
 the scoring function.  The score is the logistic of the difference of the two
@@ -107,9 +108,37 @@ def _features(texts) -> np.ndarray:
     return np.array([statistics(t.as_py()) for t in texts], dtype=np.float64).reshape(-1, len(STATISTICS))
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "label", shrink: float = 0.3, pooled: float = 0.3,
-        temperature: float = 2.0) -> Discriminant:
-    """Fit on every row of ``labelled`` whose label is 0 or 1 (other and null
+def describe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str | None = None) -> DataFrame:
+    """``(doc_id, x[, label])`` for every row of ``docs``: ``x`` holds the
+    ``STATISTICS`` of the whole text, a null text counting as empty.  Null ids
+    and repeated rows are kept; other columns are not read."""
+    d = len(STATISTICS)
+
+    def run(batches):
+        for b in batches:
+            flat = pa.array(_features(b.column(1)).ravel(), pa.float64())
+            x = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1) * d, pa.int32()), flat)
+            yield pa.RecordBatch.from_arrays([b.column(0), x, *b.columns[2:]], names=names)
+
+    names = ["doc_id", "x", *(["label"] if label else [])]
+    more = [F.col(label).cast("int").alias("label")] if label else []
+    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), *more) \
+               .mapInArrow(run, "doc_id bigint, x array<double>" + (", label int" if label else ""))
+
+
+def _vectors(column) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(STATISTICS))
+
+
+def fit(labelled: DataFrame, text: str = "text", label: str = "label", **options) -> Discriminant:
+    """``fit_described`` on the texts of ``labelled``."""
+    rows = labelled.filter(F.col(label).isin(0, 1)).withColumn("_id", F.lit(None).cast("bigint"))
+    return fit_described(describe(rows, "_id", text, label), **options)
+
+
+def fit_described(described: DataFrame, shrink: float = 0.3, pooled: float = 0.3,
+                  temperature: float = 2.0) -> Discriminant:
+    """Fit on every row ``(x, label)`` whose label is 0 or 1 (other and null
     labels are ignored).  No labelled rows, or rows of one class only, give a
     model whose score is the smoothed share of class 1."""
     d = len(STATISTICS)
@@ -117,7 +146,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", shrink: f
     def moments(batches):
         count, total, product = np.zeros(2), np.zeros((2, d)), np.zeros((2, d, d))
         for b in batches:
-            x, y = _features(b.column(0)), b.column(1).to_numpy(zero_copy_only=False)
+            x, y = _vectors(b.column(0)), b.column(1).to_numpy(zero_copy_only=False)
             for c in (0, 1):
                 part = x[y == c]
                 count[c] += len(part)
@@ -129,7 +158,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", shrink: f
             [pa.array(np.repeat([0, 1], size), pa.int32()), pa.array(np.tile(np.arange(size), 2), pa.int32()),
              pa.array(np.concatenate(flat))], names=["label", "at", "value"])
 
-    rows = labelled.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label")).filter("label IN (0, 1)")
+    rows = described.select("x", F.col("label").cast("int").alias("label")).filter("label IN (0, 1)")
     sums = rows.mapInArrow(moments, "label int, at int, value double").groupBy("label", "at").agg(F.sum("value").alias("value"))
     flat = np.zeros((2, 1 + d + d * d))
     for r in sums.collect():                   # a fixed 2 (1 + d + d^2) numbers, whatever the corpus
@@ -142,9 +171,13 @@ def score(docs: DataFrame, model: Discriminant, doc_id: str = "doc_id", text: st
     of class 1 for the whole text.  Null texts are scored as empty ones;
     repeated rows get equal scores; null ids are kept.  Other columns are not
     read."""
+    return score_described(describe(docs, doc_id, text), model)
+
+
+def score_described(described: DataFrame, model: Discriminant) -> DataFrame:
+    """``(doc_id, score)`` for every row of a described table."""
     def run(batches):
         for b in batches:
-            s = model.scores(_features(b.column(1))) if b.num_rows else np.empty(0)
+            s = model.scores(_vectors(b.column(1))) if b.num_rows else np.empty(0)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], names=["doc_id", "score"])
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")) \
-               .mapInArrow(run, "doc_id bigint, score double")
+    return described.select("doc_id", "x").mapInArrow(run, "doc_id bigint, score double")

@@ -67,11 +67,13 @@ def op5_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    path = work_dir(spark, "statistics")       # read twice: to learn, joined with the labels, and to score
+    quality.describe(table(spark, sf, "documents")).write.parquet(path)
+    described = spark.read.parquet(path)
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
-    learn = docs.filter(~held_out("doc_id", 4, 2)).join(labels.filter("label IS NOT NULL"), "doc_id")
-    model = quality.fit(learn)
-    return quality.score(docs, model).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score",
+    learn = described.filter(~held_out("doc_id", 4, 2)).join(labels.filter("label IS NOT NULL"), "doc_id")
+    model = quality.fit_described(learn)
+    return quality.score_described(described, model).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score",
                                              (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
