@@ -22,7 +22,7 @@ def _col(c) -> Column:
 
 def floor_div(a, b) -> Column:
     """Python ``a // b`` for integers: floor, not truncation. Raises on b = 0."""
-    return F.floor(_col(a) / _col(b))
+    return int_floor_div(a, b)
 
 
 def int_floor_div(a, b) -> Column:
@@ -32,7 +32,7 @@ def int_floor_div(a, b) -> Column:
     exact.  Raises on ``b = 0``, as Python does."""
     a, b = _col(a), _col(b)
     q = F.call_function("div", a, b)
-    r = a % b
+    r = a - q * b
     return F.when((r != 0) & ((r < 0) != (b < 0)), q - 1).otherwise(q)
 
 
@@ -69,7 +69,10 @@ def round_half_away(c, digits: int) -> Column:
     from zero on the scaled double).  Spark's ``round`` rounds the double's
     exact decimal expansion instead, which differs on values whose scaled
     double lands exactly on .5; using the same arithmetic keeps results
-    comparable digit for digit."""
+    comparable digit for digit.  From 2^52 on the scaled double has no
+    fraction left to round: such values, infinities and NaN come back as
+    they are."""
     x = _col(c).cast("double")
     scale = float(10 ** digits)
-    return F.signum(x) * F.floor(F.abs(x) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    scaled = F.abs(x) * F.lit(scale)
+    return F.when(scaled < F.lit(2.0 ** 52), F.signum(x) * F.floor(scaled + F.lit(0.5)) / F.lit(scale)).otherwise(x)

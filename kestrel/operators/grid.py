@@ -117,19 +117,10 @@ def stack(slices: Sequence[DataFrame], axis: str = "axis0") -> DataFrame:
 
 
 def stack_files(spark, paths: Sequence[str], axis: str = "axis0") -> DataFrame:
-    """Stack one-slice-per-path arrays in a single scan: the axis value of a
-    row is the position in ``paths`` of the file or folder it was read from
-    (recovered from ``input_file_name``).  Last path components must be
-    distinct."""
-    names = [p.rstrip("/").split("/")[-1] for p in paths]
-    if len(set(names)) != len(names):
-        raise ValueError("stacked paths need distinct last components")
-    f = F.input_file_name()
-    pos = None
-    for i, n in enumerate(names):
-        hit = f.contains(f"/{n}/") | f.endswith(f"/{n}")
-        pos = F.when(hit, F.lit(i)) if pos is None else pos.when(hit, F.lit(i))
-    return spark.read.parquet(*paths).withColumn(axis, pos.cast("bigint"))
+    """Stack one-slice-per-path arrays: the axis value of a row is the
+    position in ``paths`` of the file or folder it is read from.  Every slice
+    is its own scan with its own literal, so names need not be distinct."""
+    return stack([spark.read.parquet(p) for p in paths], axis)
 
 
 def anomaly(grid: DataFrame, axis: str, dims: Sequence[str], value: str = "value",

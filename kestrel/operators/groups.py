@@ -18,28 +18,23 @@ def group_members(df: DataFrame, key: Column, member: str, key_name: str = "key"
     """``(key, member, group_size)``: the grouping ``b.groupby(f)`` in long form.
 
     Group sizes come from a partial/final aggregate and are joined back on
-    the key; a hot key is handled by AQE's skew-join split of the member
-    side, and the size table is broadcast only if it is proven small.
+    the key, null-safely, so the members with a NULL key stay; a hot key is
+    handled by AQE's skew-join split of the member side, and the size table is
+    broadcast only if it is proven small.
     """
     m = df.select(key.alias(key_name), F.col(member))
-    sizes = m.groupBy(key_name).agg(F.count(F.lit(1)).alias("group_size"))
-    return m.join(broadcast_if_small(sizes), key_name)
+    sizes = m.groupBy(F.col(key_name).alias("_group")).agg(F.count(F.lit(1)).alias("group_size"))
+    return m.join(broadcast_if_small(sizes), F.col(key_name).eqNullSafe(F.col("_group"))).drop("_group")
 
 
-def collect_members_bounded(df: DataFrame, key: Column, member: str, max_members: int,
-                            key_name: str = "key", sep: str = ",") -> DataFrame:
-    """``(key, members)`` with members sorted and joined into one string.
-
-    Only for groups proven small: the largest group size is computed first
-    (one distributed aggregate) and a ``ValueError`` is raised when it is
-    over ``max_members``; use ``group_members`` then.
-    """
-    m = df.select(key.alias(key_name), F.col(member).cast("string").alias("_m"))
-    biggest = m.groupBy(key_name).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0]
-    if biggest is not None and biggest > max_members:
-        raise ValueError(f"largest group has {biggest} members > {max_members}")
-    return m.groupBy(key_name).agg(
-        F.array_join(F.array_sort(F.collect_list("_m")), sep).alias("members"))
+def ordered_members(df: DataFrame, key: Column, member: str, key_name: str = "key",
+                    name: str = "position") -> DataFrame:
+    """``(key, position, member)``: the members of each group in ascending
+    order, counted from 1, in long form.  Positions come from the distributed
+    global rank, so a hot group is sorted by many tasks."""
+    from ..plans.ranking import positions_in_groups
+    m = df.select(key.alias(key_name), F.col(member))
+    return positions_in_groups(m, key_name, [member], name).select(key_name, name, member)
 
 
 def group_reduce(df: DataFrame, key: Column, aggs: dict[str, Column],

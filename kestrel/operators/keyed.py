@@ -18,9 +18,14 @@ from pyspark.sql import functions as F
 from ..plans.joins import broadcast_if_small
 
 
-def upsert_if_absent(base: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """``putIfAbsent`` for every update row: base rows win, new keys added."""
-    return base.unionByName(updates.join(base.select(key), key, "left_anti"))
+def upsert_if_absent(base: DataFrame, updates: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """``putIfAbsent`` for every update row: base rows win, new keys added.
+    Of several updates of one key the first by ``order`` counts (a column of
+    ``updates`` alone; without it, the one with the smallest values)."""
+    rest = [c for c in base.columns if c != key]
+    first = F.min(F.struct(*([F.col(order).alias("_at")] if order else []), *rest))
+    once = updates.groupBy(key).agg(first.alias("_first")).select(key, *[f"_first.{c}" for c in rest])
+    return base.unionByName(once.join(base.select(key), key, "left_anti"))
 
 
 def _was(new: Column, old: Column) -> Column:
@@ -28,15 +33,26 @@ def _was(new: Column, old: Column) -> Column:
 
 
 def upsert_merge(base: DataFrame, updates: DataFrame, key: str, value: str,
-                 combine: Callable[[Column, Column], Column] = _was) -> DataFrame:
+                 combine: Callable[[Column, Column], Column] = _was, order: str | None = None) -> DataFrame:
     """``merge(k, v, f)``: keys in both get ``combine(new, old)``; others
-    keep whichever side has them (full outer join)."""
+    keep whichever side has them (full outer join).
+
+    Several updates of one key are merged one after another by ``order`` (a
+    column of ``updates``; without it, by value), so the result has one row
+    per key.  ``combine`` need not be associative, so the update values of one
+    key are held together for that; NULL values merge nothing.
+    """
+    def merged(acc, new):
+        return F.when(acc.isNull(), new).otherwise(combine(new, acc))
+
+    kind = base.schema[value].dataType
     b = base.select(key, F.col(value).alias("_old"))
-    u = updates.select(key, F.col(value).alias("_new"))
+    entry = F.struct(F.col(order or value).alias("_at"), F.col(value).cast(kind).alias("_new"))
+    u = updates.filter(F.col(value).isNotNull()).groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_news"))
     j = b.join(u, key, "full_outer")
-    return j.select(key, F.when(F.col("_old").isNotNull() & F.col("_new").isNotNull(),
-                                combine(F.col("_new"), F.col("_old")))
-                    .otherwise(F.coalesce("_new", "_old")).alias(value))
+    folded = F.aggregate(F.coalesce("_news", F.array().cast(u.schema["_news"].dataType)), F.col("_old"),
+                         lambda acc, e: merged(acc, e["_new"]))
+    return j.select(key, folded.alias(value))
 
 
 def lookup_default(keys: DataFrame, base: DataFrame, key: str, value: str, default) -> DataFrame:
@@ -64,21 +80,13 @@ def kv_strings(df: DataFrame, key: str, value: str, sep: str = "=") -> Column:
     return F.concat(F.col(key).cast("string"), F.lit(sep), F.col(value).cast("string"))
 
 
-def kv_concat(df: DataFrame, group: str, key: str, value: str, sep: str = ", ",
-              max_members: int = 100_000) -> DataFrame:
-    """``(group, kv)``: ``k=v`` strings of a group joined in key order.
-
-    The result is one string per group, so the group must be bounded: the
-    largest group is measured first and a ``ValueError`` raised above
-    ``max_members``.
-    """
-    biggest = df.groupBy(group).count().agg(F.max("count")).first()[0]
-    if biggest is not None and biggest > max_members:
-        raise ValueError(f"group of {biggest} entries > {max_members}")
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"),
-                                                 kv_strings(df, key, value).alias("s"))))
-    return df.groupBy(group).agg(
-        F.array_join(F.transform(pairs, lambda x: x["s"]), sep).alias("kv"))
+def kv_entries(df: DataFrame, group: str, key: str, value: str) -> DataFrame:
+    """``(group, position, kv)``: the ``k=v`` strings of each group in key
+    order, in long form, so that a group of any size is sorted and written by
+    many tasks."""
+    from ..plans.ranking import positions_in_groups
+    rows = df.select(group, F.col(key).alias("_k"), kv_strings(df, key, value).alias("kv"))
+    return positions_in_groups(rows, group, ["_k", "kv"], "position").select(group, "position", "kv")
 
 
 def search_first(df: DataFrame, group: str, cond: Column, order: str,
@@ -86,17 +94,14 @@ def search_first(df: DataFrame, group: str, cond: Column, order: str,
     """Per group, the matching row with the lowest ``order`` value
     (``search`` made deterministic).
 
-    The lowest value per group is a hash aggregate on a fixed-width column
-    (partial before the shuffle, no sort of the rows); the matching rows are
-    then fetched by joining on (group, lowest value), with the per-group
-    table broadcast only if proven small.  ``order`` must be unique within a
-    group (a key), else tied rows are all returned.
+    One aggregate, partial before the shuffle: the smallest struct of order
+    value and wanted columns.  Rows tied on ``order`` give the one with the
+    smallest columns; rows without an order value come last.
     """
-    hits = df.filter(cond)
-    firsts = hits.groupBy(group).agg(F.min(order).alias(order))
-    keep = [c for c in cols if c not in (group, order)]
-    return hits.select(group, order, *keep).join(broadcast_if_small(firsts), [group, order]) \
-        .select(group, *cols)
+    first = F.min(F.struct(F.col(order).isNull().alias("_last"), F.col(order).alias("_at"),
+                           *[F.col(c).alias(f"_c{i}") for i, c in enumerate(cols)]))
+    return df.filter(cond).groupBy(group).agg(first.alias("_first")) \
+        .select(group, *[F.col(f"_first._c{i}").alias(c) for i, c in enumerate(cols)])
 
 
 # ----------------------------------------------------------- ordered fold

@@ -9,20 +9,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
+from ..functions.arith import int_floor_div
 
-def floor_ratio(a, b) -> Column:
-    """Python ``a // b`` (floor) as BIGINT; raises on b = 0 under ANSI."""
+
+def floor_ratio(a, b, integers: bool = False) -> Column:
+    """Python ``a // b`` (floor) as BIGINT; raises on b = 0 under ANSI.
+    ``integers``: both sides are integer columns, divided exactly."""
     a = F.col(a) if isinstance(a, str) else a
     b = F.col(b) if isinstance(b, str) else b
-    return F.floor(a / b).cast("bigint")
+    return (int_floor_div(a, b) if integers else F.floor(a / b)).cast("bigint")
+
+
+def _integers(df: DataFrame, *cols: str) -> bool:
+    return all(isinstance(df.schema[c].dataType, IntegralType) for c in cols)
 
 
 def floor_ratio_sum(df: DataFrame, a: str, b: str) -> DataFrame:
     """One row: ``sum(a // b)`` over zipped columns (the ratio/summation
     job).  A zero divisor fails the job, as in the reference; use
     ``quarantine`` to keep going."""
-    return df.agg(F.sum(floor_ratio(a, b)).alias("total"))
+    return df.agg(F.sum(floor_ratio(a, b, _integers(df, a, b))).alias("total"))
 
 
 def quarantine(df: DataFrame, checks: dict[str, Column], error: str = "error") -> DataFrame:
@@ -60,8 +68,9 @@ def ratio_with_quarantine(df: DataFrame, a: str, b: str) -> DataFrame:
     """``(status, n, total)``: good rows summed, bad rows counted per reason,
     from one scan and one aggregate."""
     tagged = quarantine(df, zero_divisor_checks(a, b))
+    # a NULL in place of a zero divisor: no row can fail, whatever order Spark evaluates in
     ratio = F.when(F.col("error").isNull(),
-                   F.floor(F.try_divide(F.col(a), F.col(b))).cast("bigint"))
+                   floor_ratio(F.col(a), F.nullif(F.col(b), F.lit(0)), _integers(df, a, b)))
     return (tagged.groupBy(F.coalesce(F.col("error"), F.lit("ok")).alias("status"))
                   .agg(F.count(F.lit(1)).alias("n"), F.sum(ratio).alias("total")))
 

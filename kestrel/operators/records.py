@@ -16,49 +16,32 @@ from pyspark.sql import functions as F
 
 
 def nest_children(parent: DataFrame, child: DataFrame, key: str, part_cols: Sequence[str],
-                  child_cols: Sequence[str], list_name: str, max_items: int = 1000,
-                  max_hot_groups: int = 1_000_000) -> DataFrame:
+                  child_cols: Sequence[str], list_name: str) -> DataFrame:
     """One record per parent and part: parent columns + list of child structs.
 
-    ``part_cols`` split a parent's children over several records (the "one
-    line per account and file" layout).  No record holds more than about
-    ``max_items`` children: group sizes are counted first (a partial
-    aggregate over the key columns), and only groups above the bound - hot
-    keys - are split into ``ceil(size / max_items)`` records by a hash of the
-    child, so a key with a third of all rows becomes many bounded records
-    spread over many tasks.  The hot-group table is materialised with a
-    reliable checkpoint and broadcast only when its row count is proven
-    small; with no hot group the plan is the plain grouping.  Parents without
-    children get one record with an empty list and parts set to 0.  Lists
-    are sorted, so records are deterministic.
+    ``part_cols`` are columns of the child that split a parent's children over
+    several records (the "one line per account and file" layout); the layout
+    depends on them alone, never on a measured size.  A record is one row, so
+    where a parent may have very many children, part columns must keep its
+    lists small; ``record_stats`` computes per-record figures without lists.
+    Parents without children get one record with an empty list and parts set
+    to 0.  Lists are sorted, so records are deterministic.
     """
-    from ..plans.cache import cut_lineage
-    groups = [key, *part_cols]
-    sizes = child.groupBy(*groups).agg(F.count(F.lit(1)).alias("_size"))
-    biggest = sizes.agg(F.max("_size")).first()[0] or 0      # one aggregate, one number back
-    n_hot = 0
-    if biggest > max_items:
-        hot = cut_lineage(sizes.filter(F.col("_size") > max_items)
-                          .select(*groups, F.ceil(F.col("_size") / max_items).alias("_chunks")))
-        n_hot = hot.count()
-    if n_hot:
-        side = F.broadcast(hot) if n_hot <= max_hot_groups else hot
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in child_cols]), F.col("_chunks"))
-        child = (child.join(side, groups, "left")
-                      .withColumn("_chunk", F.coalesce(salt, F.lit(0)).cast("bigint")).drop("_chunks"))
-        if n_hot > max_hot_groups:        # too many to broadcast: spread the chunks explicitly
-            child = child.repartition(*groups, "_chunk")
-    else:
-        child = child.withColumn("_chunk", F.lit(0).cast("bigint"))
-    grouped = (child.groupBy(*groups, "_chunk")
-                    .agg(F.array_sort(F.collect_list(F.struct(*child_cols))).alias(list_name))
-                    .drop("_chunk"))
-    rec = parent.join(grouped, key, "left")
-    empty = F.array().cast(grouped.schema[list_name].dataType)
-    return rec.select(*parent.columns,
-                      *[F.coalesce(F.col(p), F.lit(0).cast(grouped.schema[p].dataType)).alias(p)
-                        for p in part_cols],
-                      F.coalesce(F.col(list_name), empty).alias(list_name))
+    lists = F.array_sort(F.collect_list(F.struct(*child_cols)))
+    rec = record_stats(parent, child, key, part_cols, {list_name: lists})
+    return rec.withColumn(list_name, F.coalesce(F.col(list_name), F.array().cast(rec.schema[list_name].dataType)))
+
+
+def record_stats(parent: DataFrame, child: DataFrame, key: str, part_cols: Sequence[str],
+                 aggs: dict[str, Column]) -> DataFrame:
+    """One row per record of ``nest_children``: parent columns, parts, and
+    aggregates over the record's children taken from the long form (partial
+    aggregation before the shuffle, so a hot parent is one row per map task).
+    Aggregates of a parent without children are NULL."""
+    grouped = child.groupBy(key, *part_cols).agg(*[a.alias(n) for n, a in aggs.items()])
+    return parent.join(grouped, key, "left").select(
+        *parent.columns,
+        *[F.coalesce(F.col(p), F.lit(0).cast(grouped.schema[p].dataType)).alias(p) for p in part_cols], *aggs)
 
 
 def pluck(df: DataFrame, *fields: str) -> DataFrame:
@@ -132,11 +115,14 @@ def to_frame(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
     return df.select(*[c.alias(n) for n, c in cols.items()])
 
 
-def parse_json_records(df: DataFrame, text: str, schema) -> DataFrame:
-    """JSON text column to typed columns; a malformed line yields NULL
-    fields (``from_json`` is permissive) instead of failing the job."""
-    return df.select(F.from_json(F.col(text), schema).alias("_r"), *[c for c in df.columns if c != text]) \
-        .select("_r.*", *[c for c in df.columns if c != text])
+def parse_json_records(df: DataFrame, text: str, schema: str, corrupt_col: str | None = None) -> DataFrame:
+    """JSON text column to the typed columns of the DDL ``schema``; a malformed
+    line yields NULL fields instead of failing the job, and ``corrupt_col``
+    (if named) holds its text, NULL for a good line."""
+    rest = [c for c in df.columns if c != text]
+    options = {"columnNameOfCorruptRecord": corrupt_col} if corrupt_col else {}
+    full = f"{schema}, `{corrupt_col}` STRING" if corrupt_col else schema
+    return df.select(F.from_json(F.col(text), full, options).alias("_r"), *rest).select("_r.*", *rest)
 
 
 def read_json_records(spark, path: str, schema, corrupt_col: str = "_corrupt_record") -> DataFrame:

@@ -38,8 +38,13 @@ def read_keyed(spark: SparkSession, root: str, key: str, fmt: str = "orc") -> Da
 
 def set_index(df: DataFrame, key: str, partitions: int) -> DataFrame:
     """Re-index: range-partition on ``key`` and sort inside partitions, so
-    partitions are ordered and disjoint (``set_index``)."""
-    return df.repartitionByRange(partitions, key).sortWithinPartitions(key)
+    partitions are ordered (``set_index``).  A hash of the row and its input
+    partition, both fixed on a retry, is the last range key: a hot value spans
+    several neighbouring partitions, which then share it as a boundary; other
+    values lie in one partition each unless a boundary falls on them."""
+    tie = F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id())
+    return (df.withColumn("_index_tie", tie).repartitionByRange(partitions, key, "_index_tie")
+              .sortWithinPartitions(key).drop("_index_tie"))
 
 
 def divisions(indexed: DataFrame, key: str) -> DataFrame:
@@ -52,8 +57,10 @@ def divisions(indexed: DataFrame, key: str) -> DataFrame:
 
 def exact_divisions(df: DataFrame, key: str, k: int) -> DataFrame:
     """``(tile, lo, hi, n)``: ``k`` equal-count divisions (``ntile``) with
-    exact boundaries, computed without a single-partition window."""
-    ranked = global_row_number(df.select(key), [key], "rn")
+    exact boundaries, computed without a single-partition window.  The row's
+    hash is ranked after the key, so a hot value is sorted by many tasks."""
+    tied = df.select(key, F.xxhash64(*[F.col(c) for c in df.columns]).alias("_row"))
+    ranked = global_row_number(tied, [key, "_row"], "rn")
     total = ranked.count()
     return (ranked.withColumn("tile", ntile_column("rn", total, k)).groupBy("tile")
                   .agg(F.min(key).alias("lo"), F.max(key).alias("hi"),
@@ -61,7 +68,6 @@ def exact_divisions(df: DataFrame, key: str, k: int) -> DataFrame:
 
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
-MAX_STORE_FILES = 200_000
 
 
 def store_file_count(df: DataFrame, target_bytes: int = TARGET_FILE_BYTES) -> int:
@@ -72,7 +78,7 @@ def store_file_count(df: DataFrame, target_bytes: int = TARGET_FILE_BYTES) -> in
     est = estimated_bytes(df)
     known = est is not None and 0 < est < 2 ** 60      # Long.MaxValue means "unknown"
     by_size = -(-est // target_bytes) if known else 0
-    return min(max(parallelism(df.sparkSession), int(by_size)), MAX_STORE_FILES)
+    return max(parallelism(df.sparkSession), int(by_size))
 
 
 def write_sorted_store(df: DataFrame, key: str, path: str, files: int | None = None,
@@ -83,7 +89,7 @@ def write_sorted_store(df: DataFrame, key: str, path: str, files: int | None = N
     ``store_file_count`` (grows with the data)."""
     w = set_index(df, key, files or store_file_count(df)).write.mode("errorifexists")
     if row_group_rows:
-        w = w.option("parquet.block.size", str(row_group_rows))
+        w = w.option("parquet.block.row.count.limit", str(row_group_rows))
     w.parquet(path)
     return path
 

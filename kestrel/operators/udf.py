@@ -2,34 +2,41 @@
 per-group functions, user folds, and frames generated by functions.
 
 Built-in Column expressions stay the default everywhere else; these exist
-for code Spark cannot express.  None of them hands a whole dataset, or an
-unbounded group, to one task:
+for code Spark cannot express.  Memory per task is bounded by Arrow batches,
+whatever the size of a group, and no answer depends on a measured size:
 
 * ``map_values`` / ``filter_values`` run vectorised on Arrow batches;
-* ``apply_in_groups`` runs an exact per-group function only after checking
-  the largest group against a bound;
-* both group runners walk key-sorted partitions with ``mapInPandas``, so
-  many small groups do not pay one Python round trip each;
-* ``apply_in_chunks`` splits every group into chunks of bounded size (hot
-  groups get more chunks) and hands the function the group's statistics,
-  computed by Spark, next to each chunk;
-* ``fold_by`` folds each partition first and combines the per-partition
-  partials per key (at most one partial per partition and key).
+* ``apply_in_groups`` hands the function each whole group as an iterator of
+  pieces in a stated order;
+* ``apply_in_chunks`` hands it pieces of a group next to the group's
+  statistics, computed by Spark, and needs no shuffle of the rows;
+* ``fold_by`` folds each partition into one accumulator per key and merges
+  the accumulators per key.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
 from ..plans.joins import broadcast_if_small
 
+#: Rows gathered into one output batch, and accumulators held before they are
+#: passed on; both bound memory only, results do not depend on them.
+OUT_ROWS = 10_000
+HELD_KEYS = 100_000
+_NAN = float("nan")
+
 
 def map_values(fn: Callable[[pd.Series], pd.Series], return_type: DataType | str):
     """Wrap a vectorised ``Series -> Series`` function as a pandas UDF."""
@@ -42,154 +49,181 @@ def filter_values(df: DataFrame, col: str, pred: Callable[[pd.Series], pd.Series
     return df.filter(keep(F.col(col)))
 
 
-def run_sorted_groups(df: DataFrame, group_cols: Sequence[str], fn, schema: str,
-                      drop: Sequence[str] = ()) -> DataFrame:
-    """Call ``fn(pandas_frame)`` once per group of ``group_cols``.
-
-    Spark hash-partitions the rows on the group columns and sorts each
-    partition; every task then walks its sorted Arrow batches and hands
-    each complete group to ``fn`` (a group split over two batches is
-    carried over).  Unlike ``applyInPandas``, many small groups cost one
-    Python round trip per batch, not per group.  Groups must be bounded
-    (callers chunk hot groups first).
+def _pieces(pdf: pd.DataFrame, cols: list[str]):
+    """``(key, rows)`` for every run of equal keys of a batch; NULL is a key."""
+    change = np.zeros(len(pdf), dtype=bool)
+    change[0] = True
+    for c in cols:
+        v = pdf[c].to_numpy()
+        gone = pd.isna(v)
+        change[1:] |= (v[1:] != v[:-1]) & ~(gone[1:] & gone[:-1])
+    starts = np.flatnonzero(change)
+    for a, b in zip(starts, [*starts[1:], len(pdf)]):
+        key = tuple(None if pd.isna(pdf[c].iat[a]) else pdf[c].iat[a] for c in cols)
+        yield key, pdf.iloc[a:b].reset_index(drop=True)
+
+
+def _batched(frames):
+    """Join small output frames, about ``OUT_ROWS`` rows at a time."""
+    held, n = [], 0
+    for f in frames:
+        if len(f):
+            held.append(f)
+            n += len(f)
+        if n >= OUT_ROWS:
+            yield pd.concat(held, ignore_index=True)
+            held, n = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def apply_in_groups(df: DataFrame, keys: Sequence[str], fn, schema: str, order: Sequence[str] = ()) -> DataFrame:
+    """``groupby(keys).apply(fn)`` on whole groups of any size.
+
+    ``fn(key, frames)`` is called once per group (NULL keys are groups too);
+    ``frames`` iterates over the group's rows as pandas pieces of at most one
+    Arrow batch, sorted by ``order``, and ``fn`` yields output frames.  Spark
+    hash-partitions the rows on the keys and sorts each partition, which
+    spills, so a task holds one batch and what ``fn`` keeps.  One group runs in
+    one task, since ``fn`` sees it in order; for functions that only need the
+    group's statistics, ``apply_in_chunks`` spreads a hot group.
     """
-    cols = list(group_cols)
-
-    def runner(batches):
-        buf, cur = [], None                 # rows of the open group, its key hash
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            h = pd.util.hash_pandas_object(pdf[cols], index=False).to_numpy()
-            body = pdf.drop(columns=list(drop)) if drop else pdf
-            starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-            ends = np.r_[starts[1:], len(pdf)]
-            outs = []
-            for a, b in zip(starts, ends):
-                if buf and h[a] != cur:
-                    outs.append(fn(buf[0] if len(buf) == 1 else pd.concat(buf, ignore_index=True)))
-                    buf = []
-                buf.append(body.iloc[a:b].reset_index(drop=True))
-                cur = h[a]
-            outs = [o for o in outs if len(o)]
-            if outs:                        # one Arrow batch out per batch in
-                yield pd.concat(outs, ignore_index=True)
-        if buf:
-            out = fn(buf[0] if len(buf) == 1 else pd.concat(buf, ignore_index=True))
-            if len(out):
-                yield out
+    cols = list(keys)
 
-    return df.repartition(*cols).sortWithinPartitions(*cols).mapInPandas(runner, schema)
+    def run(batches):
+        runs = (piece for pdf in batches if len(pdf) for piece in _pieces(pdf, cols))
+        groups = itertools.groupby(runs, key=lambda piece: piece[0])
+        yield from _batched(out for key, own in groups for out in fn(key, (frame for _, frame in own)))
 
+    return df.repartition(*cols).sortWithinPartitions(*cols, *order).mapInPandas(run, schema)
 
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
 
+def run_sorted_groups(df: DataFrame, group_cols: Sequence[str], fn, schema: str) -> DataFrame:
+    """``apply_in_groups`` for a function of one pandas frame: the task joins
+    the pieces of each group, so it holds the largest group in memory."""
+    return apply_in_groups(df, group_cols,
+                           lambda _, frames: [fn(pd.concat(list(frames), ignore_index=True))], schema)
 
-def apply_in_groups(df: DataFrame, keys: Sequence[str], fn, schema: str,
-                    max_group_rows: int = 5_000_000) -> DataFrame:
-    """Exact ``groupby(keys).apply(fn)``: each group is one pandas frame.
 
-    A group must fit in one task, so the largest group is measured first
-    (one aggregate) and a ``ValueError`` is raised above ``max_group_rows``;
-    use ``apply_in_chunks`` for functions that can work chunk by chunk.
-    """
-    biggest = group_sizes(df, keys).agg(F.max("_size")).first()[0]
-    if biggest is not None and biggest > max_group_rows:
-        raise ValueError(f"largest group has {biggest} rows > {max_group_rows}")
-    return run_sorted_groups(df, keys, fn, schema)
+def with_group_stats(df: DataFrame, keys: Sequence[str], stats: dict[str, Column]) -> DataFrame:
+    """``df`` plus group-level aggregates on every row (NULL keys form a group):
+    a partial and final aggregate, joined back on the keys null-safely."""
+    own = {k: f"_group_{i}" for i, k in enumerate(keys)}
+    found = df.groupBy(*[F.col(k).alias(a) for k, a in own.items()]).agg(*[c.alias(n) for n, c in stats.items()])
+    same = functools.reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(a)) for k, a in own.items()])
+    return df.join(broadcast_if_small(found), same).drop(*own.values())
 
 
 def apply_in_chunks(df: DataFrame, keys: Sequence[str], fn, schema: str,
-                    context: dict[str, Column] | None = None,
-                    max_chunk_rows: int = 1_000_000,
-                    salt_cols: Sequence[str] | None = None) -> DataFrame:
-    """Per-group function over bounded chunks of each group.
+                    context: dict[str, Column] | None = None) -> DataFrame:
+    """Per-group function over pieces of each group.
 
     ``context`` names group-level aggregates (computed by Spark, partial
     then final) that are joined onto every row before the function runs, so
-    a function that needs, say, the group mean sees it in every chunk.
-    A group of ``s`` rows is split into ``ceil(s / max_chunk_rows)`` chunks
-    by a hash of the row, so one hot key never lands in a single task.  The
-    hash covers ``salt_cols`` (default: every column) and the input
-    partition id - both fixed on a retry, unlike row positions - so rows that
-    are identical in every column still spread over chunks when they come
-    from different input partitions; pass a unique column as ``salt_cols``
-    when there is one.
+    a function that needs, say, the group mean sees it in every piece.  A
+    piece holds the rows of one group in one Arrow batch: ``fn`` must not
+    depend on how a group is cut, and a hot group is spread over all tasks
+    that read its rows.
     """
-    aggs = [F.count(F.lit(1)).alias("_size")]
-    aggs += [c.alias(n) for n, c in (context or {}).items()]
-    stats = df.groupBy(*keys).agg(*aggs).withColumn(
-        "_chunks", F.greatest(F.lit(1), F.ceil(F.col("_size") / F.lit(max_chunk_rows))))
-    rows = df.join(broadcast_if_small(stats), list(keys))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in (salt_cols or df.columns)],
-                             F.spark_partition_id()), F.col("_chunks"))
-    rows = rows.withColumn("_chunk", salt).drop("_size", "_chunks")
-    return run_sorted_groups(rows, [*keys, "_chunk"], fn, schema, drop=["_chunk"])
-
-
-def fold_by(df: DataFrame, key: Column | str, value: str,
+    rows = with_group_stats(df, keys, context) if context else df
+
+    def run(batches):
+        yield from _batched(fn(piece.reset_index(drop=True)) for pdf in batches if len(pdf)
+                            for _, piece in pdf.groupby(list(keys), sort=False, dropna=False))
+    return rows.mapInPandas(run, schema)
+
+
+def _fold(op, acc, values):
+    if isinstance(op, np.ufunc):
+        return op(acc, op.reduce(values)) if len(values) else acc
+    return functools.reduce(op, values, acc)
+
+
+def _plain(x):
+    return x.item() if isinstance(x, np.generic) else x
+
+
+def fold_by(df: DataFrame, key: Column | str, value: Column | str,
             binop: Callable | np.ufunc, initial,
             combine: Callable | np.ufunc | None = None, combine_initial=None,
             value_type: str = "double") -> DataFrame:
-    """``foldby(key, binop, initial, combine, combine_initial)``.
-
-    Each partition folds its rows per key (``binop`` from ``initial``);
-    partials are shuffled by key and combined (``combine`` from
-    ``combine_initial``).  ``initial`` must be neutral for ``binop`` or the
+    """``foldby(key, binop, initial, combine, combine_initial)`` as
+    ``(key, value)``; ``value_type`` is the type of the accumulator.
+
+    Each partition starts every key from ``initial`` and applies ``binop(acc,
+    value)`` once per row; the accumulators are shuffled by key and merged
+    with ``combine(acc, acc)``, from ``combine_initial`` where it is given.
+    ``combine`` defaults to ``binop``, which is right only where accumulator
+    and value are alike.  ``initial`` must be neutral for ``combine`` or the
     answer depends on the partitioning, as in the reference.  NumPy ufuncs
-    (``np.maximum``, ``np.add``) run vectorised via ``ufunc.reduceat``.
+    (``np.maximum``, ``np.add``) run vectorised and skip NULL values; other
+    functions get ``None``.  NULL and NaN are keys.
+
+    A task holds at most about ``HELD_KEYS`` accumulators and passes them on
+    beyond that, so a key has one accumulator per partition, or some more
+    where keys are many; the merge streams over key-sorted accumulators.
     """
-    combine = combine or binop
-    combine_initial = initial if combine_initial is None else combine_initial
+    merge = combine or binop
     kcol = F.col(key) if isinstance(key, str) else key
-    pairs = df.select(kcol.alias("key"), F.col(value).cast(value_type).alias("value"))
+    vcol = F.col(value) if isinstance(value, str) else value
+    pairs = df.select(kcol.alias("key"), vcol.alias("value"))
     key_type = pairs.schema["key"].dataType.simpleString()
-
-    def reduce_group(op, init, values: np.ndarray):
-        if isinstance(op, np.ufunc):
-            return op.reduce(np.r_[init, values])
-        return functools.reduce(op, values.tolist(), init)
-
-    def reduce_runs(pdf: pd.DataFrame, op=binop) -> pd.DataFrame:
-        """Fold each key's values (no initial) - vectorised for ufuncs."""
-        pdf = pdf.sort_values("key", kind="stable")
-        k = pdf["key"].to_numpy()
-        v = pdf["value"].to_numpy()
-        starts = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-        if isinstance(op, np.ufunc):
-            red = op.reduceat(v, starts)
-        else:
-            ends = np.r_[starts[1:], len(v)]
-            red = [functools.reduce(op, v[a:b].tolist()) for a, b in zip(starts, ends)]
-        return pd.DataFrame({"key": k[starts], "value": red})
-
-    def partial(batches):
-        parts = [reduce_runs(pdf) for pdf in batches if len(pdf)]
-        if parts:
-            folded = reduce_runs(pd.concat(parts, ignore_index=True))
-            # ``initial`` enters once per partition and key, as in foldby
-            init = np.full(len(folded), initial, dtype=object)
+    value_arrow = to_arrow_type(DataType.fromDDL(value_type))
+
+    def batch(rows, key_arrow):
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], key_arrow),
+                                           pa.array([_plain(v) for _, v in rows], value_arrow)], names=["key", "value"])
+
+    def partials(batches):
+        held: dict = {}
+        key_arrow = None
+        for b in batches:
+            key_arrow = b.schema.field(0).type
+            coded = pc.dictionary_encode(b.column(0), null_encoding="encode")
+            names = [_NAN if k != k else k for k in coded.dictionary.to_pylist()]
+            for k in names:
+                held.setdefault(k, initial)
+            at = coded.indices.to_numpy(zero_copy_only=False)
+            column = b.column(1)
             if isinstance(binop, np.ufunc):
-                folded["value"] = binop(folded["value"].to_numpy(), np.full(len(folded), initial))
+                there = pc.is_valid(column)
+                at = at[there.to_numpy(zero_copy_only=False)]
+                values = column.filter(there).to_numpy(zero_copy_only=False)
             else:
-                folded["value"] = [binop(i, x) for i, x in zip(init, folded["value"])]
-            yield folded
+                values = column.to_pylist()
+            order = np.argsort(at, kind="stable")
+            for rows in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
+                if len(rows):
+                    k = names[at[rows[0]]]
+                    own = values[rows] if isinstance(binop, np.ufunc) else [values[i] for i in rows]
+                    held[k] = _fold(binop, held[k], own)
+            if len(held) > HELD_KEYS:
+                yield batch(list(held.items()), key_arrow)
+                held = {}
+        if held:
+            yield batch(list(held.items()), key_arrow)
 
     def final(batches):
-        # all partials of a key are in this partition (hash exchange on key)
-        parts = [pdf for pdf in batches if len(pdf)]
-        if parts:
-            folded = reduce_runs(pd.concat(parts, ignore_index=True), combine)
-            vals = folded["value"].tolist()
-            folded["value"] = [reduce_group(combine, combine_initial, np.array([x])) for x in vals] \
-                if not isinstance(combine, np.ufunc) else \
-                combine(np.full(len(folded), combine_initial), folded["value"].to_numpy())
-            yield folded
+        # the accumulators of a key lie together in this partition (hash exchange and sort on the key)
+        out, cur, acc = [], None, None
+        for b in batches:
+            key_arrow = b.schema.field(0).type
+            for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                k = _NAN if k != k else k
+                if cur is not None and (k is cur[0] or k == cur[0]):
+                    acc = _plain(merge(acc, v))
+                    continue
+                if cur is not None:
+                    out.append((cur[0], acc))
+                cur, acc = (k,), v if combine_initial is None else _plain(merge(combine_initial, v))
+            if len(out) >= OUT_ROWS:
+                yield batch(out, key_arrow)
+                out = []
+        if cur is not None:
+            yield batch([*out, (cur[0], acc)], key_arrow)
 
     schema = f"key {key_type}, value {value_type}"
-    partials = pairs.mapInPandas(partial, schema)
-    return partials.repartition("key").mapInPandas(final, schema)
+    return pairs.mapInArrow(partials, schema).repartition("key").sortWithinPartitions("key").mapInArrow(final, schema)
 
 
 def flat_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
@@ -212,6 +246,5 @@ def from_functions(args: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
     generates the sub-frames of its own arguments."""
     def gen(batches):
         for pdf in batches:
-            for _, row in pdf.iterrows():
-                yield fn(row.to_frame().T.reset_index(drop=True))
+            yield from _batched(fn(pdf.iloc[i:i + 1].reset_index(drop=True)) for i in range(len(pdf)))
     return args.mapInPandas(gen, schema)

@@ -47,6 +47,17 @@ def global_row_number(df: DataFrame, order: Sequence[str], name: str = "rn",
                .drop("__rank_pid", "__rank_pos", "__rank_off"))
 
 
+def positions_in_groups(df: DataFrame, group: str, order: Sequence[str], name: str) -> DataFrame:
+    """``df`` plus ``name``: 1-based position within ``group`` (NULL is a
+    group) in ``order``; the global rank less the group's lowest rank."""
+    from .joins import broadcast_if_small
+    ranked = global_row_number(df, [group, *order], "__rank_rn")
+    first = ranked.groupBy(F.col(group).alias("__rank_group")).agg(F.min("__rank_rn").alias("__rank_first"))
+    return (ranked.join(broadcast_if_small(first), F.col(group).eqNullSafe(F.col("__rank_group")))
+                  .withColumn(name, F.col("__rank_rn") - F.col("__rank_first") + 1)
+                  .drop("__rank_rn", "__rank_group", "__rank_first"))
+
+
 def ntile_column(rn: str, total: int, k: int):
     """SQL ``ntile(k)`` from a 1-based position and the row total: the first
     ``total % k`` tiles get one extra row."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.arith import round_half_away
 from ..operators import groups as G
 from ..operators import records as R
-from ..sources.tables import nested, table
+from ..sources.tables import nested, nested_stats, table
 from .registry import query
 
 # The nested view in SQL: one record per order and file (l_partkey % 4),
@@ -31,7 +31,7 @@ def pluck_field(spark, sf):
 @query("nested_count", f"WITH {_REC} SELECT id, file, name, CAST(n_tx AS BIGINT) AS n FROM rec",
        ids="PRJ-10, FN-8")
 def nested_count(spark, sf):
-    return R.with_size(nested(spark, sf), "transactions").select("id", "file", "name", "n")
+    return nested_stats(spark, sf, n=F.count(F.lit(1))).select("id", "file", "name", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 @query("flatten_nested", f"WITH {_REC} SELECT transaction_id, amount FROM li", ids="PRJ-11")
@@ -52,10 +52,9 @@ WITH {_REC}
 SELECT id, file, name, CAST(n_tx AS BIGINT) AS n_tx, round(total, 2) AS total FROM rec""",
        ids="SRC-13")
 def bag_to_frame(spark, sf):
-    return R.to_frame(nested(spark, sf), {
+    return R.to_frame(nested_stats(spark, sf, n=F.count(F.lit(1)), total=F.sum("amount")), {
         "id": F.col("id"), "file": F.col("file"), "name": F.col("name"),
-        "n_tx": F.size("transactions").cast("bigint"),
-        "total": round_half_away(R.list_sum("transactions", "amount"), 2)})
+        "n_tx": F.coalesce("n", F.lit(0)), "total": round_half_away(F.coalesce("total", F.lit(0.0)), 2)})
 
 
 @query("nested_mean", f"""
@@ -63,36 +62,35 @@ WITH {_REC} SELECT round(avg(li.amount), 6) AS mean
 FROM li JOIN orders o ON li.id = o.o_orderkey WHERE o.o_orderpriority = '{URGENT}'""",
        ids="AG-10")
 def nested_mean(spark, sf):
-    return R.nested_mean(nested(spark, sf), "transactions", "amount", F.col("name") == URGENT) \
-        .select(round_half_away("mean", 6).alias("mean"))
+    rec = nested_stats(spark, sf, n=F.count("amount"), total=F.sum("amount")).filter(F.col("name") == URGENT)
+    return rec.agg(round_half_away(F.try_divide(F.sum("total"), F.sum("n")), 6).alias("mean"))
 
 
 @query("nested_count_mean", f"""
 WITH {_REC} SELECT round(avg(n_tx), 6) AS mean_count FROM rec WHERE name = '{URGENT}'""",
        ids="AG-11")
 def nested_count_mean(spark, sf):
-    return R.nested_size_mean(nested(spark, sf), "transactions", F.col("name") == URGENT) \
-        .select(round_half_away("mean_count", 6).alias("mean_count"))
+    rec = nested_stats(spark, sf, n=F.count(F.lit(1))).filter(F.col("name") == URGENT)
+    return rec.agg(round_half_away(F.avg(F.coalesce("n", F.lit(0))), 6).alias("mean_count"))
 
 
 @query("fold_count", f"""
 WITH {_REC} SELECT name, CAST(count(*) AS BIGINT) AS n FROM rec GROUP BY name""", ids="AG-14")
 def fold_count(spark, sf):
-    return R.fold_by(nested(spark, sf), "name", {"n": F.count(F.lit(1))})
+    return R.fold_by(nested_stats(spark, sf, n=F.count(F.lit(1))), "name", {"n": F.count(F.lit(1))})
 
 
 @query("fold_max", f"""
 WITH {_REC} SELECT name, max(max_amount) AS max_amount FROM rec GROUP BY name""", ids="AG-14")
 def fold_max(spark, sf):
-    return R.fold_by(nested(spark, sf), "name",
-                     {"max_amount": F.max(R.list_max("transactions", "amount"))})
+    return R.fold_by(nested_stats(spark, sf, largest=F.max("amount")), "name", {"max_amount": F.max("largest")})
 
 
 @query("fold_nested_sum", f"""
 WITH {_REC} SELECT name, round(sum(total), 2) AS total FROM rec GROUP BY name""", ids="AG-14")
 def fold_nested_sum(spark, sf):
-    return R.fold_by(nested(spark, sf), "name",
-                     {"total": F.sum(R.list_sum("transactions", "amount"))}) \
+    return R.fold_by(nested_stats(spark, sf, amount=F.sum("amount")), "name",
+                     {"total": F.coalesce(F.sum("amount"), F.lit(0.0))}) \
         .select("name", round_half_away("total", 2).alias("total"))
 
 

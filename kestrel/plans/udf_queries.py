@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.arith import round_half_away
 from ..operators import udf as U
 from .cache import cut_lineage, persisted
-from ..sources.tables import account, table
+from ..sources.tables import account, nested, table
 from .registry import query
 
 _ACCOUNT = "account AS (SELECT c_custkey AS id, c_mktsegment AS names, c_acctbal AS amount FROM customer)"
@@ -61,6 +61,74 @@ def udaf_fold(spark, sf):
                      np.maximum, np.iinfo(np.int64).min, value_type="bigint")
 
 
+def _incr(count, _):
+    return count + 1
+
+
+def _add(a, b):
+    return a + b
+
+
+def _add_amounts(total, amounts):
+    return total + float(sum(amounts))
+
+
+_NESTED = """li AS (SELECT l_orderkey AS id, l_partkey % 4 AS file, l_extendedprice AS amount FROM lineitem)"""
+
+
+@query("udaf_fold_count", f"""
+WITH {_ACCOUNT} SELECT names AS key, CAST(count(*) AS BIGINT) AS value FROM account GROUP BY names""", ids="UD-3, AG-14")
+def udaf_fold_count(spark, sf):
+    return U.fold_by(account(spark, sf), "names", "amount", _incr, 0, _add, 0, value_type="bigint")
+
+
+@query("udaf_fold_amounts", f"""
+WITH {_NESTED}
+SELECT o.o_orderpriority AS key, round(coalesce(sum(li.amount), 0), 2) AS value
+FROM orders o LEFT JOIN li ON li.id = o.o_orderkey GROUP BY 1""", ids="UD-3, AG-14")
+def udaf_fold_amounts(spark, sf):
+    amounts = F.transform("transactions", lambda t: t["amount"])
+    return U.fold_by(nested(spark, sf), "name", amounts, _add_amounts, 0.0, _add, 0.0) \
+        .select("key", round_half_away("value", 2).alias("value"))
+
+
+def _median(key, frames):
+    """The middle of a group whose rows come in order; ``n`` is its size."""
+    at, middle = 0, []
+    for f in frames:
+        n = int(f["n"].iat[0])
+        for place in sorted({(n - 1) // 2, n // 2}):
+            if at <= place < at + len(f):
+                middle.append(f["amount"].iat[place - at])
+        at += len(f)
+    yield pd.DataFrame({"names": [key[0]], "median": [sum(middle) / len(middle)]})
+
+
+@query("group_median", f"""
+WITH {_ACCOUNT} SELECT names, round(median(amount), 6) AS median FROM account WHERE amount IS NOT NULL GROUP BY names""",
+       ids="UD-2")
+def group_median(spark, sf):
+    rows = account(spark, sf).select("names", "amount").filter("amount IS NOT NULL")
+    sized = U.with_group_stats(rows, ["names"], {"n": F.count(F.lit(1))})
+    return U.apply_in_groups(sized, ["names"], _median, "names string, median double", order=["amount"]) \
+        .select("names", round_half_away("median", 6).alias("median"))
+
+
+def _transaction_rows(pdf: pd.DataFrame) -> pd.DataFrame:
+    rows = [(i, n, t["transaction_id"], t["amount"])
+            for i, n, own in zip(pdf["id"], pdf["name"], pdf["transactions"]) for t in own]
+    return pd.DataFrame(rows, columns=["id", "name", "transaction_id", "amount"])
+
+
+@query("flat_map_records", """
+SELECT o.o_orderkey AS id, o.o_orderpriority AS name, CAST(l.l_linenumber AS BIGINT) AS transaction_id,
+       l.l_extendedprice AS amount
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""", ids="UD-4")
+def flat_map_records(spark, sf):
+    return U.flat_map(nested(spark, sf).select("id", "name", "transactions"), _transaction_rows,
+                      "id long, name string, transaction_id long, amount double")
+
+
 def _day_hours(arg: pd.DataFrame) -> pd.DataFrame:
     day = arg["day"].iloc[0]
     return pd.DataFrame({"day": [day] * 24, "hour": np.arange(24, dtype=np.int64)})

@@ -56,12 +56,10 @@ def build_session(master: str | None = None, app: str = "kestrel",
 
 def _fallback_dir(spark: SparkSession, local: bool) -> str:
     """Where to work when ``spark.checkpoint.dir`` is unset: a fresh scratch
-    folder for local runs (tests); on a cluster a folder under the shared
-    warehouse directory, never a machine-local temporary folder."""
+    folder for local runs (tests).  A cluster must name a shared folder."""
     if local:
         return tempfile.mkdtemp(prefix="kestrel-ckpt-")
-    base = spark.conf.get("spark.sql.warehouse.dir", None) or "spark-warehouse"
-    return f"{base.rstrip('/')}/_kestrel_checkpoints"
+    raise ValueError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -64,11 +64,3 @@ def random_normal(spark: SparkSession, shape: Sequence[int], mean: float = 0.0,
         idx.append(F.pmod(F.expr(f"id div {stride}"), F.lit(int(n))).alias(f"i{d}"))
     gen = F.randn(seed) if seed is not None else F.randn()
     return cells.select(*idx, (gen * std + mean).alias("value"))
-
-
-def make_cluster(spark: SparkSession, natoms: int, radius: float = 40.0, seed: int = 1981,
-                 dims: int = 3) -> DataFrame:
-    """``(id, v ARRAY<DOUBLE>)``: points with coordinates normal(0, radius)
-    minus 0.5, generated on the executors."""
-    coords = [(F.randn(seed + d) * radius - 0.5) for d in range(dims)]
-    return spark.range(0, natoms).select(F.col("id"), F.array(*coords).alias("v"))

@@ -114,19 +114,29 @@ def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested_from(o, li)
 
 
-def nested_from(orders: DataFrame, lineitem: DataFrame, max_items: int = 1000) -> DataFrame:
-    """The nested records of ``nested`` from given orders / lineitem frames;
-    a record holds at most about ``max_items`` transactions (hot orders are
-    split, see ``records.nest_children``)."""
+def nested_from(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """The nested records of ``nested`` from given orders / lineitem frames."""
     from ..operators.records import nest_children
-    o = orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"))
-    # spread by order key: the grouping on (order, file) below is then already
-    # clustered and needs no second exchange (a no-op on large inputs)
-    li = spread(lineitem, "l_orderkey").select(
+    return nest_children(account_heads(orders), account_rows(lineitem), key="id", part_cols=["file"],
+                         child_cols=["transaction_id", "amount"], list_name="transactions")
+
+
+def account_heads(orders: DataFrame) -> DataFrame:
+    """``(id, name)``: the parents of the nested records."""
+    return orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"))
+
+
+def account_rows(lineitem: DataFrame) -> DataFrame:
+    """``(id, file, transaction_id, amount)``: the nested records in long form."""
+    return lineitem.select(
         F.col("l_orderkey").alias("id"),
         F.pmod(F.col("l_partkey"), F.lit(4)).alias("file"),
         F.col("l_linenumber").cast("bigint").alias("transaction_id"),
         F.col("l_extendedprice").alias("amount"))
-    return nest_children(o, li, key="id", part_cols=["file"],
-                         child_cols=["transaction_id", "amount"], list_name="transactions",
-                         max_items=max_items)
+
+
+def nested_stats(spark: SparkSession, sf_dir: str, **aggs) -> DataFrame:
+    """``(id, name, file, aggregates)`` per nested record, from the long form."""
+    from ..operators.records import record_stats
+    return record_stats(account_heads(table(spark, sf_dir, "orders")), account_rows(table(spark, sf_dir, "lineitem")),
+                        "id", ["file"], aggs)

@@ -63,23 +63,28 @@ class StreamRun:
 def run_tumbling_stream(spark: SparkSession, source_path: str, schema: StructType, ts: str,
                         every: str = "1 hour", lateness: str = "1 hour",
                         value: str | None = None, max_files_per_trigger: int | None = None,
-                        output_path: str | None = None,
+                        output_path: str | None = None, checkpoint: str | None = None,
                         state_partitions: int | None = None) -> StreamRun:
     """Run the counter over a folder of Parquet files as a stream
     (``availableNow``: everything present, in micro-batches, then stop).
 
     Append mode writes each window once, after the watermark has passed it;
-    windows still open when the stream stops are not written.  Output and
-    checkpoint live under the shared folder, so a restarted query resumes
-    from its checkpoint without duplicates (file sink + checkpoint is
-    exactly-once).
+    windows still open when the stream stops are not written, they stay in
+    the checkpoint.  ``checkpoint`` belongs to ``output_path`` and defaults to
+    ``<output_path>-checkpoint``: a second run into the same output resumes
+    from it, so files that came meanwhile are added without loss or
+    duplicates (file sink + checkpoint is exactly-once).  An output folder
+    of a stream whose checkpoint is missing is refused, since the file sink
+    would skip the new query's batches.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     agg = streaming_tumbling_counts(reader.parquet(source_path), ts, every, lateness, value)
     out = output_path or work_dir(spark, "stream-out")
-    ckpt = work_dir(spark, "stream-ckpt")
+    ckpt = checkpoint or out.rstrip("/") + "-checkpoint"
+    if _exists(spark, f"{out}/_spark_metadata") and not _exists(spark, ckpt):
+        raise ValueError(f"{out} holds a stream's output, but its checkpoint {ckpt} does not exist")
     # the state store is split into the shuffle-partition count in force when
     # the query first starts (then fixed by its checkpoint): one per task slot
     # unless told otherwise
@@ -93,19 +98,24 @@ def run_tumbling_stream(spark: SparkSession, source_path: str, schema: StructTyp
                 .trigger(availableNow=True).start())
     finally:
         spark.conf.set(key, before)
-    q.awaitTermination()
-    dropped, batches = 0, 0
-    watermark = None
-    for p in q.recentProgress:
-        et = p.get("eventTime", {}) if isinstance(p, dict) else (p.eventTime or {})
-        if et.get("watermark"):
-            watermark = et["watermark"]
-        batches += 1
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
-            d = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) \
-                else op.numRowsDroppedByWatermark
-            dropped += int(d or 0)
-    return StreamRun(out, ckpt, dropped, batches, _parse_instant(watermark))
+    # Spark keeps the progress of the last batches only: note each batch's
+    # figures while the query runs, so that totals cover all of them
+    seen: dict[int, tuple[int, str | None]] = {}
+    while True:
+        done = q.awaitTermination(1)
+        for p in q.recentProgress:
+            late = sum(int(op.numRowsDroppedByWatermark or 0) for op in p.stateOperators)
+            seen[p.batchId] = (late, (p.eventTime or {}).get("watermark"))
+        if done:
+            break
+    marks = [seen[b][1] for b in sorted(seen) if seen[b][1]]
+    return StreamRun(out, ckpt, sum(late for late, _ in seen.values()), len(seen),
+                     _parse_instant(marks[-1] if marks else None))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def _parse_instant(text):

@@ -31,14 +31,14 @@ def test_inc_sum(spark):
 
 def test_names_by_length(spark):
     df = spark.createDataFrame([(n,) for n in NAMES], "name string")
-    got = {r["key"]: r["members"] for r in
-           G.collect_members_bounded(df, F.length("name"), "name", max_members=10).collect()}
-    assert got == {3: "Bob,Dan", 5: "Alice,Edith,Frank", 7: "Charlie"}
+    got = sorted(tuple(r) for r in G.ordered_members(df, F.length("name"), "name").collect())
+    assert got == [(3, 1, "Bob"), (3, 2, "Dan"), (5, 1, "Alice"), (5, 2, "Edith"), (5, 3, "Frank"), (7, 1, "Charlie")]
     long_form = G.group_members(df, F.length("name"), "name").collect()
     assert sorted((r["key"], r["name"], r["group_size"]) for r in long_form)[:2] == \
         [(3, "Bob", 2), (3, "Dan", 2)]
-    with pytest.raises(ValueError):
-        G.collect_members_bounded(df, F.length("name"), "name", max_members=2)
+    nulls = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c")], "k long, m string")
+    assert sorted((r["key"] or 0, r["m"], r["group_size"]) for r in G.group_members(nulls, F.col("k"), "m").collect()) == \
+        [(0, "a", 2), (0, "b", 2), (1, "c", 1)]
 
 
 def test_parity_max_three_ways(spark):
@@ -59,6 +59,25 @@ def test_fold_count_and_sum(spark):
     assert c["value"] == 499500
 
 
+@pytest.mark.parametrize("parts", [1, 3, 50])
+def test_fold_by_accumulator_of_another_type(spark, parts):
+    rows = [("Alice", 1.5), ("Bob", None), ("Alice", 2.5), (None, 4.0), ("Bob", 1.0)] * 5
+    df = spark.createDataFrame(rows, "name string, amount double").repartition(parts)
+    count = U.fold_by(df, "name", "amount", lambda n, _: n + 1, 0, lambda a, b: a + b, 0, value_type="bigint")
+    assert {r["key"]: r["value"] for r in count.collect()} == {"Alice": 10, "Bob": 10, None: 5}
+    total = U.fold_by(df, "name", "amount", lambda t, x: t + (x or 0.0), 0.0, lambda a, b: a + b, 0.0)
+    assert {r["key"]: r["value"] for r in total.collect()} == {"Alice": 20.0, "Bob": 5.0, None: 20.0}
+
+
+def test_exact_division_and_rounding_at_the_edges(spark):
+    from kestrel.functions.arith import round_half_away
+    big = spark.createDataFrame([(9007199254740993, 1)], "a long, b long")
+    assert Q.floor_ratio_sum(big, "a", "b").first()[0] == 9007199254740993
+    x = spark.createDataFrame([(1e15,), (4e36,), (2.5,), (float("nan"),)], "x double")
+    got = [r[0] for r in x.select(round_half_away("x", 4)).collect()]
+    assert got[:3] == [1e15, 4e36, 2.5] and got[3] != got[3]
+
+
 def test_ratio_sum_and_error(spark):
     good = spark.createDataFrame([(5, 5), (25, 5), (30, 6)], "a long, b long")
     assert Q.floor_ratio_sum(good, "a", "b").first()[0] == 11
@@ -120,8 +139,14 @@ def test_keyed_map_operations(spark):
     look = dict(K.lookup_default(kv(spark, [("han", None), ("zz", None)]), base, "k", "v",
                                  "none").collect())
     assert look == {"han": "solo", "zz": "none"}
-    concat = K.kv_concat(base.withColumn("g", F.lit(1)), "g", "k", "v").first()["kv"]
-    assert concat == "c3=p0, foo=bar, han=solo, r2=d2"
+    entries = sorted((r["position"], r["kv"]) for r in K.kv_entries(base.withColumn("g", F.lit(1)), "g", "k", "v").collect())
+    assert entries == [(1, "c3=p0"), (2, "foo=bar"), (3, "han=solo"), (4, "r2=d2")]
+    twice = spark.createDataFrame([("foo", "x", 2), ("foo", "y", 1), ("new", "p", 2), ("new", "q", 1)],
+                                  "k string, v string, at long")
+    merged = K.upsert_merge(base, twice, "k", "v", order="at").collect()
+    assert len(merged) == 5 and dict(merged)["foo"] == "x was y was bar" and dict(merged)["new"] == "p was q"
+    absent = K.upsert_if_absent(base, twice, "k", order="at").collect()
+    assert len(absent) == 5 and dict(absent)["new"] == "q" and dict(absent)["foo"] == "bar"
     first = K.search_first(base.withColumn("g", F.lit(1)), "g", F.length("v") > 3, "k",
                            ["k", "v"]).first()
     assert (first["k"], first["v"]) == ("han", "solo")

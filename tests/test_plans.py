@@ -8,7 +8,8 @@ from kestrel.plans.cache import plan_text
 
 # queries whose semantics need Python (the UDF surface, the all-pairs kernel,
 # the segment fold, generated sub-frames)
-PYTHON_OK = {"udf_map", "group_apply", "udaf_fold", "gen_from_functions", "ordered_fold",
+PYTHON_OK = {"udf_map", "group_apply", "udaf_fold", "udaf_fold_count", "udaf_fold_amounts", "group_median",
+             "flat_map_records", "gen_from_functions", "ordered_fold",
              "pairwise_distance", "pairwise_potential", "pairwise_potential_full"}
 PY_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
             "FlatMapCoGroupsInPandas", "PythonUDF")
