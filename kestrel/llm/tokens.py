@@ -4,40 +4,110 @@ Both vocabularies cut a text at a blank between two other characters before
 any merge is made, so the ids of a text are the ids of its stretches between
 such blanks in order.  Each worker process keeps the ids of stretches it has
 met (at most ``CACHE`` of them) and asks the library only for new ones.
+
+A new stretch of plain characters (ASCII, accented Latin-1 letters, no
+apostrophe) is cut here into the runs that the vocabulary's own first step
+makes of it (letters, digits, other signs, line breaks) and the library's
+merge model is asked for each run that is new; this skips the library's
+general normalising and splitting.  Any other stretch, and every stretch of a
+vocabulary whose first step is not one of the two known ones (``_plan``),
+goes through the whole library.
 """
 
 from __future__ import annotations
 
+import json as json_lib
 import re
+from struct import pack
 
 import numpy as np
 
 CACHE = 400_000
 _TWO_BLANKS = re.compile(r"\s\s|^\s|\s$")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+_SIGN = r'!-&(-/:-@\[-`{-~'                         # ASCII signs without the apostrophe
+_PLAIN = re.compile(rf"[{_LETTER}{_SIGN}0-9]+(?:\n[{_LETTER}{_SIGN}0-9]+)*")
+
+# The first step of the word-end vocabulary, as its file states it.
+_WORD_NORMALIZER = ["NFC", "Replace", "Lowercase"]
+_WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _plan(spec: dict) -> str | None:
+    """``word`` (lower case, white space dropped, single digits), ``byte``
+    (runs with the blank before them) or None (not known here)."""
+    norm, pre, model = spec.get("normalizer"), spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    if model.get("type") != "BPE" or model.get("dropout") or model.get("byte_fallback") or spec.get("post_processor"):
+        return None
+    if norm is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space"):
+        return "byte"
+    steps = pre.get("pretokenizers") or []
+    if norm and [n.get("type") for n in norm.get("normalizers") or []] == _WORD_NORMALIZER and len(steps) == 2 \
+            and steps[0].get("pattern") == {"Regex": _WORD_SPLIT} and steps[0].get("invert") and steps[0].get("behavior") == "Removed" \
+            and steps[1].get("type") == "ByteLevel" and not steps[1].get("use_regex") and not steps[1].get("add_prefix_space"):
+        return "word"
+    return None
 
 
 class Encoder:
     """Little-endian unsigned 32-bit ids of whole texts."""
 
     def __init__(self, json: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_str(json)
         self.tok.encode_special_tokens = True       # their strings are ordinary text here
         self.tok.no_padding()
         self.tok.no_truncation()
+        self.plan = _plan(json_lib.loads(json))
         self.known: dict[str, bytes] = {}           # stretch after a blank -> ids
         self.first: dict[str, bytes] = {}           # stretch at the start of a text -> ids
+        self.runs: dict[str, bytes] = {}            # run of a plain stretch -> ids
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in (10, 32, *range(0xC0, 0x100))}
+        digits = "[0-9]" if self.plan == "word" else " ?[0-9]+"
+        blank = "" if self.plan == "word" else " ?"
+        line = "" if self.plan == "word" else r"|\n"
+        self.cut = re.compile(rf"{blank}[{_LETTER}]+|{digits}|{blank}[{_SIGN}]+{line}").findall
+
+    def _run(self, run: str) -> bytes:
+        if not run.isascii() or run == "\n":
+            text = run.translate(self.letters)
+        else:                                       # of ASCII only the blank has another sign
+            text = self.letters[32] + run[1:] if run[0] == " " else run
+        ids = [t.id for t in self.tok.model.tokenize(text)]
+        found = self.runs[run] = pack(f"<{len(ids)}I", *ids)
+        return found
 
     def _learn(self, cache: dict[str, bytes], new: set[str], blank: str) -> None:
         new = list(new - cache.keys())
+        if self.plan:
+            runs, cut, lower, other = self.runs, self.cut, self.plan == "word", []
+            if len(runs) > CACHE:
+                runs.clear()
+            for w in new:
+                if _PLAIN.fullmatch(w):
+                    cache[w] = b"".join([runs.get(r) or self._run(r) for r in cut(w.lower() if lower else blank + w)])
+                else:
+                    other.append(w)
+            new = other
         for s in range(0, len(new), 4096):
-            part = new[s:s + 4096]
-            for w, e in zip(part, self.tok.encode_batch_fast([blank + w for w in part], add_special_tokens=False)):
-                cache[w] = np.array(e.ids, dtype="<u4").tobytes()
+            part = new[s:s + 4096]              # one call for all: each stretch is a word of the input, counted by number
+            e = self.tok.encode_batch([[blank + w for w in part]], is_pretokenized=True, add_special_tokens=False)[0]
+            raw = np.array(e.ids, dtype="<u4").tobytes()
+            ends = 4 * np.cumsum(np.bincount(np.array(e.word_ids, dtype=np.int64), minlength=len(part)))
+            at = 0
+            for w, end in zip(part, ends.tolist()):
+                cache[w] = raw[at:end]
+                at = end
+
+    def _stretches(self, text: str) -> list[str]:
+        if self.plan == "word" and not ("\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text):
+            return text.split()                 # white space goes; those four are signs to the vocabulary
+        return _CUT.split(text) if _TWO_BLANKS.search(text) else text.split(" ")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [(_CUT.split(t) if _TWO_BLANKS.search(t) else t.split(" ")) if t else None for t in texts]
+        cut = [self._stretches(t) if t else None for t in texts]
         for cache in (self.known, self.first):
             if len(cache) > CACHE:
                 cache.clear()

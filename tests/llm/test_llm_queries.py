@@ -310,7 +310,11 @@ def test_encoder_equals_library():
     from tokenizers import Tokenizer
     from kestrel.llm.tokens import Encoder
     texts = ["", " ", "  two  blanks ", "a b", "tab\tand\nline\n\nend ", "it's we'll  can't", "é ́x Ünï code wide",
-             "<|endoftext|> x <|startoftext|>", "1 22 333,4.5", "mixed   runs \n of \r\n blanks", "汉字 かな", "\x1c a \x85 b", "'s 're"]
+             "<|endoftext|> x <|startoftext|>", "1 22 333,4.5", "mixed   runs \n of \r\n blanks", "汉字 かな", "\x1c a \x85 b", "'s 're",
+             "Plain Run, next.\nLine 2 Größe a1b22 &&& x###", "ÀÖØ ×÷ ªº µ\xad", "a\xa0b c\u3000d\x1fe", "Σ ΑΣ İI", "a\n\nb \nc\n d"]
+    rng = np.random.default_rng(5)
+    signs = list("abcdeEÀßÿ×'s.,!#0123 \n\t") + [" ", " ", "\xa0", "\x85", "\x1c", "\u0301", "\u0130", "\u03a3", "'LL"]
+    texts += ["".join(rng.choice(signs, size=rng.integers(1, 40))) for _ in range(3000)]
     for name in (WORD_TOKENIZER, BYTE_TOKENIZER):
         tok = Tokenizer.from_file(tokenizer_path(name))
         tok.encode_special_tokens = True
