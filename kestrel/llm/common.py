@@ -50,6 +50,15 @@ def worker_cache(name: str, make):
     return getattr(holder, name)
 
 
+def release_worker_cache() -> None:
+    """Drop what an earlier operator keeps in this worker process: workers
+    outlive a stage, and their memory is the executor's."""
+    holder = sys.modules.get("_kestrel_worker_cache")
+    if holder is not None:
+        for name in [n for n in vars(holder) if not n.startswith("__")]:
+            delattr(holder, name)
+
+
 # ------------------------------------------------------------- word hashing
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -107,7 +116,7 @@ def _segments(text: bytes, size: int):
     yield text[at:]
 
 
-def hashed_documents(texts, size: int = 1 << 20):
+def hashed_documents(texts, size: int = 1 << 18):
     """Yield the word-hash array of each text in order.  Texts are hashed
     together in buffers of about ``size`` bytes; a longer text is cut at white
     space, so the working set does not grow with the longest text's bytes."""

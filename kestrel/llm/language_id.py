@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import release_worker_cache
+
 LENGTH = 256
 WIDTHS = (3, 4, 5)
 EMBED = 8
@@ -254,8 +256,9 @@ def identify(docs: DataFrame, net: ByteNetwork, doc_id: str = "doc_id", text: st
     rest = keep.schema.fields[2:]
 
     def run(batches):
+        release_worker_cache()
         for b in batches:
-            found = net.predict_all(b.column(1).to_pylist())
+            found = [f for s in range(0, b.num_rows, 500) for f in net.predict_all(b.column(1).slice(s, 500).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
                  *[b.column(2 + i) for i in range(len(rest))]],

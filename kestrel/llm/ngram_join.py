@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_tables, hashed_documents, materialize, mix64, release_shuffles
+from .common import drop_tables, hashed_documents, materialize, mix64, release_shuffles, release_worker_cache
 from .components import connected_components
 
 WIDTH = 5
@@ -79,6 +79,13 @@ def _set_key(s: np.ndarray) -> int:
     return int(mix64(acc).view(np.int64)[0])
 
 
+def _small(batches, rows: int = 1000):
+    """Batches of at most ``rows`` rows: what is made of one is held at once."""
+    for b in batches:
+        for s in range(0, b.num_rows, rows):
+            yield b.slice(s, rows)
+
+
 def _documents(batch: pa.RecordBatch, width: int):
     """(row number, shingle set) of every row of an Arrow batch (id, text)."""
     texts = (x.as_py() for x in batch.column(1))
@@ -90,7 +97,8 @@ def set_table(docs: DataFrame, doc_id: str, text: str, width: int = WIDTH) -> Da
     """``(doc_id, n_shingles, set_key)`` per row; no words give size 0 and a
     null key."""
     def run(batches):
-        for b in batches:
+        release_worker_cache()
+        for b in _small(batches):
             sizes, keys = [], []
             for _, s in _documents(b, width):
                 sizes.append(len(s))
@@ -107,7 +115,7 @@ def _counted_features(docs: DataFrame, width: int, share: float) -> DataFrame:
     limit = int(share * 2 ** 64)
 
     def run(batches):
-        for b in batches:
+        for b in _small(batches):
             feats, keys = [], []
             for _, s in _documents(b, width):
                 if len(s):
@@ -208,7 +216,7 @@ def signatures(s: np.ndarray) -> np.ndarray:
 
 def _signature_rows(sets: DataFrame) -> DataFrame:
     def run(batches):
-        for b in batches:
+        for b in _small(batches):
             offsets = b.column(1).offsets.to_numpy()
             flat = b.column(1).values.to_numpy().view(np.uint64)
             keys = b.column(0).to_numpy()
@@ -227,7 +235,7 @@ def _signature_rows(sets: DataFrame) -> DataFrame:
 def _sets_of(docs: DataFrame, width: int) -> DataFrame:
     """``(set_key, features)`` of the given documents."""
     def run(batches):
-        for b in batches:
+        for b in _small(batches):
             keys, sets = [], []
             for _, s in _documents(b, width):
                 if len(s):
