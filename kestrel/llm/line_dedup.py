@@ -5,16 +5,22 @@ A line is parsed to a template by a tree of fixed depth:
 * white space at its ends goes; tokens are what stands between single blanks;
   a token with a digit is a variable field, written ``<*>`` (the *masked* line);
 * the leaf of a line is its token count and its first ``depth`` masked tokens;
-* within a leaf, for lines of at least ``long_tokens`` tokens, a token that
-  only one distinct masked line has at its place is a variable field too.
-
-The template generalised by the leaf counts if at least ``min_constant`` of
-its tokens are constant, else the masked line if at least ``min_masked`` of its
-tokens are, else the line itself.  A template that occurs in at least
-``min_docs`` documents (``min_docs_short`` for lines of fewer than
-``long_tokens`` tokens) is recurring.  Its lines stay in the document with the
-smallest id and are dropped from all others, so one copy of a repeated passage
-survives and a document that repeats nothing is left as it is.
+* within a leaf, for lines of at least ``long_tokens`` tokens, the support of a
+  token is the number of distinct masked lines that have it at its place.  A
+  line is generalised if at least ``min_constant`` of its tokens have a support
+  above 1; of the best supported tokens that make up this part, the last one
+  sets the measure, and a token with less than half its support is a variable
+  field too.  The measure grows with the leaf, so a field whose values come
+  back in a large corpus stays a field (but a value that more lines of the
+  leaf have than half of a rare template's own lines counts as constant there).
+
+The template generalised by the leaf counts if there is one, else the masked
+line if at least ``min_masked`` of its tokens are constant, else the line
+itself.  A template that occurs in at least ``min_docs`` documents
+(``min_docs_short`` for lines of fewer than ``long_tokens`` tokens) is
+recurring.  Its lines stay in the document with the smallest id and are
+dropped from all others, so one copy of a repeated passage survives and a
+document that repeats nothing is left as it is.
 
 Lines travel as hashes; only lines of leaves that hold several distinct
 masked lines are read again with their tokens, each distinct one once.
@@ -52,18 +58,15 @@ def _generalised(lines: DataFrame, parsed: DataFrame, depth: int, long_tokens: i
     texts = (parsed.filter(F.col("n") >= long_tokens).join(broadcast_if_small(leaves, SMALL_TABLE), "leaf", "left_semi")
                    .groupBy("leaf", "form").agg(F.min("masked").alias("masked"), F.min("n").alias("n")))
     tokens = materialize(texts.select("leaf", "form", "n", F.posexplode(F.split("masked", " ")).alias("at", "token"))
-                              .select("leaf", "form", "n", "at", (F.col("token") == FIELD).alias("field"),
-                                      F.xxhash64("at", "token").alias("token")), "tokens")
-    support = tokens.groupBy("leaf", "token").agg(F.count(F.lit(1)).alias("support")).filter("support > 1").select("leaf", "token")
-    support = support.withColumn("constant", F.lit(True))
-    marked = tokens.join(support, ["leaf", "token"], "left").withColumn(
-        "constant", ~F.col("field") & (F.coalesce("constant", F.lit(False)) | (F.col("at") < depth)))
-    # an order-free hash of the (place, token) pairs, fields reduced to their place
-    part = F.xxhash64("at", F.when(F.col("constant"), F.col("token")).otherwise(F.lit(0)))
-    return (marked.groupBy("leaf", "form").agg(F.bit_xor(part).alias("x"), F.sum(F.col("constant").cast("int")).alias("constants"),
-                                               F.max("n").alias("n"))
-                  .filter(F.col("constants") >= min_constant * F.col("n"))
-                  .select("leaf", "form", F.xxhash64("leaf", "x").alias("template")))
+                              .filter(F.col("token") != FIELD)
+                              .select("leaf", "form", "n", F.xxhash64("at", "token").alias("token")), "tokens")
+    support = tokens.groupBy("leaf", "token").agg(F.count(F.lit(1)).alias("support")).filter("support > 1")
+    held = (tokens.join(support, ["leaf", "token"]).groupBy("leaf", "form")
+                  .agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("support", "token")), asc=False).alias("held"))
+                  .withColumn("need", F.ceil(min_constant * F.col("n")).cast("int")).filter(F.size("held") >= F.col("need")))
+    held = held.withColumn("least", F.get("held", F.col("need") - 1)["support"])
+    constant = F.filter("held", lambda t: t["support"] * 2 >= F.col("least"))
+    return held.select("leaf", "form", F.xxhash64("leaf", F.transform(constant, lambda t: t["token"])).alias("template"))
 
 
 def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = 3,

@@ -170,3 +170,25 @@ def test_pipeline_keeps_clean_documents(spark):
     docs = spark.createDataFrame(rows, DOCS)
     kept = P.keep_one_of_each_group(spark, docs, "")
     assert kept.count() == 60
+
+
+@pytest.mark.parametrize("n", [5, 10_000])
+def test_line_dedup_fields_at_any_size(spark, n):
+    """A field whose values come back in a large corpus stays a field."""
+    line = "Posted by user {} in {} on our community board for all members today"
+    name = lambda i, k: k + "".join(chr(97 + i // 26 ** j % 26) for j in range(2))
+    pairs = [(i * 7919 % 40_000) for i in range(n)]
+    docs = spark.createDataFrame([(i, line.format(name(p // 200, "u"), name(p % 200, "c"))) for i, p in enumerate(pairs)],
+                                 "doc_id long, text string")
+    hits = {r["doc_id"]: r["lines"] for r in line_dedup.recurring_lines(docs).collect()}
+    assert hits == {i: [0] for i in range(1, n)}
+
+
+def test_line_dedup_fields_beside_other_templates(spark):
+    """Templates that share a leaf are told apart, and each keeps its fields."""
+    word = lambda i: "w" + chr(97 + i // 26) + chr(97 + i % 26)
+    docs = [(t * 100 + i, f"posted by user {word(i)} about " + " ".join(f"{word(t)}{k}" for k in "abcde") + f" on {word(i * 7 % 100)} again today")
+            for t in range(20) for i in range(100)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    hits = {r["doc_id"]: r["lines"] for r in line_dedup.recurring_lines(df).collect()}
+    assert hits == {d: [0] for d, _ in docs if d % 100}
