@@ -2,10 +2,14 @@
 
 A line is parsed to a template by a tree of fixed depth:
 
-* white space at its ends goes; tokens are what stands between single blanks;
-  a token with a digit is a variable field, written ``<*>`` (the *masked* line);
+* tokens are what stands between white space, and every sign of a script
+  that is written without it (Chinese, Japanese, Thai and others); a token
+  with a digit is a variable field, written ``<*>`` (the *masked* line);
+* a line has as many words as tokens (``SIGNS_A_WORD`` such signs count as
+  one), but at least one for ``CHARS_A_WORD`` characters; it is long if it has
+  at least ``long_tokens``;
 * the leaf of a line is its token count and its first ``depth`` masked tokens;
-* within a leaf, for lines of at least ``long_tokens`` tokens, the support of a
+* within a leaf, for long lines, the support of a
   token is the number of distinct masked lines that have it at its place.  A
   line is generalised if at least ``min_constant`` of its tokens have a support
   above 1; of the best supported tokens that make up this part, the last one
@@ -17,10 +21,13 @@ A line is parsed to a template by a tree of fixed depth:
 The template generalised by the leaf counts if there is one, else the masked
 line if at least ``min_masked`` of its tokens are constant, else the line
 itself.  A template that occurs in at least ``min_docs`` documents
-(``min_docs_short`` for lines of fewer than ``long_tokens`` tokens) is
-recurring.  Its lines stay in the document with the smallest id and are
-dropped from all others, so one copy of a repeated passage survives and a
-document that repeats nothing is left as it is.
+(``min_docs_short`` for lines that are not long) is recurring; so are, from
+``min_docs`` documents on, the short lines of a passage: of consecutive short
+lines of ``RUN_WORDS`` words, or of consecutive recurring lines with
+``PASSAGE_WORDS`` words in short ones.  Blank lines do not count.  Recurring
+lines stay in the document with the smallest id and are dropped from all
+others, so one copy of a repeated passage survives and a document that repeats
+nothing is left as it is.
 
 Lines travel as hashes; only lines of leaves that hold several distinct
 masked lines are read again with their tokens, each distinct one once.
@@ -28,34 +35,49 @@ masked lines are read again with their tokens, each distinct one once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.joins import broadcast_if_small
 from .common import materialize
 
 FIELD = "<*>"
+# signs of scripts written without blanks: each is a token
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\u30fc\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+SIGNS_A_WORD = 3                # and so many of them are as long as a word
+CHARS_A_WORD = 10               # a line has at least one word for so many characters
+RUN_WORDS = 16                  # words of a run of short lines that recur together
+PASSAGE_WORDS = 50              # words in short lines of a passage that has long lines too
 SMALL_TABLE = 16 << 20          # a written table of at most this size (in bytes) may be broadcast
 
 
 def _parsed(docs: DataFrame, depth: int) -> DataFrame:
-    """``(doc_id, pos, n, leaf, form, raw, n_var, masked)`` per non-blank line."""
+    """``(doc_id, pos, n, words, leaf, form, raw, n_var, masked)`` per non-blank line."""
     digit = F.col("line").rlike("[0-9]")           # most lines have none and need no rewriting
+    odd = F.col("line").rlike("[^\\x20-\\x7e]|  ")  # more than ASCII signs between single blanks
+    unspaced = odd & F.col("line").rlike(UNSPACED)
+    even = F.btrim(F.regexp_replace("line", r"(?U)\s+", " "))
+    apart = F.btrim(F.regexp_replace(F.regexp_replace("line", f"({UNSPACED})", " $1 "), r"(?U)\s+", " "))
+    signs = F.when(unspaced, F.length("line") - F.length(F.regexp_replace("line", UNSPACED, ""))).otherwise(0)
     out = (docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
                .select("doc_id", "pos", F.btrim("line", F.lit(" \t\r\f\x0b")).alias("line")).filter("line != ''")
+               .withColumn("signs", signs).withColumn("chars", F.length("line"))
+               .withColumn("line", F.when(unspaced, apart).when(odd, even).otherwise(F.col("line"))).filter("line != ''")
                .withColumn("masked", F.when(digit, F.regexp_replace("line", r"[^ ]*[0-9][^ ]*", FIELD)).otherwise(F.col("line")))
                .withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
+               .withColumn("words", F.greatest(F.col("n") - F.col("signs") + F.expr(f"signs div {SIGNS_A_WORD}"),
+                                               F.expr(f"chars div {CHARS_A_WORD}"), F.lit(1)).cast("int"))
                .withColumn("n_var", F.when(digit, F.size(F.split(F.col("masked"), r"(?<![^ ])<\*>(?![^ ])")) - 1).otherwise(0)))
-    return out.select("doc_id", "pos", "n", F.xxhash64("n", F.substring_index("masked", " ", depth)).alias("leaf"),
+    return out.select("doc_id", "pos", "n", "words", F.xxhash64("n", F.substring_index("masked", " ", depth)).alias("leaf"),
                       F.xxhash64("masked").alias("form"), F.xxhash64("line").alias("raw"), "n_var", "masked")
 
 
 def _generalised(lines: DataFrame, parsed: DataFrame, depth: int, long_tokens: int, min_constant: float) -> DataFrame:
     """``(leaf, form, template)`` for the lines whose leaf generalises them."""
-    forms = lines.filter(F.col("n") >= long_tokens).groupBy("leaf", "form").agg(F.count(F.lit(1)).alias("_c"))
+    forms = lines.filter(F.col("words") >= long_tokens).groupBy("leaf", "form").agg(F.count(F.lit(1)).alias("_c"))
     leaves = forms.groupBy("leaf").agg(F.count(F.lit(1)).alias("forms")).filter("forms > 1").select("leaf")
     leaves = materialize(leaves, "leaves")
-    texts = (parsed.filter(F.col("n") >= long_tokens).join(broadcast_if_small(leaves, SMALL_TABLE), "leaf", "left_semi")
+    texts = (parsed.filter(F.col("words") >= long_tokens).join(broadcast_if_small(leaves, SMALL_TABLE), "leaf", "left_semi")
                    .groupBy("leaf", "form").agg(F.min("masked").alias("masked"), F.min("n").alias("n")))
     tokens = materialize(texts.select("leaf", "form", "n", F.posexplode(F.split("masked", " ")).alias("at", "token"))
                               .filter(F.col("token") != FIELD)
@@ -69,6 +91,45 @@ def _generalised(lines: DataFrame, parsed: DataFrame, depth: int, long_tokens: i
     return held.select("leaf", "form", F.xxhash64("leaf", F.transform(constant, lambda t: t["token"])).alias("template"))
 
 
+def _recurring_runs(keyed: DataFrame, templates: DataFrame, long_tokens: int, min_docs: int) -> DataFrame:
+    """``(doc_id, pos)`` of the short lines in recurring runs.
+
+    All lines of a run have templates of ``min_docs`` documents (``templates``).
+    A run is as few short lines as have ``RUN_WORDS`` words, one after the
+    other, or ``PASSAGE_WORDS``, with any long lines between them; it is
+    counted from every line on and back from every line.  Runs of templates
+    that recur alone are left out, so a run is in fewer documents than the
+    rarest of its templates may be.
+    """
+    t = templates.select("template", "alone")
+    order = Window.partitionBy("doc_id").orderBy("pos", "template")
+    same = (F.lag("pos").over(order) == F.col("pos")) & (F.lag("template").over(order) == F.col("template"))
+    long = F.col("words") >= long_tokens
+    ends = lambda c: F.sum(c.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    lines = (keyed.join(broadcast_if_small(t, SMALL_TABLE), "template", "left")
+                  .withColumn("_same", F.coalesce(same, F.lit(False)))
+                  .withColumn("_rare", F.max(F.coalesce(~F.col("alone") & ~long, F.lit(False))).over(Window.partitionBy("doc_id")))
+                  .withColumn("_passage", ends(F.col("alone").isNull())).withColumn("_run", ends(F.col("alone").isNull() | long))
+                  .filter("_rare AND NOT _same AND alone IS NOT NULL").filter(~long))
+    lines = materialize(lines.select("doc_id", "pos", "template", "words", "alone", "_run", "_passage"), "short")
+    runs = []
+    for part, least in (("_run", RUN_WORDS), ("_passage", PASSAGE_WORDS)):
+        for seed, rows in ((least, order.rowsBetween(0, least - 1)), (-least, order.rowsBetween(1 - least, 0))):
+            near = F.collect_list(F.struct(F.col(part).alias("part"), "template", "words", "alone", "pos")).over(rows)
+            start = F.struct(F.lit(0).alias("words"), F.lit(0).alias("lines"), F.lit(False).alias("rare"), F.lit(seed).cast("bigint").alias("key"))
+            found = F.aggregate("_near", start, lambda a, x: F.when((a["words"] >= least) | (x["part"] != F.col(part)), a).otherwise(  # noqa: B023
+                F.struct((a["words"] + x["words"]).alias("words"), (a["lines"] + 1).alias("lines"), (a["rare"] | ~x["alone"]).alias("rare"),
+                         F.xxhash64(a["key"], x["template"]).alias("key"))))
+            runs.append(lines.withColumn("_near", near if seed > 0 else F.reverse(near)).withColumn("_found", found)
+                             .filter((F.col("_found.words") >= least) & F.col("_found.rare"))
+                             .select("doc_id", F.col("_found.key").alias("key"),
+                                     F.slice(F.transform("_near", lambda x: x["pos"]), 1, F.col("_found.lines")).alias("places")))
+    runs = materialize(runs[0].unionByName(runs[1]).unionByName(runs[2]).unionByName(runs[3]), "runs")
+    first = (runs.groupBy("key").agg(F.count_distinct("doc_id").alias("docs"), F.min("doc_id").alias("first"))
+                 .filter(F.col("docs") >= min_docs).select("key", "first"))
+    return runs.join(first, "key").filter("doc_id > first").select("doc_id", F.explode("places").alias("pos"))
+
+
 def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = 3,
                     long_tokens: int = 8, min_constant: float = 0.7, min_masked: float = 0.5,
                     min_docs: int = 2, min_docs_short: int = 10) -> DataFrame:
@@ -85,12 +146,15 @@ def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     general = materialize(_generalised(lines, parsed, depth, long_tokens, min_constant), "templates")
     own = F.when(F.col("n") - F.col("n_var") >= min_masked * F.col("n"), F.xxhash64("n", "form")).otherwise(F.xxhash64(F.lit(-1), "raw"))
     keyed = lines.join(general, ["leaf", "form"], "left").select(
-        "doc_id", "pos", F.coalesce("template", own).alias("template"), (F.col("n") >= long_tokens).alias("long"))
+        "doc_id", "pos", F.coalesce("template", own).alias("template"), "words")
     keyed = materialize(keyed, "keyed")
-    seen = keyed.groupBy("template", "doc_id").agg(F.max("long").alias("long"))
-    recurring = (seen.groupBy("template").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first"), F.max("long").alias("long"))
-                     .filter(F.col("docs") >= F.when(F.col("long"), min_docs).otherwise(min_docs_short)).select("template", "first"))
-    hit = keyed.join(recurring, "template").filter("doc_id > first")
+    seen = keyed.groupBy("template", "doc_id").agg((F.max("words") >= long_tokens).alias("long"))
+    templates = (seen.groupBy("template").agg(F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("first"), F.max("long").alias("long"))
+                     .filter(F.col("docs") >= min(min_docs, min_docs_short))
+                     .select("template", "first", (F.col("docs") >= F.when(F.col("long"), min_docs).otherwise(min_docs_short)).alias("alone")))
+    templates = materialize(templates, "recurring")
+    hit = keyed.join(templates.filter("alone"), "template").filter("doc_id > first").select("doc_id", "pos")
+    hit = hit.unionByName(_recurring_runs(keyed, templates, long_tokens, min_docs))
     return materialize(hit.groupBy("doc_id").agg(F.sort_array(F.collect_set("pos")).alias("lines")), "dropped")
 
 

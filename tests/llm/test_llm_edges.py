@@ -192,3 +192,28 @@ def test_line_dedup_fields_beside_other_templates(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     hits = {r["doc_id"]: r["lines"] for r in line_dedup.recurring_lines(df).collect()}
     assert hits == {d: [0] for d, _ in docs if d % 100}
+
+
+def test_line_dedup_passages_without_long_lines(spark):
+    """Text without blanks, other white space, and a passage set in short lines recur from two documents on."""
+    own = lambda d: f"{'abc'[d] * 5} own opening\n"
+    verse = "the rose is red today\nthe violet is blue\n\nand here the verse now ends\nso\nbe it\n"
+    han = "春天的花园里有许多美丽的花朵和蝴蝶在阳光下飞舞着二十种颜色第{}章\n"
+    tabs = "one\ttwo\tthree\tfour\tfive\tsix\tseven\teight\tnumber {}\n"
+    docs = spark.createDataFrame([(0, own(0) + verse + han.format(1) + tabs.format(1)), (1, own(1) + verse + han.format(22)),
+                                  (2, own(2) + "the rose is red today\nelse\nso\n" + tabs.format(3))], "doc_id long, text string")
+    hits = {r["doc_id"]: r["lines"] for r in line_dedup.recurring_lines(docs).collect()}
+    assert hits == {1: [1, 2, 4, 5, 6, 7], 2: [4]}
+    assert {r["doc_id"]: r["lines"] for r in line_dedup.recurring_lines(docs.unionAll(docs)).collect()} == hits
+
+
+def test_line_dedup_narrow_wrapping(spark):
+    """Long lines do not end a passage of many words in short lines."""
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(90)]
+    wrapped, at = [], 0
+    while at < len(words):
+        wrapped.append(" ".join(words[at:at + (8 if len(wrapped) % 3 == 1 else 7)]))
+        at += len(wrapped[-1].split())
+    docs = spark.createDataFrame([(d, f"{'abc'[d] * 6} opens\n" + "\n".join(wrapped)) for d in range(3)], "doc_id long, text string")
+    hits = {r["doc_id"]: r["lines"] for r in line_dedup.recurring_lines(docs).collect()}
+    assert hits == {d: list(range(1, len(wrapped) + 1)) for d in (1, 2)}
