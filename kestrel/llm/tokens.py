@@ -12,6 +12,9 @@ merge model is asked for each run that is new; this skips the library's
 general normalising and splitting.  Any other stretch, and every stretch of a
 vocabulary whose first step is not one of the two known ones (``_plan``),
 goes through the whole library.
+
+A text that holds the string of an added token (``<|endoftext|>``) is encoded
+whole by the library's default call, which gives the string that token's id.
 """
 
 from __future__ import annotations
@@ -51,12 +54,23 @@ def _plan(spec: dict) -> str | None:
 
 
 class Encoder:
-    """Little-endian unsigned 32-bit ids of whole texts."""
+    """Little-endian unsigned 32-bit ids of whole texts.  With ``added`` the
+    strings of added tokens get their own ids, as the library has it by
+    default; without, they are ordinary text."""
 
-    def __init__(self, json: str):
+    def __init__(self, json: str, added: bool = False):
         from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_str(json)
-        self.tok.encode_special_tokens = True       # their strings are ordinary text here
+        self.tok.encode_special_tokens = True       # stretches hold none; whole texts with one go to `whole`
+        self.whole, self.has_added = None, None
+        tokens = [t for t in json_lib.loads(json).get("added_tokens") or [] if t.get("content")]
+        if added and tokens:
+            self.whole = Tokenizer.from_str(json)
+            self.whole.no_padding()
+            self.whole.no_truncation()
+            exact = [t["content"] for t in tokens if not t.get("normalized")]
+            # the others are looked for in the normalized text, so any text may hold them
+            self.has_added = (lambda t: any(c in t for c in exact)) if len(exact) == len(tokens) else (lambda t: True)
         self.tok.no_padding()
         self.tok.no_truncation()
         self.plan = _plan(json_lib.loads(json))
@@ -107,6 +121,14 @@ class Encoder:
         return _CUT.split(text) if _TWO_BLANKS.search(text) else text.split(" ")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        if self.has_added:
+            held = [bool(t) and self.has_added(t) for t in texts]
+            rest = iter(self._encode([t for t, h in zip(texts, held) if not h]))
+            return [np.array(self.whole.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if h else next(rest)
+                    for t, h in zip(texts, held)]
+        return self._encode(texts)
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [self._stretches(t) if t else None for t in texts]
         for cache in (self.known, self.first):
             if len(cache) > CACHE:
@@ -126,7 +148,7 @@ def shared_encoder(json) -> Encoder:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # Spark runs one task per core
     text = json.value
     name = "encoder_" + hashlib.sha1(text.encode()).hexdigest()[:12]
-    return worker_cache(name, lambda: Encoder(text))
+    return worker_cache(name, lambda: Encoder(text, added=True))
 
 
 def broadcast_tokenizer(spark, path: str):

@@ -324,6 +324,24 @@ def test_encoder_equals_library():
             assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("name", [WORD_TOKENIZER, BYTE_TOKENIZER])
+def test_tokens_equal_the_default_call(spark, name, scratch):
+    """Strings of added tokens get the ids of the library's default call."""
+    from kestrel.llm import token_files
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(tokenizer_path(name))
+    texts = ["a b <|endoftext|> c", "<|startoftext|>x <|ENDOFTEXT|>", "plain  text", "", None, "x<|endoftext|>\n<|endoftext|> y", "<|endoftext |>",
+             "a &lt;|endoftext|&gt; b", "Größe <|EndOfText|>"]
+    want = {i: tok.encode(t or "", add_special_tokens=False).ids for i, t in enumerate(texts)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    packed = {r["doc_id"]: r for r in packing.pack_documents(docs, tokenizer_path(name)).collect()}
+    for d, ids in want.items():
+        assert packed[d]["length"] == len(ids) + 1
+    path = f"{scratch}/tokens"
+    token_files.write_tokens(docs, path, tokenizer_path(name))
+    assert {r["doc_id"]: r["ids"][:-1] for r in token_files.read_tokens(spark, path).collect()} == want
+
+
 def test_op10_recall(spark):
     table = {r["vec_id"]: np.array(r["embedding"], dtype=float) for r in rows("embeddings")}
     ids = np.array(sorted(table))
