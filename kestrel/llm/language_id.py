@@ -3,8 +3,8 @@
 A window of ``LENGTH`` bytes is embedded, passed through one-dimensional
 filters of several widths, a rectifier and a maximum over the window, and
 classified by a softmax.  The network is trained in numpy on a bounded sample
-of labelled documents (``per_language`` windows of each language, at most
-``max_languages`` languages, chosen by a hash of the id); training texts are
+of labelled documents (``per_language`` windows of every language, chosen by
+a hash of the id); training texts are
 also cut short at random, so that short texts are learned too.  Whole texts
 are then cut into fixed-length windows that are classified in batches; the
 probabilities of a text are the mean of its windows', weighted by their
@@ -18,15 +18,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import release_worker_cache
+from ..plans.joins import broadcast_if_small
+from .common import materialize, release_worker_cache
 
 LENGTH = 256
 WIDTHS = (3, 4, 5)
 EMBED = 8
 FILTERS = 16
+STEPS_FOR = 64                  # languages that the steps of `fit` are meant for
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -175,7 +177,9 @@ def train(samples: list[tuple[str, bytes]], steps: int = 600, batch: int = 64, r
     net = ByteNetwork.fresh(languages, rng)
     if len(languages) < 2:
         return net
-    by = {lang: [w for k, w in samples if k == lang] for lang in languages}
+    by = {lang: [] for lang in languages}
+    for k, w in samples:
+        by[k].append(w)
     params = None
     for step in range(1, steps + 1):
         x = np.zeros((batch, LENGTH), dtype=np.uint8)
@@ -198,20 +202,15 @@ def train(samples: list[tuple[str, bytes]], steps: int = 600, batch: int = 64, r
     return net
 
 
-def training_windows(docs: DataFrame, doc_id: str, text: str, lang: str, per_language: int,
-                     max_languages: int) -> list[tuple[str, bytes]]:
-    """About ``per_language`` windows of every language, at most 4 from a
-    document, at places spread over the whole text."""
+def training_windows(docs: DataFrame, doc_id: str, text: str, lang: str, per_language: int) -> list[tuple[str, bytes]]:
+    """About ``per_language`` windows of every language (8 times that at most),
+    at most 4 from a document, at places spread over the whole text."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"),
                        F.col(lang).alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL AND text != ''")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    if not counts:
-        return []
-    share: Column = F.lit(None).cast("double")
-    for r in counts:                                       # at most max_languages branches
-        share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_language / 2 / r["count"]))).otherwise(share)
-    point = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) / 1_000_000.0
-    some = rows.filter(point < share)
+    shares = materialize(rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(per_language / 2) / F.count(F.lit(1))).alias("share")), "shares")
+    # documents without an id are told apart by their text
+    point = F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text")), F.lit(7)), F.lit(1_000_000)) / 1_000_000.0
+    some = rows.join(broadcast_if_small(shares), "lang").filter(point < F.col("share")).select("doc_id", "text", "lang")
 
     def cut(batches):
         for b in batches:
@@ -229,18 +228,22 @@ def training_windows(docs: DataFrame, doc_id: str, text: str, lang: str, per_lan
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(parts, pa.binary())],
                                              names=["doc_id", "lang", "part"])
 
+    turn = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "part"))
     got = some.mapInArrow(cut, "doc_id bigint, lang string, part binary") \
-              .limit(8 * per_language * max_languages).collect()
+              .withColumn("_turn", F.row_number().over(turn)).filter(F.col("_turn") <= 8 * per_language).drop("_turn").collect()
     got = sorted((r["lang"], r["doc_id"] or 0, bytes(r["part"])) for r in got)
     return [(lang, part) for lang, _, part in got]
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-        per_language: int = 1500, max_languages: int = 64, steps: int = 600, seed: int = 11) -> ByteNetwork:
+        per_language: int = 1500, steps: int = 600, seed: int = 11) -> ByteNetwork:
     """Train on a bounded sample of the rows of ``docs`` with a language and a
-    text with a letter.  The bound is ``per_language`` windows (in the mean)
-    of each of the ``max_languages`` most frequent languages."""
-    return train(training_windows(docs, doc_id, text, lang, per_language, max_languages), steps=steps, seed=seed)
+    text with a letter.  Every language is learned; the bound is
+    ``per_language`` windows (in the mean) of each.  With more than
+    ``STEPS_FOR`` languages there are more steps in proportion, so that each
+    is seen as often."""
+    samples = training_windows(docs, doc_id, text, lang, per_language)
+    return train(samples, steps=-(-steps * max(STEPS_FOR, len({k for k, _ in samples})) // STEPS_FOR), seed=seed)
 
 
 def identify(docs: DataFrame, net: ByteNetwork, doc_id: str = "doc_id", text: str = "text",

@@ -217,3 +217,16 @@ def test_line_dedup_narrow_wrapping(spark):
     docs = spark.createDataFrame([(d, f"{'abc'[d] * 6} opens\n" + "\n".join(wrapped)) for d in range(3)], "doc_id long, text string")
     hits = {r["doc_id"]: r["lines"] for r in line_dedup.recurring_lines(docs).collect()}
     assert hits == {d: list(range(1, len(wrapped) + 1)) for d in (1, 2)}
+
+
+def test_language_id_learns_every_language(spark):
+    """More labelled languages than 64, the rarest and those without ids too."""
+    letters = "abcdefghijklmnopqrstuvwx"
+    word = lambda k: letters[k % 24] + letters[(k // 24 * 7 + k + 3) % 24] + letters[(k * 5 + 1) % 24]
+    docs = [(None if k == 69 else 100 * k + i, f"{word(k)} " * (30 + i), f"l{k:02d}") for k in range(70) for i in range(4 if k > 63 else 6)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    net = language_id.fit(df)
+    assert net.languages == sorted({d[2] for d in docs})
+    got = language_id.identify(df, net, carry=("lang",)).collect()
+    rare = [r for r in got if r["carry_lang"] > "l63"]
+    assert len(rare) == 24 and sum(r["lang_pred"] == r["carry_lang"] for r in rare) >= 22
