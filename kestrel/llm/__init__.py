@@ -16,4 +16,7 @@ as part of it) imports it.
 | ``packing`` | sequence packing by minimum bin slack |
 | ``token_files`` | token ids in Parquet list columns, selective reads |
 | ``ann`` | nearest neighbours by collision-counting hashing |
+| ``whitening`` | embedding whitening by Chebyshev-filtered subspace iteration |
+| ``hard_negatives`` | hard-negative mining by Strassen products and mergeable heaps |
+| ``license_scan`` | license scan by ordered signature rules |
 """

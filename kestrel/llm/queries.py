@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from ..session import work_dir
 from ..sources.tables import table
-from . import (ann, embedding_dedup, language_id, line_dedup, mixing, ngram_join, packing, quality,
-               token_files, url_filter)
+from . import (ann, embedding_dedup, hard_negatives, language_id, license_scan, line_dedup, mixing, ngram_join, packing,
+               quality, token_files, url_filter, whitening)
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -98,8 +98,47 @@ def op10_ann(spark: SparkSession, sf: str) -> DataFrame:
     return ann.nearest(rows, rows.filter(F.col("vec_id") % 20 == 0))
 
 
+def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    grid = whitening.on_grid(table(spark, sf, "embeddings"), scale=64.0, shift=1_000_000)
+    return whitening.whiten(grid, whitening.fit(grid, components=16)) \
+        .withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.col("label").cast("bigint")
+    rows = table(spark, sf, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+def op13_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf, "documents")).select(
+        "doc_id", "n_words", F.size("base_starts").cast("bigint").alias("n_base"), F.array_min("base_starts").alias("first_word"),
+        F.array_max("base_starts").alias("last_word"), F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score")
+
+
 QUERIES: dict[str, Builder] = {f.__name__: f for f in (
     op1_embedding_dedup, op2_ngram_join, op3_mixing, op4_line_dedup, op5_url_filter, op6_quality,
-    op7_language_id, op8_packing, op9_token_files, op10_ann)}
-
-SQL: dict[str, str] = {}
+    op7_language_id, op8_packing, op9_token_files, op10_ann, op11_whitening, op12_hard_negatives, op13_license_scan)}
+
+#: The scores are small integers, so the doubles of ``list_inner_product`` are exact.
+SQL: dict[str, str] = {"op12_hard_negatives": """
+WITH q AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM q a JOIN q b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
+       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3"""}
