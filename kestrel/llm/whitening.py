@@ -43,7 +43,6 @@ DEGREE = 10                    # of the Chebyshev filter
 ROUNDS = 60
 LIFT = 1e10                    # largest ratio by which a filter may stretch the block
 LANCZOS_STEPS = 6
-PACK_BYTES = 1 << 18           # of fit-list rows packed into one value
 GRID_LIMIT = float(1 << 60)    # grid values are held to this range
 
 _LOW = np.int64((1 << 32) - 1)
@@ -94,39 +93,19 @@ def on_grid(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding",
     return grid.filter(F.size("x") == (common["d"] if common else 0))
 
 
-def _packed(grid: DataFrame) -> DataFrame:
-    """The fit list ``(n, rows)``: each distinct ``x`` once, some hundred of
-    them packed into one binary value, so that a pass copies bytes instead of
-    decoding list entries."""
-    def run(batches):
-        for b in batches:
-            x = b.column(0).flatten().to_numpy().reshape(b.num_rows, -1)
-            step = max(1, PACK_BYTES // max(8, 8 * x.shape[1]))
-            parts = [x[i:i + step] for i in range(0, b.num_rows if x.size else 0, step)]
-            yield pa.RecordBatch.from_arrays([pa.array([len(p) for p in parts], pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
-                                             names=["n", "rows"])
-
-    return materialize(grid.select("x").distinct().mapInArrow(run, "n int, rows binary"), "fitlist")
-
-
-def _unpacked(batches):
-    for b in batches:
-        for n, rows in zip(b.column(0).to_pylist(), b.column(1)):
-            yield np.frombuffer(rows.as_buffer(), dtype=np.int64).reshape(n, -1)
-
-
 def _sum_blocks(fit_list: DataFrame, block, size: int) -> np.ndarray:
     """Sum over tasks of the ``size`` numbers that ``block`` (an object with
     ``add(rows)`` and ``total``) has after its task's rows."""
     def run(batches):
         part = block()
-        for x in _unpacked(batches):
-            part.add(x)
+        for b in batches:
+            if b.num_rows:
+                part.add(b.column(0).flatten().to_numpy().reshape(b.num_rows, -1))
         total = part.total
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(size), pa.int32()), pa.array(total.ravel())], names=["at", "value"])
 
-    rows = fit_list.mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value"))
+    rows = fit_list.select("x").mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value"))
     out = np.zeros(size)
     got = rows.toPandas()
     out[got["at"].to_numpy()] = got["value"].to_numpy()
@@ -163,15 +142,17 @@ def _exact_sums(fit_list: DataFrame) -> tuple[int, list[int]]:
     added as two halves of 32 bits."""
     def run(batches):
         n, high, low = 0, None, None
-        for x in _unpacked(batches):
-            h, lo = (x >> np.int64(32)).sum(axis=0), (x & _LOW).sum(axis=0)
-            high, low = (h, lo) if high is None else (high + h, low + lo)
-            n += len(x)
+        for b in batches:
+            if b.num_rows:
+                x = b.column(0).flatten().to_numpy().reshape(b.num_rows, -1)
+                h, lo = (x >> np.int64(32)).sum(axis=0), (x & _LOW).sum(axis=0)
+                high, low = (h, lo) if high is None else (high + h, low + lo)
+                n += b.num_rows
         if n:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(high)), pa.int32()), pa.array(high), pa.array(low),
                                               pa.array(np.full(len(high), n))], names=["dim", "high", "low", "n"])
 
-    parts = fit_list.mapInArrow(run, "dim int, high bigint, low bigint, n bigint")
+    parts = fit_list.select("x").mapInArrow(run, "dim int, high bigint, low bigint, n bigint")
     total = parts.groupBy("dim").agg(*[F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in ("high", "low", "n")]).collect()
     rows = sorted((r["dim"], (int(r["high"]) << 32) + int(r["low"]), int(r["n"])) for r in total)
     return (rows[0][2] if rows else 0), [s for _, s, _ in rows]
@@ -248,7 +229,7 @@ def fit(grid: DataFrame, components: int = 16) -> Whitener:
     """Fit on the distinct ``x`` of ``grid`` (from ``on_grid``).  Components
     of zero variance are left out: a table without rows, or with one distinct
     vector, gives a model without components."""
-    fit_list = _packed(grid)
+    fit_list = materialize(grid.select("x").distinct(), "fitlist")
     n, sums = _exact_sums(fit_list)
     model = Whitener(n, sums, np.zeros((len(sums), 0)), np.zeros(0), 0.0, 0.0, 0.0, 0)
     if not n or not sums:
