@@ -14,7 +14,8 @@ which a task sends one block of ``d x (2 k + 8)`` numbers, whatever its rows.
    longer falls and is at most ``FLOOR`` (rounding of the sums).
 4. Otherwise a Chebyshev polynomial in ``V``, evaluated by its three-term
    recurrence with one pass per degree, damps the interval from the lower end
-   to the smallest Ritz value of the block and lifts what lies above; QR makes
+   to the smallest Ritz value of the block (or a little below the ``k``-th,
+   where the block's values tie) and lifts what lies above; QR makes
    the columns orthonormal again, and 2 follows.
 
 The driver holds blocks of ``d x (2 k + 8)`` numbers and ``d`` exact sums;
@@ -39,6 +40,7 @@ from .vectors import entries, usable_rows
 TOLERANCE = 2e-15              # certified residual, relative to the largest eigenvalue
 FLOOR = 1e-12                  # a residual that stalls must be below this
 RANK = 1e-12                   # eigenvalues below this share of the largest one are zero
+GAP = 0.1                      # share of the wanted end that the damped interval leaves free
 DEGREE = 10                    # of the Chebyshev filter
 ROUNDS = 60
 LIFT = 1e10                    # largest ratio by which a filter may stretch the block
@@ -213,8 +215,10 @@ def eigenpairs(product, d: int, k: int, seed: int = 11) -> tuple[np.ndarray, np.
         if residual <= TOLERANCE or residual <= FLOOR and residual > 0.5 * last:
             break
         last = residual
-        high = float(values[-1])
-        start = low if low < high * (1 - 1e-6) else 0.0
+        start, wanted = low, float(values[min(k, block) - 1])
+        high = min(float(values[-1]), wanted - GAP * (wanted - start))     # below the wanted ones, even where all of the block tie
+        if high <= start:
+            start, high = 0.0, min(float(values[-1]), (1 - GAP) * wanted)
         reach = max(1 + 1e-9, (top - (high + start) / 2) / max((high - start) / 2, 1e-300))
         degree = max(1, min(DEGREE, int(math.log(2 * LIFT) / math.acosh(reach)))) if high > 0 else 1
         q = np.linalg.qr(chebyshev_filter(product, q, vq, start, high, top, degree) if high > 1e-14 * top else vq)[0]

@@ -27,7 +27,9 @@ def odd(spark):
             (2, "the same words in the same order here", "en", "a", 1), (3, None, None, None, None), (4, "", "en", "a", 0),
             (5, " \t\n ", "en", None, 4), (6, "Word", "de", "b", 4), (7, "word", None, "b", 4), (8, LONG, "en", "b", len(LONG)),
             (9, "12 34 !!", "en", "c", 8), (None, "no id but a text of a few words", "fr", "c", 9), (10, "x" * 300_000, "en", "c", 1)]
-    return with_extras(spark.createDataFrame(rows, DOCS)).repartition(3).cache()
+    df = with_extras(spark.createDataFrame(rows, DOCS)).repartition(3).cache()
+    yield df
+    df.unpersist()
 
 
 @pytest.fixture(scope="module")
