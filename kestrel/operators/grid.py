@@ -116,10 +116,32 @@ def stack(slices: Sequence[DataFrame], axis: str = "axis0") -> DataFrame:
     return out
 
 
-def stack_files(spark, paths: Sequence[str], axis: str = "axis0") -> DataFrame:
-    """Stack one-slice-per-path arrays: the axis value of a row is the
-    position in ``paths`` of the file or folder it is read from.  Every slice
-    is its own scan with its own literal, so names need not be distinct."""
+def write_slices(df: DataFrame, axis: str, path: str) -> str:
+    """Write an array as one folder per slice along ``axis``
+    (``path/axis=value``).  Rows are dealt by the axis; where one slice is
+    large, it is spread over several tasks and files."""
+    df.hint("rebalance", axis).write.partitionBy(axis).parquet(path)
+    return path
+
+
+def add_slice(df: DataFrame, axis: str, at, path: str) -> None:
+    """Add the slice ``axis == at`` (without that column) to a stack of
+    slices; refuses a slice that exists."""
+    df.drop(axis).write.mode("errorifexists").parquet(f"{path.rstrip('/')}/{axis}={at}")
+
+
+def stack_files(spark, paths: str | Sequence[str], axis: str = "axis0", schema=None) -> DataFrame:
+    """Stack slices along ``axis`` (``da.stack``).
+
+    ``paths`` as one folder holds a folder ``axis=value`` per slice: the axis
+    is a partition column found from the folder names, so a filter on it opens
+    only the matching folders; ``schema`` (with the axis) saves reading a
+    footer and fixes the axis type.  A list of paths holds one slice each: the
+    axis value is the position in the list, and every slice is its own scan
+    with its own literal, so names need not be distinct."""
+    if isinstance(paths, str):
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        return reader.option("basePath", paths).parquet(paths)
     return stack([spark.read.parquet(p) for p in paths], axis)
 
 

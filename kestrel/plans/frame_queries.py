@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arith import round_half_away
 from ..operators import frame as FR
+from ..operators.copartition import co_partition
 from ..sources.tables import account, table
 from .registry import query
 
@@ -160,7 +161,7 @@ def join_on_index(spark, sf):
                                              "l_extendedprice")
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
                                           "o_orderdate", "o_orderpriority")
-    return FR.join_on(li, o, "l_orderkey")
+    return co_partition(li, o, "l_orderkey").join(spark)
 
 
 @query("date_parts", """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arith import round_half_away
 from ..operators import grid as GR
+from ..session import work_dir
 from ..sources.tables import cube, table, vector
 from .registry import query
 
@@ -107,11 +108,26 @@ def axis_mean_strided(spark, sf):
     return GR.axis_mean(m, ["j"]).select("j", round_half_away("mean", 6).alias("mean"))
 
 
+def _stacked_days(spark, sf):
+    slices = cube(spark, sf).select("day", "hour", "event_type", round_half_away("value", 6).alias("value"), "n")
+    path = GR.write_slices(slices, "day", work_dir(spark, "slices"))
+    return GR.stack_files(spark, path, "day", slices.schema)
+
+
 @query("grid_stack", f"""
 WITH {_CUBE} SELECT day, hour, event_type, round(value, 6) AS value, n FROM cube""", ids="GR-1")
 def grid_stack(spark, sf):
-    return cube(spark, sf).select("day", "hour", "event_type",
-                                  round_half_away("value", 6).alias("value"), "n")
+    return _stacked_days(spark, sf).select("day", "hour", "event_type", "value", "n")
+
+
+# one slice of the stack: only its folder is opened
+@query("grid_stack_slice", f"""
+WITH {_CUBE} SELECT hour, event_type, round(value, 6) AS value, n FROM cube
+WHERE day = (SELECT min(day) FROM cube)""", ids="GR-1, GR-3")
+def grid_stack_slice(spark, sf):
+    stacked = _stacked_days(spark, sf)
+    first = stacked.agg(F.min("day")).first()[0]
+    return stacked.filter(F.col("day") == F.lit(first)).select("hour", "event_type", "value", "n")
 
 
 @query("grid_anomaly", f"""

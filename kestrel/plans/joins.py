@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only behind a size check, co-located joins.
+"""Join helpers: broadcast only behind a size check.
 
 ``broadcast_if_small`` reads Catalyst's size estimate of the optimised plan
 of the small side (file sizes for scans, propagated through filters and
@@ -38,10 +38,3 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     """Join where ``small`` is broadcast only if it is proven small."""
     return big.join(broadcast_if_small(small, max_bytes), on, how)
 
-
-def write_bucketed(df: DataFrame, table_name: str, key: str, buckets: int,
-                   path: str, mode: str = "errorifexists") -> None:
-    """Save ``df`` as a bucketed, sorted table so that later joins and
-    aggregations on ``key`` with the same bucket count need no exchange."""
-    (df.write.mode(mode).format("parquet").option("path", path)
-       .bucketBy(buckets, key).sortBy(key).saveAsTable(table_name))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..operators import storage as S
 from ..session import work_dir
-from ..sources.tables import table
+from ..operators.array_store import ArrayStore
+from ..sources.tables import matrix, table
 from .registry import query
 
 LOOKUP_KEY = 42
@@ -24,13 +25,31 @@ def parquet_scan(spark, sf):
         .filter(F.col("c_acctbal") > 0)
 
 
-@query("parquet_roundtrip", "SELECT * FROM customer", ids="SNK-2, SNK-3, SRC-10")
+@query("parquet_roundtrip", "SELECT * FROM customer", ids="SNK-2")
 def parquet_roundtrip(spark, sf):
     c = table(spark, sf, "customer")
     path = S.write_parquet(c, work_dir(spark, "roundtrip"), compression="zstd")
     return spark.read.parquet(path)
 
 
+# Regions as shares of the vector count n: a whole write, then an overlapping
+# replacement of vectors [n/4, n/2) and components [16, 48); the slice read
+# back is [n/8, 3n/8).
+@query("keyed_store_regions", """
+WITH n AS (SELECT count(*) AS n FROM embeddings),
+cells AS (SELECT vec_id AS i, unnest(range(len(embedding))) AS j, CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings)
+SELECT i, j, CASE WHEN i >= n // 4 AND i < n // 2 AND j >= 16 AND j < 48 THEN 2 * value ELSE value END AS value
+FROM cells, n WHERE i >= n // 8 AND i < 3 * n // 8""", ids="SRC-10, SNK-3, GR-3")
+def keyed_store_regions(spark, sf):
+    cells = matrix(spark, sf).select("i", "j", F.col("value").cast("double").alias("value"))
+    n, width = table(spark, sf, "embeddings").count(), 1 << 31
+    store = ArrayStore(spark, work_dir(spark, "arrays"))
+    store.write("x", [(0, width), (0, width)], cells, ["i", "j"])
+    block = cells.filter((F.col("i") >= n // 4) & (F.col("i") < n // 2) & (F.col("j") >= 16) & (F.col("j") < 48))
+    store.write("x", [(n // 4, n // 2), (16, 48)], block.withColumn("value", F.col("value") * 2), ["i", "j"])
+    return store.read("x", [(n // 8, 3 * n // 8), (0, width)])
+
+
 @query("sorted_store_lookup", f"""
 SELECT * FROM customer WHERE c_custkey = {LOOKUP_KEY}""", ids="SNK-4, PRJ-6")
 def sorted_store_lookup(spark, sf):

@@ -213,7 +213,7 @@ def test_multi_file_csv_and_generators(spark, scratch):
 
 
 def test_bucketed_tables_join_without_exchange(spark, scratch):
-    from kestrel.plans.joins import write_bucketed
+    from kestrel.operators.copartition import write_bucketed
     li = table(spark, SF_SMALL, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
     o = table(spark, SF_SMALL, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
                                                 "o_orderpriority")
