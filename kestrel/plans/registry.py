@@ -40,7 +40,7 @@ def query(name: str, sql: str | None, ids: str = ""):
 
 def load_all() -> dict[str, Query]:
     """Import every catalogue module (registration happens at import)."""
-    from . import (frame_queries, grid_queries, keyed_queries, pair_queries,  # noqa: F401
+    from . import (frame_queries, grid_queries, keyed_queries, neighbour_queries,  # noqa: F401
                    record_queries, storage_queries, stream_queries, text_queries,
                    udf_queries)
     return REGISTRY

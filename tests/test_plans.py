@@ -6,11 +6,9 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from kestrel.plans.cache import plan_text
 
-# queries whose semantics need Python (the UDF surface, the all-pairs kernel,
-# the segment fold, generated sub-frames)
+# queries whose semantics need Python (the UDF surface, the segment fold, generated sub-frames)
 PYTHON_OK = {"udf_map", "group_apply", "udaf_fold", "udaf_fold_count", "udaf_fold_amounts", "group_median",
-             "flat_map_records", "gen_from_functions", "ordered_fold",
-             "pairwise_distance", "pairwise_potential", "pairwise_potential_full"}
+             "flat_map_records", "gen_from_functions", "ordered_fold"}
 PY_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
             "FlatMapCoGroupsInPandas", "PythonUDF")
 

@@ -1,4 +1,4 @@
-"""Nested JSON records, blocked arrays, and pair reductions vs brute force."""
+"""Nested JSON records, blocked arrays, and pairs within a radius vs brute force."""
 
 import gzip
 import json
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.operators import grid as GR
-from kestrel.operators import pairs as P
+from kestrel.operators import neighbours as N
 from kestrel.operators import records as R
 
 TX = T.ArrayType(T.StructType([T.StructField("transaction-id", T.LongType()),
@@ -88,51 +88,41 @@ def test_explode_vectors_step(spark):
     assert got == [(0, 0.0), (4, 4.0), (8, 8.0)]
 
 
-def brute(points: np.ndarray, cutoff=1e-6):
-    d = points[:, None, :] - points[None, :, :]
-    r2 = (d * d).sum(-1)
-    iu = np.triu_indices(len(points), k=1)
-    tri = r2[iu]
-    energy = P.lj(tri[tri > cutoff]).sum()
-    with np.errstate(all="ignore"):
-        full = np.nansum(P.lj(r2)) / 2.0
-    off = r2 + np.diag(np.full(len(points), np.inf))
-    return energy, int((tri > cutoff).sum()), full, off.min(axis=1), r2.sum(axis=1)
-
-
-@pytest.fixture()
-def cluster():
+def test_pairs_within_match_brute_force(spark):
+    """Every pair once, copies and tiny distances included, whatever the salts."""
     rng = np.random.default_rng(1981)
-    pts = rng.normal(0, 4, (150, 3)) - 0.5
+    pts = rng.normal(0, 2, (400, 3)) - 0.5
     pts[10] = pts[3]                                 # identical points: r2 = 0
     pts[20] = pts[5] + np.array([3e-4, 0, 0])        # 0 < r2 <= 1e-6
-    return pts
-
-
-def test_pairs_match_brute_force(spark, cluster):
-    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(cluster)],
-                               "id long, v array<double>")
-    energy, n_pairs, full, nn, rowsum = brute(cluster)
-    e = P.pair_energy(df, "id", "v", block_rows=40).first()
-    assert e["n_pairs"] == n_pairs
-    assert e["energy"] == pytest.approx(energy, rel=1e-9)
-    f = P.pair_energy_full(df, "id", "v", block_rows=40).first()["energy"]
-    assert f == pytest.approx(full, rel=1e-9)
-    assert abs(f - e["energy"]) > 1.0               # the tiny-r2 pair separates the two forms
-    st = {r["id"]: r for r in P.nearest_stats(df, "id", "v", block_rows=40).collect()}
-    assert len(st) == len(cluster)
-    for i in range(len(cluster)):
-        assert st[i]["n_others"] == len(cluster) - 1
-        assert st[i]["nn_r2"] == pytest.approx(nn[i], abs=1e-12)
-        assert st[i]["sum_r2"] == pytest.approx(rowsum[i], rel=1e-9)
-
-
-def test_pairs_single_block_equals_many(spark, cluster):
-    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(cluster)],
-                               "id long, v array<double>")
-    a = P.pair_energy(df, "id", "v", block_rows=10_000).first()["energy"]
-    b = P.pair_energy(df, "id", "v", block_rows=17).first()["energy"]
-    assert a == pytest.approx(b, rel=1e-12)
+    pts[200:300] = rng.normal(0, 0.2, (100, 3))      # a hot cell
+    rows = [(i, *map(float, p)) for i, p in enumerate(pts)]
+    rows += [(3, 9e9, 0.0, 0.0), (None, 0.0, 0.0, 0.0), (900, None, 0.0, 0.0), (901, float("nan"), 0.0, 0.0), (902, 0.0, float("inf"), 0.0)]
+    df = spark.createDataFrame(rows, "id long, x double, y double, z double")
+    r2 = ((pts[:, None] - pts[None]) ** 2).sum(-1)
+    iu = [(i, j) for i in range(400) for j in range(i + 1, 400) if r2[i, j] <= 0.64]
+    for cell_rows in (None, 7):
+        got = {(r["a"], r["b"]): r["r2"] for r in N.pairs_within(df, "id", ["x", "y", "z"], 0.8, cell_rows=cell_rows).collect()}
+        assert sorted(got) == iu and all(abs(got[p] - r2[p]) < 1e-12 for p in iu)
+    assert N.pairs_within(df, "id", ["x", "y", "z"], 0.8).count() == len(iu)          # none twice
+    masked = N.pairs_within(df, "id", ["x", "y", "z"], 0.8, above=1e-6)
+    assert sorted((r["a"], r["b"]) for r in masked.collect()) == [p for p in iu if r2[p] > 1e-6]
+    st = {r["id"]: r for r in N.near_stats(df, "id", ["x", "y", "z"], 0.8).collect()}
+    near = r2 + np.diag(np.full(400, np.inf))
+    for i in range(400):
+        own = near[i][near[i] <= 0.64]
+        assert st[i]["n_near"] == len(own) and (len(own) == 0 or abs(st[i]["nearest_r2"] - own.min()) < 1e-12)
+    assert (st[900]["n_near"], st[900]["nearest_r2"]) == (0, None) and None in st
+    with pytest.raises(ValueError):
+        N.pairs_within(df, "id", ["x"], 0.0)
+
+
+def test_pairs_within_plan(spark):
+    """An equi-join on the cells; the visiting side has half of the neighbours."""
+    from kestrel.plans.cache import plan_text
+    df = spark.range(100).select("id", F.rand(1).alias("x"), F.rand(2).alias("y"))
+    plan = plan_text(N.pairs_within(df, "id", ["x", "y"], 0.1))
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan and "InArrow" not in plan
+    assert len(N.half_neighbourhood(2)) == 5 and len(N.half_neighbourhood(3)) == 14
 
 
 def test_empty_and_null_edges(spark):
@@ -171,18 +161,3 @@ def test_count_per_file(spark, scratch):
         spark, os.path.join(scratch, "part*.txt"))).collect())
     assert got == [1, 2, 3]
     assert T.row_count(T.read_lines(spark, os.path.join(scratch, "part*.txt"))).first()[0] == 6
-
-
-def test_pairs_wide_vectors_chunked(spark):
-    rng = np.random.default_rng(5)
-    pts = rng.normal(0, 1, (60, 1024))
-    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(pts)],
-                               "id long, v array<double>")
-    energy, n_pairs, full, nn, rowsum = brute(pts)
-    old = P.CHUNK_BYTES
-    P.CHUNK_BYTES = 25 * 16 * 3                   # forces chunks of a few rows
-    try:
-        e = P.pair_energy(df, "id", "v", block_rows=25).first()
-    finally:
-        P.CHUNK_BYTES = old
-    assert e["n_pairs"] == n_pairs and e["energy"] == pytest.approx(energy, rel=1e-9)
