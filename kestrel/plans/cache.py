@@ -15,7 +15,7 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, work_dir
 
 
 @contextmanager
@@ -39,3 +39,11 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     inspection and plan assertions in tests."""
     return df._jdf.queryExecution().explainString(
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared work folder, read back: the
+    lineage is cut and a lost executor costs nothing that was written."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -112,9 +112,11 @@ def group_max(spark, sf):
                           {"max": F.max("o_orderkey"), "n": F.count(F.lit(1))})
 
 
+# Every 50th record is cut short: it comes back in the reject column.
 @query("json_parse", """
-SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
-       ids="SRC-3, FN-10")
+SELECT event_id, event_type, CASE WHEN event_id % 50 <> 0 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
+       CASE WHEN event_id % 50 = 0 THEN props[1:5] END AS rejected FROM events""", ids="SRC-3, FN-10")
 def json_parse(spark, sf):
-    e = table(spark, sf, "events").select("event_id", "event_type", "props")
-    return R.parse_json_records(e, "props", "k BIGINT")
+    text = F.when(F.col("event_id") % 50 == 0, F.substring("props", 1, 5)).otherwise(F.col("props"))
+    e = table(spark, sf, "events").select("event_id", "event_type", text.alias("props"))
+    return R.parse_json_records(e, "props", "k BIGINT", corrupt_col="rejected")
\ No newline at end of file

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import storage as S
 from ..session import work_dir
+from ..sources.inference import read_csv_split
 from ..operators.array_store import ArrayStore
 from ..sources.tables import matrix, table
 from .registry import query
@@ -90,13 +91,31 @@ def text_output(spark, sf):
     return spark.read.text(path).select(parts[0].alias("word"), parts[1].cast("bigint").alias("n"))
 
 
-@query("csv_scan", "SELECT * FROM customer", ids="SRC-4, SRC-2")
-def csv_scan(spark, sf):
-    from ..sources.files import read_csv
+def _csv_with_bad_lines(spark, sf):
+    """``customer`` as CSV files, and files whose lines do not fit (one in eleven)."""
     c = table(spark, sf, "customer")
     path = work_dir(spark, "csv")
     c.write.option("header", True).csv(path)          # one file per task, as produced
-    return read_csv(spark, f"{path}/*.csv", c.schema)
+    c.filter("c_custkey % 10 = 0").withColumn("c_nationkey", F.lit("many")) \
+        .write.mode("append").option("header", True).csv(path)
+    return path
+
+
+# No schema is given: the types come from all rows; lines that do not fit
+# are split off (csv_rejects).
+@query("csv_scan", """
+SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer""", ids="SRC-4")
+def csv_scan(spark, sf):
+    return read_csv_split(spark, _csv_with_bad_lines(spark, sf), reject_share=0.2).typed
+
+
+@query("csv_rejects", """
+SELECT CAST(c_custkey AS VARCHAR) || ',' || c_name || ',many,' || CAST(c_acctbal AS VARCHAR) || ',' || c_mktsegment AS record,
+       c_custkey, CAST(NULL AS BIGINT) AS c_nationkey
+FROM customer WHERE c_custkey % 10 = 0""", ids="SRC-4")
+def csv_rejects(spark, sf):
+    rejected = read_csv_split(spark, _csv_with_bad_lines(spark, sf), reject_share=0.2).rejected
+    return rejected.select(F.col("_record").alias("record"), "c_custkey", "c_nationkey")
 
 
 @query("gzip_text_scan", """

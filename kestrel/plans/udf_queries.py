@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arith import round_half_away
 from ..operators import udf as U
+from ..operators.selection import group_quantile
 from .cache import cut_lineage, persisted
 from ..sources.tables import account, nested, table
 from .registry import query
@@ -92,25 +93,11 @@ def udaf_fold_amounts(spark, sf):
         .select("key", round_half_away("value", 2).alias("value"))
 
 
-def _median(key, frames):
-    """The middle of a group whose rows come in order; ``n`` is its size."""
-    at, middle = 0, []
-    for f in frames:
-        n = int(f["n"].iat[0])
-        for place in sorted({(n - 1) // 2, n // 2}):
-            if at <= place < at + len(f):
-                middle.append(f["amount"].iat[place - at])
-        at += len(f)
-    yield pd.DataFrame({"names": [key[0]], "median": [sum(middle) / len(middle)]})
-
-
 @query("group_median", f"""
 WITH {_ACCOUNT} SELECT names, round(median(amount), 6) AS median FROM account WHERE amount IS NOT NULL GROUP BY names""",
        ids="UD-2")
 def group_median(spark, sf):
-    rows = account(spark, sf).select("names", "amount").filter("amount IS NOT NULL")
-    sized = U.with_group_stats(rows, ["names"], {"n": F.count(F.lit(1))})
-    return U.apply_in_groups(sized, ["names"], _median, "names string, median double", order=["amount"]) \
+    return group_quantile(account(spark, sf), ["names"], "amount", 0.5, "median") \
         .select("names", round_half_away("median", 6).alias("median"))
 
 
