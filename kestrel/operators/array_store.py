@@ -71,7 +71,7 @@ class ArrayStore:
         if not version:
             raise KeyError(f"no dataset {key!r} in {self.root}")
         path = f"{self._folder(key)}/_manifest/{version:012d}.json"
-        return json.loads(self.spark.read.option("wholetext", True).text(path).first()[0])
+        return json.loads(self.spark.read.text(path, wholetext=True).first()[0])
 
     def keys(self) -> list[str]:
         """Keys of the datasets directly below ``root``."""

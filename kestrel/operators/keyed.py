@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.joins import broadcast_if_small
+from .ordered import fold_in_order, ordered_concat
 
 
 def upsert_if_absent(base: DataFrame, updates: DataFrame, key: str, order: str | None = None) -> DataFrame:
@@ -28,31 +29,41 @@ def upsert_if_absent(base: DataFrame, updates: DataFrame, key: str, order: str |
     return base.unionByName(once.join(base.select(key), key, "left_anti"))
 
 
-def _was(new: Column, old: Column) -> Column:
-    return F.concat(new, F.lit(" was "), old)
-
-
-def upsert_merge(base: DataFrame, updates: DataFrame, key: str, value: str,
-                 combine: Callable[[Column, Column], Column] = _was, order: str | None = None) -> DataFrame:
-    """``merge(k, v, f)``: keys in both get ``combine(new, old)``; others
-    keep whichever side has them (full outer join).
+def upsert_merge(base: DataFrame, updates: DataFrame, key: str, value: str, combine: Callable | None = None,
+                 order: str | None = None, associative: bool = False) -> DataFrame:
+    """``merge(k, v, f)``: keys in both get ``combine(new, old)`` (by default
+    the text ``new was old``); others keep whichever side has them.
 
     Several updates of one key are merged one after another by ``order`` (a
     column of ``updates``; without it, by value), so the result has one row
-    per key.  ``combine`` need not be associative, so the update values of one
-    key are held together for that; NULL values merge nothing.
-    """
-    def merged(acc, new):
-        return F.when(acc.isNull(), new).otherwise(combine(new, acc))
-
+    per key; NULL values merge nothing.  The default text is joined from
+    ordered segments, so a key may have any number of updates.  ``combine`` is
+    a Python function of two values; say ``associative`` if it may be grouped,
+    otherwise a key's updates pass through one task one by one."""
     kind = base.schema[value].dataType
-    b = base.select(key, F.col(value).alias("_old"))
-    entry = F.struct(F.col(order or value).alias("_at"), F.col(value).cast(kind).alias("_new"))
-    u = updates.filter(F.col(value).isNotNull()).groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_news"))
-    j = b.join(u, key, "full_outer")
-    folded = F.aggregate(F.coalesce("_news", F.array().cast(u.schema["_news"].dataType)), F.col("_old"),
-                         lambda acc, e: merged(acc, e["_new"]))
-    return j.select(key, folded.alias(value))
+    news = updates.select(key, *dict.fromkeys([order or value, value])).filter(F.col(value).isNotNull()) \
+        .withColumn("_new", F.col(value).cast(kind))
+    at = [order, "_new"] if order else ["_new"]
+    old = base.select(key, F.col(value).alias("_old"))
+    if combine is None:
+        u = ordered_concat(news, key, at, "_new", " was ", "_news", falling=True)
+        both = F.concat("_news", F.lit(" was "), "_old")
+        return old.join(u, key, "full_outer").select(key, F.coalesce(both, "_news", "_old").alias(value))
+    turned = lambda acc, new: combine(new, acc)                 # noqa: E731
+    if associative:
+        u = fold_in_order(news, key, at, "_new", turned, "_news", associative=True)
+        last = F.pandas_udf(lambda n, o: pd.Series([combine(x, y) for x, y in zip(n, o)]), kind)
+        j = old.join(u, key, "full_outer")
+        both = j.filter("_news IS NOT NULL AND _old IS NOT NULL").select(key, last("_news", "_old").alias(value))
+        one = j.filter("_news IS NULL OR _old IS NULL").select(key, F.coalesce("_news", "_old").alias(value))
+        return both.unionByName(one)
+    # the old value is the first of a key's values, the updates follow
+    first = old.filter("_old IS NOT NULL").select(key, F.lit(0).alias("_side"), F.lit(None).cast(news.schema[at[0]].dataType).alias("_at"),
+                                                  F.col("_old").alias("_new"))
+    rest = news.select(key, F.lit(1).alias("_side"), F.col(at[0]).alias("_at"), "_new")
+    done = fold_in_order(first.unionByName(rest), key, ["_side", "_at", "_new"], "_new", turned, value)
+    none = old.filter("_old IS NULL").select(key, F.lit(None).cast(kind).alias(value)).join(done.select(key), key, "left_anti")
+    return done.unionByName(none)
 
 
 def lookup_default(keys: DataFrame, base: DataFrame, key: str, value: str, default) -> DataFrame:
@@ -89,6 +100,13 @@ def kv_entries(df: DataFrame, group: str, key: str, value: str) -> DataFrame:
     return positions_in_groups(rows, group, ["_k", "kv"], "position").select(group, "position", "kv")
 
 
+def kv_text(df: DataFrame, group: str, key: str, value: str, sep: str = ", ") -> DataFrame:
+    """``(group, text)``: the ``k=v`` strings of each group as one string, in
+    key order, joined from ordered segments."""
+    rows = df.select(group, F.col(key).alias("_key"), kv_strings(df, key, value).alias("kv"))
+    return ordered_concat(rows, group, ["_key", "kv"], "kv", sep, "text")
+
+
 def search_first(df: DataFrame, group: str, cond: Column, order: str,
                  cols: Sequence[str]) -> DataFrame:
     """Per group, the matching row with the lowest ``order`` value

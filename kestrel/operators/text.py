@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.tokens import (TOKENIZER_DELIMS, normalise_line, space_split,
+from ..functions.tokens import (TOKENIZER_DELIMS, normalise_line, pattern_entries, space_split,
                                whitespace_token_count, word_tokens)
+from ..session import work_dir
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -25,19 +26,18 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_skip_patterns(spark: SparkSession, path: str) -> list[str]:
-    """The side file of regex patterns, one per line, in file order.
+def read_skip_patterns(spark: SparkSession, path: str) -> Column:
+    """The side file of regex patterns, one per line, in file order, as a
+    column for the ``patterns`` of the functions below.
 
-    This is the one place where data reaches the driver: a pattern list is
-    code, not data, and it is built into the expression chain that every task
-    runs.  Its size is checked so that a data file passed by mistake fails
-    fast instead of flooding the driver.
-    """
-    df = spark.read.text(path)
-    rows = df.limit(10_001).collect()
-    if len(rows) > 10_000:
-        raise ValueError(f"skip file {path} has more than 10000 patterns")
-    return [r.value for r in rows if r.value != ""]
+    The file is read whole as one row and becomes one ordered array that Spark
+    hands to the tasks as a scalar subquery: no pattern passes through Python,
+    and their number is not limited.  Empty lines are no patterns."""
+    whole = spark.read.text(path, wholetext=True)
+    entries = pattern_entries(F.split("value", "\r?\n"))
+    written = work_dir(spark, "patterns")                 # parsed once, whatever the number of uses
+    whole.select(entries.alias("entries")).write.parquet(written)
+    return spark.read.parquet(written).scalar()
 
 
 def split_lines(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -46,20 +46,29 @@ def split_lines(df: DataFrame, key: str, text: str) -> DataFrame:
         .select(key, (F.col("pos") + 1).cast("bigint").alias("line_no"), "line")
 
 
+def _placed(df: DataFrame, text: str, patterns):
+    """A pattern column from ``read_skip_patterns`` as a column of the rows
+    (lambdas take no subquery); a list stays as it is."""
+    if not isinstance(patterns, Column):
+        return df, patterns
+    return df.select(text, patterns.alias("_patterns")), F.col("_patterns")
+
+
 def tokens(df: DataFrame, text: str, lower: bool = False,
-           patterns: Sequence[str] = ()) -> DataFrame:
+           patterns: Sequence[str] | Column = ()) -> DataFrame:
     """One row per whitespace token after optional lower-case + pattern removal.
 
     The raw split is exploded and empty pieces dropped by a plain filter,
     which keeps the whole stage in generated code (a lambda filter on the
     array would be interpreted per element)."""
+    df, patterns = _placed(df, text, patterns)
     line = normalise_line(F.col(text), lower=lower, patterns=patterns)
     return (df.select(F.explode(F.split(line, TOKENIZER_DELIMS)).alias("word"))
               .filter(F.col("word") != ""))
 
 
 def word_count(df: DataFrame, text: str = "value", lower: bool = False,
-               patterns: Sequence[str] = ()) -> DataFrame:
+               patterns: Sequence[str] | Column = ()) -> DataFrame:
     """``(word, n)``: whitespace-token counts (the MapReduce word count).
 
     ``lower`` and ``patterns`` give the configurable variant: lower-case
@@ -70,7 +79,7 @@ def word_count(df: DataFrame, text: str = "value", lower: bool = False,
 
 
 def count_words_observed(df: DataFrame, text: str = "value", lower: bool = False,
-                         patterns: Sequence[str] = (), name: str = "input_words"):
+                         patterns: Sequence[str] | Column = (), name: str = "input_words"):
     """Word count plus a named job counter of emitted tokens.
 
     Returns ``(counts_df, observation)``; ``observation.get`` holds
@@ -85,8 +94,9 @@ def count_words_observed(df: DataFrame, text: str = "value", lower: bool = False
 
 
 def input_words(df: DataFrame, text: str = "value", lower: bool = False,
-                patterns: Sequence[str] = ()) -> DataFrame:
+                patterns: Sequence[str] | Column = ()) -> DataFrame:
     """One row: the number of tokens the word count emits (exact)."""
+    df, patterns = _placed(df, text, patterns)
     line = normalise_line(F.col(text), lower=lower, patterns=patterns)
     return df.agg(F.sum(whitespace_token_count(line)).cast("bigint").alias("input_words"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.arith import round_half_away
 from ..operators import grid as GR
 from ..session import work_dir
+from ..sources.files import normal_at
 from ..sources.tables import cube, table, vector
 from .registry import query
 
@@ -17,6 +18,7 @@ SLICE_LO, SLICE_HI = 2000, 3000
 STRIDE = 100
 AXIS_STRIDE = 4
 TOPK = 10
+NORMAL_SEED = 1981
 
 _CUBE = """cube AS (SELECT CAST(ts AS DATE) AS day, CAST(hour(ts) AS BIGINT) AS hour, event_type,
                 avg(value) AS value, CAST(count(*) AS BIGINT) AS n
@@ -130,6 +132,24 @@ def grid_stack_slice(spark, sf):
     return stacked.filter(F.col("day") == F.lit(first)).select("hour", "event_type", "value", "n")
 
 
+def _uniform_sql(stream: int) -> str:
+    x = f"((event_id + {(NORMAL_SEED * 2 + stream) * 1_000_003 % 2147483647}) % 2147483647)"
+    for k, a in enumerate((48271, 69621, 48271, 69621)):
+        x = f"(({x} * {a} + {12345 + k + 7919 * stream}) % 2147483647)"
+        x = f"xor({x}, {x} >> {13 - 2 * k})"
+    return f"(({x} + 1) / (2147483648.0::DOUBLE + 1))"
+
+
+# The cells are the events' indices; mean and chunk sums of the generated
+# array would hide a wrong cell, so every value is returned.
+@query("random_normal_cells", f"""
+SELECT event_id AS idx, round(10 + 0.1 * sqrt(-2 * ln({_uniform_sql(0)})) * cos(2 * pi() * {_uniform_sql(1)}), 6) AS value
+FROM events""", ids="SRC-8")
+def random_normal_cells(spark, sf):
+    cells = vector(spark, sf).select("idx")
+    return cells.select("idx", round_half_away(normal_at(F.col("idx"), NORMAL_SEED, 10.0, 0.1), 6).alias("value"))
+
+
 @query("grid_anomaly", f"""
 WITH {_CUBE},
 m AS (SELECT hour, event_type, avg(value) AS mean_value FROM cube GROUP BY 1, 2),

@@ -78,11 +78,31 @@ def counter_totals(spark, sf):
 @query("kv_concat", """
 SELECT n_regionkey, CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS BIGINT) AS position,
        CAST(n_nationkey AS VARCHAR) || '=' || n_name AS kv
-FROM nation""", ids="AG-27, FN-12")
+FROM nation""", ids="FN-12")
 def kv_concat(spark, sf):
     return K.kv_entries(table(spark, sf, "nation"), "n_regionkey", "n_nationkey", "n_name")
 
 
+@query("kv_string", """
+SELECT n_regionkey, string_agg(CAST(n_nationkey AS VARCHAR) || '=' || n_name, ', ' ORDER BY n_nationkey) AS text
+FROM nation GROUP BY n_regionkey""", ids="AG-27, FN-12")
+def kv_string(spark, sf):
+    return K.kv_text(table(spark, sf, "nation"), "n_regionkey", "n_nationkey", "n_name")
+
+
+# Many updates per key: the totals of a customer's orders, in order of date.
+@query("upsert_merge_orders", """
+WITH u AS (SELECT o_custkey AS k, string_agg(CAST(o_orderkey AS VARCHAR), ' was ' ORDER BY o_orderdate DESC, CAST(o_orderkey AS VARCHAR) DESC) AS v
+           FROM orders GROUP BY 1)
+SELECT coalesce(c_custkey, u.k) AS k, CASE WHEN u.v IS NULL THEN c_mktsegment WHEN c_mktsegment IS NULL THEN u.v
+       ELSE u.v || ' was ' || c_mktsegment END AS v
+FROM customer FULL OUTER JOIN u ON c_custkey = u.k""", ids="JN-8")
+def upsert_merge_orders(spark, sf):
+    base = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("v"))
+    updates = table(spark, sf, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").cast("string").alias("v"), "o_orderdate")
+    return K.upsert_merge(base, updates, "k", "v", order="o_orderdate")
+
+
 @query("search_first", """
 SELECT c_mktsegment, min(c_custkey) AS c_custkey, arg_min(c_name, c_custkey) AS c_name,
        arg_min(c_acctbal, c_custkey) AS c_acctbal

@@ -6,8 +6,10 @@ shared checkpoint folder and return a lazy read of what they wrote.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import index as IX
 from ..operators import storage as S
 from ..session import work_dir
 from ..sources.inference import read_csv_split
@@ -72,11 +74,36 @@ def categorize(spark, sf):
 @query("set_index_divisions", f"""
 SELECT CAST(tile AS INTEGER) AS tile, min(c_name) AS lo, max(c_name) AS hi, CAST(count(*) AS BIGINT) AS n
 FROM (SELECT c_name, ntile({TILES}) OVER (ORDER BY c_name) AS tile FROM customer) t
-GROUP BY tile""", ids="SL-5, SL-6")
+GROUP BY tile""", ids="SL-6")
 def set_index_divisions(spark, sf):
     return S.exact_divisions(table(spark, sf, "customer"), "c_name", TILES)
 
 
+INDEX_PARTS = 8
+
+
+# A repeated key; the look-up opens only the parts whose divisions meet it.
+@query("set_index_loc", """
+SELECT o_custkey, o_orderkey, o_totalprice FROM orders WHERE o_custkey BETWEEN 40 AND 60""", ids="SL-5, SL-6, PRJ-7")
+def set_index_loc(spark, sf):
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    path = IX.write_index(o, "o_custkey", work_dir(spark, "index"), INDEX_PARTS)
+    return IX.loc(spark, path, "o_custkey", 40, 60)
+
+
+# The divisions of an index on five values (each spans parts): how many rows
+# they hold, and how many parts begin below the end of the part before.
+@query("set_index_kept_divisions", """
+SELECT CAST(count(*) AS BIGINT) AS n, min(c_mktsegment) AS lo, max(c_mktsegment) AS hi, CAST(0 AS BIGINT) AS disordered
+FROM customer WHERE c_mktsegment IS NOT NULL""", ids="SL-5, SL-6")
+def set_index_kept_divisions(spark, sf):
+    c = table(spark, sf, "customer").select("c_mktsegment", "c_custkey").filter("c_mktsegment IS NOT NULL")
+    kept = IX.divisions(spark, IX.write_index(c, "c_mktsegment", work_dir(spark, "index"), INDEX_PARTS))
+    order = Window.orderBy(IX.PART)                    # INDEX_PARTS rows
+    return kept.withColumn("before", F.lag("hi").over(order)) \
+        .agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count_if(F.col("lo") < F.col("before")).alias("disordered"))
+
+
 @query("text_output", """
 SELECT word, CAST(count(*) AS BIGINT) AS n FROM (
   SELECT unnest(regexp_split_to_array(text, '[ \\t\\n\\r\\f]+')) AS word FROM documents) t

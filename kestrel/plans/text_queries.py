@@ -72,7 +72,7 @@ def word_count(spark, sf):
     return T.word_count(documents(spark, sf).select("text"), "text")
 
 
-def _skip_file_patterns(spark) -> list[str]:
+def _skip_file_patterns(spark):
     """The skip patterns as the job sees them: a side file (one regex per
     line) in the shared folder, read back in file order."""
     path = work_dir(spark, "skip-patterns")

@@ -8,9 +8,10 @@ declared schema, so no inference pass reads the data twice.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -43,6 +44,29 @@ def from_sequence(spark: SparkSession, values: Sequence, col: str = "value",
     return spark.createDataFrame([(v,) for v in values], f"{col} {dtype}")
 
 
+# The modulus 2^31 - 1 and two multipliers of the
+# multiplicative congruential generators (Park and Miller; L'Ecuyer).
+_M31, _STEP_A, _STEP_B = 2147483647, 48271, 69621
+
+
+def _uniform(cell: Column, seed: int, stream: int) -> Column:
+    """A number in (0, 1) from a cell index: four multiply-and-xor rounds of
+    31-bit integers, all below 2^63, so any engine computes the same."""
+    x = F.pmod(cell + F.lit((seed * 2 + stream) * 1_000_003 % _M31), F.lit(_M31)).cast("bigint")
+    for k, a in enumerate((_STEP_A, _STEP_B, _STEP_A, _STEP_B)):
+        x = F.pmod(x * a + F.lit(12345 + k + 7919 * stream), F.lit(_M31))
+        x = x.bitwiseXOR(F.shiftright(x, 13 - 2 * k))
+    return (x + 1).cast("double") / F.lit(float(1 << 31) + 1.0)
+
+
+def normal_at(cell: Column, seed: int, mean: float = 0.0, std: float = 1.0) -> Column:
+    """A normal(mean, std) value that depends on the cell index and the seed
+    alone (a counter-based generator with the Box-Muller transform): the same
+    under any partitioning, order or retry."""
+    radius = F.sqrt(F.lit(-2.0) * F.log(_uniform(cell, seed, 0)))
+    return F.lit(mean) + F.lit(std) * radius * F.cos(F.lit(2 * math.pi) * _uniform(cell, seed, 1))
+
+
 def random_normal(spark: SparkSession, shape: Sequence[int], mean: float = 0.0,
                   std: float = 1.0, seed: int | None = None,
                   partitions: int | None = None) -> DataFrame:
@@ -50,8 +74,9 @@ def random_normal(spark: SparkSession, shape: Sequence[int], mean: float = 0.0,
     ``(i0, i1, ..., value)``, generated on the executors from ``spark.range``.
 
     The values follow the distribution but are not NumPy's stream (tests
-    check moments).  Indices come from the cell number, so any filter on
-    them runs before ``randn`` is evaluated.
+    check moments), and depend on the partitioning; ``normal_at`` gives values
+    that depend on the cell alone.  Indices come from the cell number, so any
+    filter on them runs before ``randn`` is evaluated.
     """
     total = 1
     for n in shape:

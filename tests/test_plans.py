@@ -7,7 +7,8 @@ from conftest import SF_SMALL
 from kestrel.plans.cache import plan_text
 
 # queries whose semantics need Python (the UDF surface, the segment fold, generated sub-frames)
-PYTHON_OK = {"udf_map", "group_apply", "udaf_fold", "udaf_fold_count", "udaf_fold_amounts", "group_median",
+PYTHON_OK = {"udf_map", "group_apply", "udaf_fold", "udaf_fold_count", "udaf_fold_amounts",
+             "kv_string", "upsert_merge", "upsert_merge_orders",
              "flat_map_records", "gen_from_functions", "ordered_fold"}
 PY_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
             "FlatMapCoGroupsInPandas", "PythonUDF")
