@@ -114,37 +114,43 @@ _LAST_UNIT = r"(?:\\[^a-zA-Z0-9]|[^\\])$"
 
 
 def pattern_entries(patterns: Column) -> Column:
-    """An array of Java regexes as ``(pattern, head, plain)`` structs, each
-    pattern once, in order: ``head`` is a literal that every match holds (the
-    text before the first regex character; empty where alternatives or
-    inline constructs make none certain), ``plain`` says that the head is the
-    whole pattern."""
+    """An array of Java regexes as a struct ``(entries, gate)``.
+
+    ``entries`` holds ``(pattern, head, plain)`` of each pattern once, in
+    order: ``head`` is a literal that every match holds (the text before the
+    first regex character; empty where alternatives or inline constructs make
+    none certain), ``plain`` says that the head is the whole pattern.
+    ``gate`` is a character class of the heads' first characters, empty if
+    some pattern has no head."""
     def entry(p):
         raw = F.regexp_extract(p, _LITERAL_HEAD, 0)
         after = p.substr(F.length(raw) + 1, F.lit(1))
         sure = F.when(after.isin("*", "?", "{"), F.regexp_replace(raw, _LAST_UNIT, "")).otherwise(raw)
         sure = F.when(p.contains("|"), F.lit("")).otherwise(sure)
         return F.struct(p.alias("pattern"), F.regexp_replace(sure, r"\\(.)", "$1").alias("head"), (raw == p).alias("plain"))
-    return F.transform(F.array_distinct(F.filter(patterns, lambda p: p != "")), entry)
+    entries = F.transform(F.array_distinct(F.filter(patterns, lambda p: p != "")), entry)
+    firsts = F.array_distinct(F.transform(entries, lambda e: F.substring(e["head"], 1, 1)))
+    shown = F.transform(firsts, lambda c: F.regexp_replace(c, r"([\[\]\\^&-])", r"\\$1"))
+    gate = F.when(F.array_contains(firsts, F.lit("")) | (F.size(firsts) == 0), F.lit("")) \
+        .otherwise(F.concat(F.lit("["), F.array_join(shown, ""), F.lit("]")))
+    return F.struct(entries.alias("entries"), gate.alias("gate"))
 
 
-def delete_pattern_entries(c, entries: Column) -> Column:
+def delete_pattern_entries(c, patterns: Column) -> Column:
     """Remove every match of each pattern of ``pattern_entries``, in order.
 
     The patterns are folded over, so their number is not limited by the
     expression.  A pattern is applied only to a text that holds its head at
-    that point, and a text that holds none of the heads' first characters is
-    left as it is without looking at the patterns one by one."""
+    that point, and a text in which the gate finds nothing is left as it is
+    without looking at the patterns one by one."""
     text = _col(c)
-    firsts = F.array_distinct(F.transform(entries, lambda e: F.substring(e["head"], 1, 1)))
-    open_heads = F.array_contains(firsts, F.lit(""))
-    any_first = open_heads | F.arrays_overlap(firsts, F.split(text, ""))
 
     def step(acc, e):
         cut = F.when(e["plain"], F.replace(acc, e["head"], F.lit(""))).otherwise(F.regexp_replace(acc, e["pattern"], F.lit("")))
         return F.when(acc.contains(e["head"]), cut).otherwise(acc)
 
-    return F.when(any_first, F.aggregate(entries, text, step)).otherwise(text)
+    some = (patterns["gate"] == "") | (F.regexp_instr(text, patterns["gate"]) > 0)
+    return F.when(some, F.aggregate(patterns["entries"], text, step)).otherwise(text)
 
 
 def normalise_line(c, lower: bool = False, patterns: Sequence[str] | Column = ()) -> Column:

@@ -91,9 +91,15 @@ def write_index(df: DataFrame, key: str, path: str, partitions: int) -> str:
     stored = df.sparkSession.read.schema(placed.schema).parquet(path)
     bounds = stored.groupBy(PART).agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n"))
     bounds.write.parquet(f"{path.rstrip('/')}/_divisions")
+    placed.limit(0).write.parquet(f"{path.rstrip('/')}/_schema")          # an index without rows has no folder to tell it
     return path
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    schema = spark.read.parquet(f"{path.rstrip('/')}/_schema").schema
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
+
+
 def divisions(spark: SparkSession, path: str) -> DataFrame:
     """``(_part, lo, hi, n)`` of a stored index."""
     return spark.read.parquet(f"{path.rstrip('/')}/_divisions")
@@ -101,7 +107,7 @@ def divisions(spark: SparkSession, path: str) -> DataFrame:
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """All rows of a stored index, without the part column."""
-    return spark.read.parquet(path).drop(PART)
+    return _stored(spark, path).drop(PART)
 
 
 def loc(spark: SparkSession, path: str, key: str, lo, hi=None) -> DataFrame:
@@ -110,5 +116,5 @@ def loc(spark: SparkSession, path: str, key: str, lo, hi=None) -> DataFrame:
     hi = lo if hi is None else hi
     meets = divisions(spark, path).filter((F.col("lo") <= F.lit(hi)) & (F.col("hi") >= F.lit(lo)))
     parts = [r[PART] for r in meets.select(PART).collect()]              # at most one row per part
-    rows = spark.read.parquet(path)
+    rows = _stored(spark, path)
     return rows.filter(F.col(PART).isin(parts) & F.col(key).between(F.lit(lo), F.lit(hi))).drop(PART)

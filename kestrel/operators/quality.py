@@ -75,13 +75,31 @@ def ratio_with_quarantine(df: DataFrame, a: str, b: str) -> DataFrame:
                   .agg(F.count(F.lit(1)).alias("n"), F.sum(ratio).alias("total")))
 
 
+def leading_rows(df: DataFrame, order: list[str], n: int, total: int) -> DataFrame:
+    """Rows of ``df`` (``total`` of them) that hold its first ``n`` rows in
+    ``order``: those up to a value of the first order column that a quantile
+    sketch names and an exact count confirms.  Only a numeric or time column
+    can be cut; otherwise, or if the count does not confirm, all rows."""
+    kind = df.schema[order[0]].dataType.simpleString()
+    if n >= total or kind not in ("tinyint", "smallint", "int", "bigint", "float", "double", "date"):
+        return df
+    first = F.col(order[0])
+    cut = df.agg(F.percentile_approx(first, min(1.0, n / total + 0.01), 10_000)).first()[0]
+    head = df.filter(first.isNull() | (first <= F.lit(cut)))             # nulls come first
+    return head if head.count() >= n else df
+
+
 def zip_by_position(a: DataFrame, b: DataFrame, order_a: list[str], order_b: list[str],
                     how: str = "inner") -> DataFrame:
     """Pair the i-th row of ``a`` with the i-th row of ``b`` (``zip``), each
     side in its stated order.  Positions come from the distributed global
     rank (no single-partition window), then an equi-join on the position;
-    ``how='inner'`` stops at the shorter side as ``zip`` does."""
+    ``how='inner'`` stops at the shorter side as ``zip`` does, and of the
+    longer side only rows that can meet one are ranked."""
     from ..plans.ranking import global_row_number
+    if how == "inner":
+        na, nb = a.count(), b.count()
+        a, b = leading_rows(a, order_a, nb, na), leading_rows(b, order_b, na, nb)
     pa = global_row_number(a, order_a, "_pos")
     pb = global_row_number(b, order_b, "_pos")
     return pa.join(pb, "_pos", how)

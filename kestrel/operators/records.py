@@ -71,6 +71,19 @@ def denormalize(df: DataFrame, parent_cols: Sequence[str], list_col: str) -> Dat
               .select(*parent_cols, "_e.*"))
 
 
+def denormalize_rows(heads: DataFrame, rows: DataFrame, key: str, parent_cols: Sequence[str],
+                     child_cols: Sequence[str]) -> DataFrame:
+    """``denormalize`` of records kept in long form, a table of parents and
+    one of children: one join, no list is built.  A record with any number of
+    children is rows of any number of tasks."""
+    return rows.join(heads.select(key, *[c for c in parent_cols if c != key]), key).select(*parent_cols, *child_cols)
+
+
+def flatten_rows(heads: DataFrame, rows: DataFrame, key: str, child_cols: Sequence[str]) -> DataFrame:
+    """``flatten`` of records kept in long form: the children of all parents."""
+    return rows.join(heads.select(key), key, "left_semi").select(*child_cols)
+
+
 def list_sum(list_col: str, field: str) -> Column:
     """Sum of one numeric field over the list (0 for an empty list)."""
     return F.aggregate(F.col(list_col), F.lit(0.0),

@@ -239,12 +239,37 @@ def flat_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema:
     return df.mapInPandas(run, schema)
 
 
+def flat_map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    """``flat_map`` whose function maps an Arrow batch of input rows to an
+    Arrow batch of output rows, so that lists are unnested in whole columns."""
+    def run(batches):
+        for b in batches:
+            out = fn(b)
+            if out.num_rows:
+                yield out
+    return df.mapInArrow(run, schema)
+
+
+def unnest(batch: pa.RecordBatch, list_col: str, parent_cols: Sequence[str]) -> pa.RecordBatch:
+    """One row per element of the structs in ``list_col`` with the parent's
+    columns beside it; null and empty lists give none."""
+    lists = batch.column(batch.schema.get_field_index(list_col))
+    parents, rows = pc.list_parent_indices(lists), pc.list_flatten(lists)
+    own = [batch.column(batch.schema.get_field_index(c)).take(parents) for c in parent_cols]
+    names = [f.name for f in rows.type]
+    return pa.RecordBatch.from_arrays([*own, *[pc.struct_field(rows, n) for n in names]], names=[*parent_cols, *names])
+
+
 def from_functions(args: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
-                   schema: str) -> DataFrame:
+                   schema: str, batched: bool = False) -> DataFrame:
     """A frame made of the sub-frames that ``fn`` returns for each argument
     row (``from_delayed``): the argument table is distributed and every task
-    generates the sub-frames of its own arguments."""
+    generates the sub-frames of its own arguments.  ``batched`` functions take
+    many argument rows at once and return the sub-frames of all of them."""
     def gen(batches):
         for pdf in batches:
-            yield from _batched(fn(pdf.iloc[i:i + 1].reset_index(drop=True)) for i in range(len(pdf)))
+            if batched:
+                yield from _batched([fn(pdf)] if len(pdf) else [])
+            else:
+                yield from _batched(fn(pdf.iloc[i:i + 1].reset_index(drop=True)) for i in range(len(pdf)))
     return args.mapInPandas(gen, schema)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.arith import round_half_away
 from ..operators import groups as G
 from ..operators import records as R
-from ..sources.tables import nested, nested_stats, table
+from ..sources.tables import account_heads, account_rows, nested, nested_stats, table
 from .registry import query
 
 # The nested view in SQL: one record per order and file (l_partkey % 4),
@@ -36,7 +36,8 @@ def nested_count(spark, sf):
 
 @query("flatten_nested", f"WITH {_REC} SELECT transaction_id, amount FROM li", ids="PRJ-11")
 def flatten_nested(spark, sf):
-    return R.flatten(nested(spark, sf), "transactions")
+    heads, rows = account_heads(table(spark, sf, "orders")), account_rows(table(spark, sf, "lineitem"))
+    return R.flatten_rows(heads, rows, "id", ["transaction_id", "amount"])
 
 
 @query("denormalize", f"""
@@ -44,7 +45,8 @@ WITH {_REC}
 SELECT o.o_orderkey AS id, o.o_orderpriority AS name, li.transaction_id, li.amount
 FROM li JOIN orders o ON li.id = o.o_orderkey""", ids="PRJ-12, UD-4")
 def denormalize(spark, sf):
-    return R.denormalize(nested(spark, sf), ["id", "name"], "transactions")
+    heads, rows = account_heads(table(spark, sf, "orders")), account_rows(table(spark, sf, "lineitem"))
+    return R.denormalize_rows(heads, rows, "id", ["id", "name"], ["transaction_id", "amount"])
 
 
 @query("bag_to_frame", f"""

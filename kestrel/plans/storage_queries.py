@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import index as IX
 from ..operators import storage as S
 from ..session import work_dir
+from ..sources.files import integer_range
 from ..sources.inference import read_csv_split
 from ..operators.array_store import ArrayStore
 from ..sources.tables import matrix, table
@@ -156,3 +157,26 @@ def gzip_text_scan(spark, sf):
     back = read_text(spark, f"{path}/*.txt.gz")
     return back.agg(F.count(F.lit(1)).alias("n_lines"),
                     F.sum(F.length("value")).cast("bigint").alias("n_chars"))
+
+
+# Ids missing between the smallest and the largest event id of one type.
+@query("sequence_gaps", """
+WITH e AS (SELECT event_id FROM events WHERE event_type = 'error')
+SELECT unnest(range(min(event_id), max(event_id) + 1)) AS event_id FROM e EXCEPT SELECT event_id FROM e""", ids="SRC-5")
+def sequence_gaps(spark, sf):
+    e = table(spark, sf, "events").filter("event_type = 'error'").select("event_id")
+    every = integer_range(spark, e.agg(F.min("event_id"), F.max("event_id") + 1), "event_id")
+    return every.join(e, "event_id", "left_anti")
+
+
+@query("count_per_folder", """
+SELECT CAST(c_custkey % 3 AS INTEGER) AS part, CAST(count(*) AS BIGINT) AS n_rows FROM customer GROUP BY 1""", ids="AG-8, SRC-11")
+def count_per_folder(spark, sf):
+    """Several text files counted one by one, addressed by their full URI, and summed per folder."""
+    from ..operators import text as T
+    path = work_dir(spark, "parts")
+    table(spark, sf, "customer").select((F.col("c_custkey") % 3).cast("int").alias("part"), F.col("c_name").alias("value")) \
+        .write.partitionBy("part").text(path)
+    per_file = T.count_per_file(T.read_lines(spark, f"{path}/part=*/*.txt"))
+    folder = F.regexp_extract("file", "part=([0-9]+)/", 1).cast("int")
+    return per_file.groupBy(folder.alias("part")).agg(F.sum("n_rows").alias("n_rows"))

@@ -101,10 +101,8 @@ def group_median(spark, sf):
         .select("names", round_half_away("median", 6).alias("median"))
 
 
-def _transaction_rows(pdf: pd.DataFrame) -> pd.DataFrame:
-    rows = [(i, n, t["transaction_id"], t["amount"])
-            for i, n, own in zip(pdf["id"], pdf["name"], pdf["transactions"]) for t in own]
-    return pd.DataFrame(rows, columns=["id", "name", "transaction_id", "amount"])
+def _transaction_rows(batch):
+    return U.unnest(batch, "transactions", ["id", "name"])
 
 
 @query("flat_map_records", """
@@ -112,13 +110,12 @@ SELECT o.o_orderkey AS id, o.o_orderpriority AS name, CAST(l.l_linenumber AS BIG
        l.l_extendedprice AS amount
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""", ids="UD-4")
 def flat_map_records(spark, sf):
-    return U.flat_map(nested(spark, sf).select("id", "name", "transactions"), _transaction_rows,
-                      "id long, name string, transaction_id long, amount double")
+    return U.flat_map_arrow(nested(spark, sf).select("id", "name", "transactions"), _transaction_rows,
+                            "id long, name string, transaction_id long, amount double")
 
 
-def _day_hours(arg: pd.DataFrame) -> pd.DataFrame:
-    day = arg["day"].iloc[0]
-    return pd.DataFrame({"day": [day] * 24, "hour": np.arange(24, dtype=np.int64)})
+def _day_hours(args: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"day": args["day"].repeat(24), "hour": np.tile(np.arange(24, dtype=np.int64), len(args))})
 
 
 @query("gen_from_functions", """
@@ -126,11 +123,11 @@ WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events),
 grid AS (SELECT day, CAST(unnest(range(24)) AS BIGINT) AS hour FROM days),
 c AS (SELECT CAST(ts AS DATE) AS day, CAST(hour(ts) AS BIGINT) AS hour, count(*) AS n FROM events GROUP BY 1, 2)
 SELECT g.day, g.hour, CAST(coalesce(c.n, 0) AS BIGINT) AS n
-FROM grid g LEFT JOIN c ON g.day = c.day AND g.hour = c.hour""", ids="SRC-6, SRC-5")
+FROM grid g LEFT JOIN c ON g.day = c.day AND g.hour = c.hour""", ids="SRC-6")
 def gen_from_functions(spark, sf):
     e = table(spark, sf, "events")
     days = e.select(F.to_date("ts").alias("day")).distinct()
-    grid = U.from_functions(days, _day_hours, "day date, hour long")
+    grid = U.from_functions(days, _day_hours, "day date, hour long", batched=True)
     counts = e.groupBy(F.to_date("ts").alias("day"), F.hour("ts").cast("bigint").alias("hour")) \
         .agg(F.count(F.lit(1)).alias("n"))
     return grid.join(counts, ["day", "hour"], "left") \

@@ -44,6 +44,13 @@ def from_sequence(spark: SparkSession, values: Sequence, col: str = "value",
     return spark.createDataFrame([(v,) for v in values], f"{col} {dtype}")
 
 
+def integer_range(spark: SparkSession, bounds: DataFrame, col: str = "value") -> DataFrame:
+    """All integers ``lo <= x < hi`` of a one-row table ``(lo, hi)``,
+    generated on the executors (``from_sequence(range(lo, hi))``)."""
+    lo, hi = bounds.first()
+    return spark.range(lo or 0, hi or 0).withColumnRenamed("id", col)
+
+
 # The modulus 2^31 - 1 and two multipliers of the
 # multiplicative congruential generators (Park and Miller; L'Ecuyer).
 _M31, _STEP_A, _STEP_B = 2147483647, 48271, 69621

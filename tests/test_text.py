@@ -122,7 +122,10 @@ def test_pattern_heads(spark):
     from kestrel.functions.tokens import pattern_entries
     pats = ["\\.", "to", "to", "", "ab*c", "ab+c", "a|b", "[0-9]+", "x{2}y", "a\\.b\\?", "(?i)z", "\\d", "\\Qa\\E", "q.r", "a\\**"]
     df = spark.createDataFrame([(pats,)], "p array<string>")
-    got = [tuple(e) for e in df.select(pattern_entries(F.col("p")).alias("e")).first()["e"]]
+    found = df.select(pattern_entries(F.col("p")).alias("e")).first()["e"]
+    got = [tuple(e) for e in found["entries"]]
+    gate = lambda *p: spark.createDataFrame([(list(p),)], "p array<string>").select(pattern_entries(F.col("p"))["gate"]).first()[0]
+    assert found["gate"] == "" and gate("\\.", "to", "\\]x", "-", "tu") == "[.t\\]\\-]" and gate() == ""
     assert got == [("\\.", ".", True), ("to", "to", True), ("ab*c", "a", False), ("ab+c", "ab", False), ("a|b", "", False),
                    ("[0-9]+", "", False), ("x{2}y", "", False), ("a\\.b\\?", "a.b?", True), ("(?i)z", "", False), ("\\d", "", False),
                    ("\\Qa\\E", "", False), ("q.r", "q", False), ("a\\**", "a", False)]
