@@ -29,12 +29,15 @@ lines stay in the document with the smallest id and are dropped from all
 others, so one copy of a repeated passage survives and a document that repeats
 nothing is left as it is.
 
-Lines travel as hashes; only lines of leaves that hold several distinct
-masked lines are read again with their tokens, each distinct one once.
+Texts are parsed once.  Lines travel as hashes; the masked text of long lines
+lies beside them, and only that of leaves that hold several distinct masked
+lines is read again, each distinct one once.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +47,8 @@ from .common import materialize
 FIELD = "<*>"
 # signs of scripts written without blanks: each is a token
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\u30fc\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+# white space beyond ASCII (the Unicode separators, next line)
+WIDE_SPACE = r"\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SIGNS_A_WORD = 3                # and so many of them are as long as a word
 CHARS_A_WORD = 10               # a line has at least one word for so many characters
 RUN_WORDS = 16                  # words of a run of short lines that recur together
@@ -51,34 +56,52 @@ PASSAGE_WORDS = 50              # words in short lines of a passage that has lon
 SMALL_TABLE = 16 << 20          # a written table of at most this size (in bytes) may be broadcast
 
 
-def _parsed(docs: DataFrame, depth: int) -> DataFrame:
-    """``(doc_id, pos, n, words, leaf, form, raw, n_var, masked)`` per non-blank line."""
-    digit = F.col("line").rlike("[0-9]")           # most lines have none and need no rewriting
-    odd = F.col("line").rlike("[^\\x20-\\x7e]|  ")  # more than ASCII signs between single blanks
-    unspaced = odd & F.col("line").rlike(UNSPACED)
-    even = F.btrim(F.regexp_replace("line", r"(?U)\s+", " "))
-    apart = F.btrim(F.regexp_replace(F.regexp_replace("line", f"({UNSPACED})", " $1 "), r"(?U)\s+", " "))
-    signs = F.when(unspaced, F.length("line") - F.length(F.regexp_replace("line", UNSPACED, ""))).otherwise(0)
-    out = (docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-               .select("doc_id", "pos", F.btrim("line", F.lit(" \t\r\f\x0b")).alias("line")).filter("line != ''")
-               .withColumn("signs", signs).withColumn("chars", F.length("line"))
-               .withColumn("line", F.when(unspaced, apart).when(odd, even).otherwise(F.col("line"))).filter("line != ''")
-               .withColumn("masked", F.when(digit, F.regexp_replace("line", r"[^ ]*[0-9][^ ]*", FIELD)).otherwise(F.col("line")))
-               .withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
-               .withColumn("words", F.greatest(F.col("n") - F.col("signs") + F.expr(f"signs div {SIGNS_A_WORD}"),
-                                               F.expr(f"chars div {CHARS_A_WORD}"), F.lit(1)).cast("int"))
-               .withColumn("n_var", F.when(digit, F.size(F.split(F.col("masked"), r"(?<![^ ])<\*>(?![^ ])")) - 1).otherwise(0)))
-    return out.select("doc_id", "pos", "n", "words", F.xxhash64("n", F.substring_index("masked", " ", depth)).alias("leaf"),
-                      F.xxhash64("masked").alias("form"), F.xxhash64("line").alias("raw"), "n_var", "masked")
-
-
-def _generalised(lines: DataFrame, parsed: DataFrame, depth: int, long_tokens: int, min_constant: float) -> DataFrame:
+def _parsed(docs: DataFrame, depth: int, long_tokens: int) -> DataFrame:
+    """``(doc_id, pos, n, words, leaf, form, raw, n_var, masked)`` per
+    non-blank line; ``masked`` is null for lines that are not long.
+
+    White space, signs and fields are rewritten in whole texts, each only where
+    a test of the text says that there is something to do, and the lines are
+    cut afterwards.  The outer generator keeps Spark from deriving a filter
+    that would evaluate all of this a second time."""
+    text = F.col("text")
+    ascii_only = F.octet_length(text) == F.length(text)
+    uneven = functools.reduce(lambda a, b: a | b, [text.contains(x) for x in ("  ", " \n", "\n ", "\t", "\r", "\x0b", "\f")],
+                              text.startswith(" ") | text.endswith(" ")) | (~ascii_only & text.rlike(f"[{WIDE_SPACE}]"))
+    even = F.btrim(F.regexp_replace(F.regexp_replace(text, f"[ \t\x0b\f\r{WIDE_SPACE}]+", " "), " ?\n ?", "\n"), F.lit(" "))
+    far = ~ascii_only & text.rlike("[^\\x00-\\u0dff\\u2000-\\u2bff]")              # beyond the scripts with blanks: look closer
+    out = docs.select("doc_id", F.when(uneven, even).otherwise(text).alias("plain"), far.alias("far"))
+    out = out.select("*", (F.col("far") & F.col("plain").rlike(UNSPACED)).alias("unspaced"))
+    apart = F.regexp_replace("plain", f" ?({UNSPACED}) ?", " $1 ")
+    apart = F.btrim(F.regexp_replace(F.regexp_replace(apart, " +", " "), " ?\n ?", "\n"), F.lit(" "))
+    out = out.select("doc_id", "plain", "unspaced", F.when(F.col("unspaced"), apart).otherwise(F.col("plain")).alias("text"))
+    masked = F.regexp_replace("text", r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", FIELD)
+    out = out.select("doc_id", "unspaced", "text", F.when(F.col("text").rlike("[0-9]"), masked).otherwise(F.col("text")).alias("masked"), "plain")
+    lines = lambda c: F.split(c, "\n")                                             # noqa: E731
+    zipped = F.arrays_zip(lines("text").alias("line"), lines("masked").alias("masked"),
+                          F.when(F.col("unspaced"), lines("plain")).otherwise(F.array().cast("array<string>")).alias("plain"))
+    out = out.select("doc_id", F.posexplode_outer(zipped).alias("pos", "l")) \
+             .select("doc_id", "pos", F.col("l.line").alias("line"), F.col("l.masked").alias("masked"), F.col("l.plain").alias("plain"))
+    out = out.filter("line != ''")
+    signs = F.when(F.col("plain").isNotNull(), F.length("plain") - F.length(F.regexp_replace("plain", UNSPACED, ""))).otherwise(0)
+    blanks = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit("")))
+    fields = F.when(F.col("line") != F.col("masked"), F.size(F.split("masked", r"(?<![^ ])<\*>(?![^ ])")) - 1).otherwise(0)
+    out = out.select("doc_id", "pos", "line", "masked", signs.alias("signs"), (blanks + 1).alias("n"),
+                     F.length(F.coalesce("plain", "line")).alias("chars"), fields.alias("n_var"))
+    words = F.greatest(F.expr(f"n - signs + signs div {SIGNS_A_WORD}"), F.expr(f"chars div {CHARS_A_WORD}"), F.lit(1)).cast("int")
+    return out.select("doc_id", "pos", "n", words.alias("words"), F.xxhash64("n", F.substring_index("masked", " ", depth)).alias("leaf"),
+                      F.xxhash64("masked").alias("form"), F.xxhash64("line").alias("raw"), "n_var",
+                      F.when(words >= long_tokens, F.col("masked")).alias("masked"))
+
+
+def _generalised(lines: DataFrame, long_tokens: int, min_constant: float) -> DataFrame:
     """``(leaf, form, template)`` for the lines whose leaf generalises them."""
-    forms = lines.filter(F.col("words") >= long_tokens).groupBy("leaf", "form").agg(F.count(F.lit(1)).alias("_c"))
+    long = lines.filter(F.col("words") >= long_tokens)
+    forms = long.groupBy("leaf", "form").agg(F.count(F.lit(1)).alias("_c"))
     leaves = forms.groupBy("leaf").agg(F.count(F.lit(1)).alias("forms")).filter("forms > 1").select("leaf")
     leaves = materialize(leaves, "leaves")
-    texts = (parsed.filter(F.col("words") >= long_tokens).join(broadcast_if_small(leaves, SMALL_TABLE), "leaf", "left_semi")
-                   .groupBy("leaf", "form").agg(F.min("masked").alias("masked"), F.min("n").alias("n")))
+    # the form stands for the masked line: one row for each, grouped by plain keys
+    texts = long.select("leaf", "form", "n", "masked").join(broadcast_if_small(leaves, SMALL_TABLE), "leaf", "left_semi").distinct()
     tokens = materialize(texts.select("leaf", "form", "n", F.posexplode(F.split("masked", " ")).alias("at", "token"))
                               .filter(F.col("token") != FIELD)
                               .select("leaf", "form", "n", F.xxhash64("at", "token").alias("token")), "tokens")
@@ -141,9 +164,8 @@ def recurring_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     text) are one document.  Other columns are not read.
     """
     src = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    parsed = _parsed(src, depth)
-    lines = materialize(parsed.drop("masked"), "lines")
-    general = materialize(_generalised(lines, parsed, depth, long_tokens, min_constant), "templates")
+    lines = materialize(_parsed(src, depth, long_tokens), "lines")
+    general = materialize(_generalised(lines, long_tokens, min_constant), "templates")
     own = F.when(F.col("n") - F.col("n_var") >= min_masked * F.col("n"), F.xxhash64("n", "form")).otherwise(F.xxhash64(F.lit(-1), "raw"))
     keyed = lines.join(general, ["leaf", "form"], "left").select(
         "doc_id", "pos", F.coalesce("template", own).alias("template"), "words")
