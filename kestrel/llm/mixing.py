@@ -3,10 +3,12 @@
 1. **Targets.**  Sources share the whole token count by weight; a source
    stops at ``max_repeats`` times its size and the excess is shared again by
    weight until no source is above.
-2. **Apportionment.**  The total is cut into equal blocks of
-   ``block_tokens`` tokens.  Blocks go to the sources by highest quotients
-   ``target / (2 s + 1)`` (Sainte-Lague), and a source's blocks go to its
-   shards the same way by shard size: one integer quota per shard.  Shards
+2. **Apportionment.**  The targets of the sources with at least
+   ``MIN_BLOCKS`` blocks are cut into equal blocks of ``block_tokens`` tokens,
+   those of smaller sources, in a second pass, into blocks of one.  Blocks go
+   to the sources by highest quotients ``target / (2 s + 1)`` (Sainte-Lague),
+   and a source's blocks go to its shards the same way by shard size: one
+   integer quota per shard.  Shards
    are hash buckets of about ``shard_docs`` documents, so a source with a
    third of all rows is spread over many.
 3. **Block selection.**  In a shard the documents stand in a seeded order and
@@ -24,6 +26,7 @@ from ..plans.joins import broadcast_if_small
 from ..plans.ranking import global_row_number
 from .common import materialize
 
+MIN_BLOCKS = 200                # a source of fewer blocks is dealt in blocks of one token
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -111,14 +114,14 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
                         word_count(text).alias("size"), *keep)
     small = materialize(sized.select("doc_id", "source", "size"), "sizes")
     src = source_targets(small, weights, max_repeats)
-    total = src.agg(F.sum("source_size"), F.count(F.lit(1))).first()
-    words, n_src = int(total[0] or 0), int(total[1])
-    # a block is never so large that rounding to blocks would show in a source
-    block = max(1, min(block_tokens, words // max(1, 200 * n_src)))
-    src = src.withColumn("one", F.lit(1)).withColumn("blocks", F.lit(words // block).cast("bigint"))
-    src = highest_quotients(src, "one", "blocks", "target", ["place"]).withColumnRenamed("quota", "source_blocks") \
+    # a source of few blocks is dealt word by word, so that rounding to blocks never shows in it, whatever the corpus
+    src = src.withColumn("block", F.when(F.col("target") >= MIN_BLOCKS * block_tokens, block_tokens).otherwise(1).cast("bigint"))
+    seats = src.groupBy("block").agg(F.sum("target").alias("_all")) \
+               .select("block", F.round(F.col("_all") / F.col("block")).cast("bigint").alias("blocks"))     # two rows at most
+    src = src.join(F.broadcast(seats), "block")
+    src = highest_quotients(src, "block", "blocks", "target", ["place"]).withColumnRenamed("quota", "source_blocks") \
         .withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("docs") / shard_docs)).cast("bigint"))
-    src = materialize(src.select("source", "source_size", "place", "target", "source_blocks", "shards"), "targets")
+    src = materialize(src.select("source", "source_size", "place", "target", "block", "source_blocks", "shards"), "targets")
 
     def placed(df: DataFrame) -> DataFrame:
         s = broadcast_if_small(src)
@@ -126,14 +129,14 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
                  .withColumn("shard", F.pmod(F.xxhash64("doc_id", "size", F.lit(seed)), F.col("shards")))
 
     shards = placed(small).groupBy("place", "shard").agg(
-        F.sum("size").alias("shard_size"), F.max("source_blocks").alias("source_blocks"))
+        F.sum("size").alias("shard_size"), F.max("source_blocks").alias("source_blocks"), F.max("block").alias("block"))
     shards = highest_quotients(shards, "place", "source_blocks", "shard_size", ["shard"])
-    tokens = F.least(F.col("quota") * block, F.col("shard_size") * max_repeats)
+    tokens = F.least(F.col("quota") * F.col("block"), F.col("shard_size") * max_repeats)
     copies = F.when(F.col("shard_size") > 0, F.expr("_tokens div shard_size")).otherwise(0)
-    n_blocks = F.ceil(F.col("shard_size") / block).cast("bigint")
+    n_blocks = F.ceil(F.col("shard_size") / F.col("block")).cast("bigint")
     shards = (shards.withColumn("_tokens", tokens).withColumn("copies", copies)
                     .withColumn("run", F.when(F.col("shard_size") > 0, F.col("_tokens") - F.col("copies") * F.col("shard_size")).otherwise(0))
-                    .withColumn("first", F.when(n_blocks > 0, block * F.pmod(F.xxhash64("place", "shard", F.lit(seed + 1)), n_blocks)).otherwise(0))
+                    .withColumn("first", F.when(n_blocks > 0, F.col("block") * F.pmod(F.xxhash64("place", "shard", F.lit(seed + 1)), n_blocks)).otherwise(0))
                     .select("place", "shard", "shard_size", "copies", "run", "first"))
     shards = materialize(shards, "quotas")
 

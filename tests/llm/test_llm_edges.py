@@ -58,6 +58,18 @@ def test_mixing(odd, none):
     assert [(r["taken"], r["target"]) for r in wordless] == [(0, 0.0)] * 3
 
 
+@pytest.mark.parametrize("times", [1, 10])
+def test_mixing_rare_sources(spark, times):
+    """Rare sources reach their targets beside large ones, in a small and in a large corpus."""
+    words = {"big1": (80 * times, 300), "big2": (80 * times, 300), "few5": (1, 5), "ten1": (1, 10), "ten2": (2, 5), "ten3": (10, 1)}
+    rows = [(i, " ".join(["w"] * n), s) for s, (docs, n) in words.items() for i in range(docs)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).groupBy("source") \
+        .agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    for r in got:
+        assert abs(r["taken"] - r["target"]) <= (1 if r["source"][:3] != "big" else 0.01 * r["target"]), r
+    assert {r["source"]: r["taken"] for r in got}["few5"] == 15
+
+
 def test_line_dedup(spark, odd, none):
     hits = {r["doc_id"]: r["lines"] for r in line_dedup.recurring_lines(odd).collect()}
     assert hits == {2: [0]}
