@@ -108,7 +108,7 @@ def axis_mean(df: DataFrame, keep: Sequence[str], value: str = "value") -> DataF
 
 
 def stack(slices: Sequence[DataFrame], axis: str = "axis0") -> DataFrame:
-    """Stack equal-shape arrays along a new leading axis (``da.stack``)."""
+    """Stack equal-shape arrays along a new leading axis."""
     out = None
     for i, s in enumerate(slices):
         s = s.withColumn(axis, F.lit(i).cast("bigint"))
@@ -131,7 +131,7 @@ def add_slice(df: DataFrame, axis: str, at, path: str) -> None:
 
 
 def stack_files(spark, paths: str | Sequence[str], axis: str = "axis0", schema=None) -> DataFrame:
-    """Stack slices along ``axis`` (``da.stack``).
+    """Stack slices along ``axis``.
 
     ``paths`` as one folder holds a folder ``axis=value`` per slice: the axis
     is a partition column found from the folder names, so a filter on it opens
