@@ -22,18 +22,25 @@ least 0.75 (``num / den``).  The join is exact:
    of some group, so they share a signature.  Empty projections are not
    signatures; a set for which they might hide a partner (counted exactly
    from its own occupied parts) is coded again under another partition, and
-   after three partitions under one signature per code.  Sets of up to 11
+   after sixteen partitions under one signature per code (fewer than one set
+   in a million: a twentieth of the sets of the worst size fails three).  Sets of up to 11
    features use the finest partition: every subset left after deleting at
    most a quarter of the features.
 4. **Verification** without making rows of a bucket's pairs.  First every set
    is intersected with the smallest member of one of its buckets, which
-   connects most of a group of near copies with one check per member.  Sets
-   that share buckets, directly or through others, form a cluster; a cluster
-   is dealt into blocks (large components into blocks of their own), and every
-   pair of blocks that may hold a link between different components is one
-   piece of work for one task, which counts common features by postings and
-   returns at most one edge per component.  Blocks are bounded in sets and in
-   features, so a cluster of any size is spread over many tasks.
+   connects most of a group of near copies with one check per member.  A
+   bucket whose sets all lie in one component is done with.  In the others
+   the sets meet as parity sketches (one bit per cell of a hash, flipped by
+   every feature that falls into it; two to four bits a feature): two sketches
+   differ in no more bits than the sets differ in features, so a pair whose
+   sketches differ in more than a linked pair may is none.  The pairs that
+   pass connect components to clusters; sets without one are done with.  A
+   cluster is dealt into blocks (large components into blocks of their own),
+   and every pair of blocks that may hold a link between different components
+   is one piece of work for one task, which counts common features by postings
+   and returns at most one edge per component.  Buckets and clusters are cut
+   into blocks bounded in sets and in features, so that one of any size is
+   spread over many tasks.
 """
 
 from __future__ import annotations
@@ -50,7 +57,7 @@ from .components import connected_components
 
 WIDTH = 5
 TINY = 11                       # sets up to this size are coded by deletion
-SEEDS = 3
+SEEDS = 16
 FREQUENCY_SHARE = 0.30          # share of the hash range counted in step 2
 BLOCK_SETS = 1024               # sets, and features, of a block in step 4
 BLOCK_FEATURES = 1 << 20
@@ -322,24 +329,142 @@ def _set_components(src: DataFrame, base: DataFrame, num: int, den: int, width:
     edges = materialize(_verify(first, sets, num, den), "links")
     comp = materialize(connected_components(edges, "a", "b"), "components")
 
-    # sets that share buckets, and what is left to compare among them
-    star = members.filter("set_key > rep").select(F.col("rep").alias("a"), F.col("set_key").alias("b")).distinct()
-    clusters = materialize(connected_components(star, "a", "b"), "clusters")
+    # buckets that hold sets of different components, and what is left to compare among those
+    named = _with_component(_with_component(members, comp, "set_key", "c"), comp, "rep", "rep_c")
+    named = materialize(named.select("sig", "set_key", "c", "rep_c"), "members")
     drop_tables(members)
     release_shuffles(spark)
-    more = materialize(_between_components(clusters, comp, sets, num, den), "links")
+    close = materialize(_sketch_pairs(named, sets, num, den), "close")
+    drop_tables(named)
+    joined = connected_components(close.filter("other IS NOT NULL"), "c", "other")
+    left = close.filter("other IS NULL").select("set_key", "c")
+    clusters = materialize(left.join(joined.select(F.col("node").alias("c"), F.col("component").alias("cluster")), "c"), "clusters")
+    drop_tables(close)
+    release_shuffles(spark)
+    more = materialize(_between_components(clusters, sets, num, den), "links")
     if not more.isEmpty():
         comp = materialize(connected_components(edges.unionByName(more), "a", "b"), "components")
     drop_tables(sets, clusters)
     return comp
 
 
-def _between_components(clusters: DataFrame, comp: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def parity_sketch(s: np.ndarray) -> bytes:
+    """Bits of the cells that an odd number of the features falls into; the
+    number of cells is a power of two, at least 64 and twice the set's size.
+    Halves that are XORed give the sketch of half as many cells."""
+    cells = max(64, 1 << int(2 * len(s) - 1).bit_length())
+    at = (mix64(s ^ _U(0x8CB92BA72F3D8DD7)) & _U(cells - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=cells).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def _sketches(sets: DataFrame) -> DataFrame:
+    def run(batches):
+        for b in _small(batches):
+            offsets = b.column(1).offsets.to_numpy()
+            flat = b.column(1).values.to_numpy().view(np.uint64)
+            made = [parity_sketch(flat[offsets[i]:offsets[i + 1]]) for i in range(b.num_rows)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(offsets).astype(np.int64)), pa.array(made, pa.binary())],
+                                             names=["set_key", "n", "sketch"])
+    return sets.select("set_key", "features").mapInArrow(run, "set_key bigint, n bigint, sketch binary")
+
+
+def close_sketches(keys: np.ndarray, comps: np.ndarray, sizes: np.ndarray, sides: np.ndarray, sketches: list[bytes],
+                   num: int, den: int) -> tuple[set, list]:
+    """The rows ``(key, component)`` with a close sketch in another component
+    (on the other side, if there are two sides), and edges that connect the
+    components of all close pairs."""
+    lens = np.array([len(x) for x in sketches])
+    found: set = set()
+    edges: list = []
+    root = {c: c for c in comps.tolist()}
+
+    def find(c):
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    two = bool(sides.min() != sides.max())
+    for length in np.unique(lens):
+        wide = np.flatnonzero(lens >= length)
+        bits = np.empty((len(wide), length // 8), dtype=np.uint64)
+        for row, i in enumerate(wide):
+            x = np.frombuffer(sketches[i], dtype=np.uint64)
+            while len(x) > length // 8:
+                x = x[:len(x) // 2] ^ x[len(x) // 2:]
+            bits[row] = x
+        for row in np.flatnonzero(lens[wide] == length):
+            i = wide[row]
+            apart = np.bitwise_count(bits ^ bits[row]).sum(axis=1, dtype=np.int64)
+            hit = ((den + num) * apart <= (den - num) * (sizes[i] + sizes[wide])) & (comps[wide] != comps[i])
+            if two:
+                hit &= sides[wide] != sides[i]
+            for j in wide[hit]:
+                found.add((int(keys[i]), int(comps[i])))
+                found.add((int(keys[j]), int(comps[j])))
+                a, b = find(int(comps[i])), find(int(comps[j]))
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    edges.append((int(comps[i]), int(comps[j])))
+    return found, edges
+
+
+def _sketch_pairs(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``(set_key, c, other)``: sets (``other`` null) that have a close sketch
+    of another component in a bucket of ``members`` (``sig, set_key, c,
+    rep_c``), and pairs of components (``set_key`` null) that connect those."""
+    sketches = materialize(_sketches(sets), "sketches")
+    open_ = members.filter("c != rep_c").select("sig").distinct()
+    rows = members.join(open_, "sig", "left_semi").select("sig", "set_key", "c")
+    rows = materialize(rows.join(sketches.select("set_key", "n"), "set_key"), "buckets")
+    size = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("all_n"))
+    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("all_n") / (16 * BLOCK_FEATURES))).cast("int")
+    dealt = (rows.drop("n").join(size.select("sig", blocks.alias("blocks")), "sig")
+                 .withColumn("side", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
+                 .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                 .select("sig", F.least("side", "o").alias("x"), F.greatest("side", "o").alias("y"), "side", "set_key", "c"))
+    work = dealt.join(sketches, "set_key").select("sig", "x", "y", "side", "set_key", "c", "n", "sketch")
+    work = work.repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
+
+    def pieces(batches):
+        """Tables of whole (sig, x, y) groups: the last one waits for the next batch."""
+        held = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t])
+            if not t.num_rows:
+                continue
+            k = [t[c].to_numpy() for c in ("sig", "x", "y")]
+            new = np.flatnonzero((k[0][1:] != k[0][:-1]) | (k[1][1:] != k[1][:-1]) | (k[2][1:] != k[2][:-1])) + 1
+            cut = int(new[-1]) if len(new) else 0
+            if cut:
+                yield t.slice(0, cut), np.concatenate(([0], new))
+            held = t.slice(cut).combine_chunks()
+        if held is not None and held.num_rows:
+            yield held, np.array([0, held.num_rows])
+
+    def run(batches):
+        for t, ends in pieces(batches):
+            keys, comps, sizes, sides = (t[c].to_numpy() for c in ("set_key", "c", "n", "side"))
+            sketch = t["sketch"].to_pylist()
+            found, edges = set(), set()
+            for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist()):
+                if (comps[lo:hi] == comps[lo]).all():
+                    continue
+                f, e = close_sketches(keys[lo:hi], comps[lo:hi], sizes[lo:hi], sides[lo:hi], sketch[lo:hi], num, den)
+                found |= f
+                edges.update(e)
+            out = [(k, c, None) for k, c in found] + [(None, a, b) for a, b in edges]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["set_key", "c", "other"])
+
+    return work.mapInArrow(run, "set_key bigint, c bigint, other bigint").distinct()
+
+
+def _between_components(clusters: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """``(a, b)``: edges that connect the components of each cluster wherever
-    two of their sets are linked."""
-    member = _with_component(clusters.select(F.col("node").alias("set_key"), F.col("component").alias("cluster")),
-                             comp, "set_key", "c")
-    member = member.join(sets.select("set_key", F.size("features").alias("n")).distinct(), "set_key")
+    two of its sets (``set_key, c, cluster``; ``c`` the component) are linked."""
+    member = clusters.join(sets.select("set_key", F.size("features").alias("n")), "set_key")
     open_ = member.groupBy("cluster").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("in_cluster"),
                                           F.sum("n").alias("cluster_n")) \
                   .filter("lo < hi AND in_cluster > 2").drop("lo", "hi")      # two sets have been compared already

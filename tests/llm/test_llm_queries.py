@@ -374,6 +374,36 @@ def test_op10_recall_of_the_index():
     assert np.mean(hits) >= 0.9
 
 
+def test_sketches_pass_every_linked_pair():
+    rng = np.random.default_rng(3)
+    linked = passed = 0
+    for _ in range(400):
+        n = int(rng.integers(1, 500))
+        a = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+        new = rng.integers(0, 2 ** 63, int(rng.integers(0, n // 2 + 1))).astype(np.uint64)
+        b = np.unique(np.concatenate([a[int(rng.integers(0, n // 2 + 1)):], new]))
+        both = len(np.intersect1d(a, b))
+        found, edges = ngram_join.close_sketches(np.array([1, 2]), np.array([1, 2]), np.array([len(a), len(b)]), np.array([0, 0]),
+                                                 [ngram_join.parity_sketch(x) for x in (a, b)], 75, 100)
+        near = 100 * both >= 75 * (len(a) + len(b) - both)
+        assert not near or (found == {(1, 1), (2, 2)} and [sorted(e) for e in edges] == [[1, 2]])
+        linked, passed = linked + near, passed + bool(found)
+    assert 0 < linked <= passed < 2 * linked < 400
+
+
+def test_shared_passages_do_not_link(spark, monkeypatch):
+    """Texts around a common passage share buckets, in blocks of few sets, and only the near copies among them link."""
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 8)
+    rng = np.random.default_rng(5)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 50_000, n)]
+    passage = word(60)
+    texts = [" ".join(word(20) + passage + word(25)) for _ in range(60)]
+    texts += [" ".join(t.split()[:-1] + word(1)) for t in texts[:20]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(docs).collect()}
+    assert got == {i: i - 60 if i >= 60 else i for i in range(80)}
+
+
 def test_part_enum_never_misses():
     rng = np.random.default_rng(3)
     for t in range(600):
