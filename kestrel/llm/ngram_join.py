@@ -467,7 +467,7 @@ def _between_components(clusters: DataFrame, sets: DataFrame, num: int, den: int
     member = clusters.join(sets.select("set_key", F.size("features").alias("n")), "set_key")
     open_ = member.groupBy("cluster").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("in_cluster"),
                                           F.sum("n").alias("cluster_n")) \
-                  .filter("lo < hi AND in_cluster > 2").drop("lo", "hi")      # two sets have been compared already
+                  .filter("lo < hi").drop("lo", "hi")
     size = member.groupBy("c").agg(F.count(F.lit(1)).alias("in_c"), F.sum("n").alias("c_n"))
     blocks = lambda count, n: F.greatest(F.ceil(count / BLOCK_SETS), F.ceil(n / BLOCK_FEATURES))
     large = (F.col("in_c") >= BLOCK_SETS // 4) | (F.col("c_n") >= BLOCK_FEATURES // 4)
