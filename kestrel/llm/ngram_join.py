@@ -27,8 +27,9 @@ least 0.75 (``num / den``).  The join is exact:
    features use the finest partition: every subset left after deleting at
    most a quarter of the features.
 4. **Verification** without making rows of a bucket's pairs.  First every set
-   is intersected with the smallest member of one of its buckets, which
-   connects most of a group of near copies with one check per member.  A
+   is intersected with the set that is the smallest member of most of its
+   buckets, which connects most of a group of near copies with one check per
+   member.  A
    bucket whose sets all lie in one component is done with.  In the others
    the sets meet as parity sketches (one bit per cell of a hash, flipped by
    every feature that falls into it; two to four bits a feature): two sketches
@@ -324,8 +325,9 @@ def _set_components(src: DataFrame, base: DataFrame, num: int, den: int, width:
     members = materialize(sigs.join(shared, "sig"), "members")
     release_shuffles(spark)
 
-    # every set against the smallest member of one of its buckets
-    first = members.filter("set_key > rep").groupBy(F.col("set_key").alias("b")).agg(F.min("rep").alias("a"))
+    # every set against the smallest member of most of its buckets
+    often = members.filter("set_key > rep").groupBy("set_key", "rep").agg(F.count(F.lit(1)).alias("times"))
+    first = often.groupBy(F.col("set_key").alias("b")).agg(F.max_by("rep", F.struct("times", "rep")).alias("a"))
     edges = materialize(_verify(first, sets, num, den), "links")
     comp = materialize(connected_components(edges, "a", "b"), "components")
 
@@ -414,8 +416,12 @@ def _sketch_pairs(members: DataFrame, sets: DataFrame, num: int, den: int) -> Da
     of another component in a bucket of ``members`` (``sig, set_key, c,
     rep_c``), and pairs of components (``set_key`` null) that connect those."""
     sketches = materialize(_sketches(sets), "sketches")
-    open_ = members.filter("c != rep_c").select("sig").distinct()
-    rows = members.join(open_, "sig", "left_semi").select("sig", "set_key", "c")
+    # near sets share many buckets of the same sets: one of those is enough, told by count and hash sums
+    low = lambda seed: F.sum(F.pmod(F.xxhash64(F.lit(seed), "set_key"), F.lit(1 << 32)))
+    content = [F.count(F.lit(1)).alias("count"), *(low(i).alias(f"sum{i}") for i in range(4))]
+    once = (members.groupBy("sig").agg(F.max(F.col("c") != F.col("rep_c")).alias("open"), *content).filter("open")
+                   .groupBy("count", *(f"sum{i}" for i in range(4))).agg(F.min("sig").alias("sig")).select("sig"))
+    rows = members.join(once, "sig", "left_semi").select("sig", "set_key", "c")
     rows = materialize(rows.join(sketches.select("set_key", "n"), "set_key"), "buckets")
     size = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("all_n"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("all_n") / (16 * BLOCK_FEATURES))).cast("int")
