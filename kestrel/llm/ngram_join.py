@@ -62,6 +62,8 @@ SEEDS = 16
 FREQUENCY_SHARE = 0.30          # share of the hash range counted in step 2
 BLOCK_SETS = 1024               # sets, and features, of a block in step 4
 BLOCK_FEATURES = 1 << 20
+SKETCH_SETS = 4096              # sets, and features, of a block of sketches
+SKETCH_FEATURES = 1 << 24
 _U = np.uint64
 # one odd multiplier per place in a shingle, so that word order matters
 _SHIFT = mix64(np.arange(1, 9, dtype=np.uint64)) | _U(1)
@@ -319,7 +321,8 @@ def _set_components(src: DataFrame, base: DataFrame, num: int, den: int, width:
                            .select("set_key", "features"), "features")
     drop_tables(near, alive)
     release_shuffles(spark)
-    sigs = _signature_rows(sets)
+    # one exchange for both uses; a set has one row per signature, so a signature of many sets is a small share of the rows
+    sigs = _signature_rows(sets).repartition("sig")
     shared = sigs.groupBy("sig").agg(F.min("set_key").alias("rep"), F.max("set_key").alias("top")) \
                  .filter("rep < top").select("sig", "rep")
     members = materialize(sigs.join(shared, "sig"), "members")
@@ -376,7 +379,7 @@ def close_sketches(keys: np.ndarray, comps: np.ndarray, sizes: np.ndarray, sides
     (on the other side, if there are two sides), and edges that connect the
     components of all close pairs."""
     lens = np.array([len(x) for x in sketches])
-    found: set = set()
+    near = np.zeros(len(keys), dtype=bool)
     edges: list = []
     root = {c: c for c in comps.tolist()}
 
@@ -401,30 +404,46 @@ def close_sketches(keys: np.ndarray, comps: np.ndarray, sizes: np.ndarray, sides
             hit = ((den + num) * apart <= (den - num) * (sizes[i] + sizes[wide])) & (comps[wide] != comps[i])
             if two:
                 hit &= sides[wide] != sides[i]
-            for j in wide[hit]:
-                found.add((int(keys[i]), int(comps[i])))
-                found.add((int(keys[j]), int(comps[j])))
-                a, b = find(int(comps[i])), find(int(comps[j]))
+            if not hit.any():
+                continue
+            near[i] = True
+            near[wide[hit]] = True
+            for c in set(comps[wide[hit]].tolist()):
+                a, b = find(int(comps[i])), find(c)
                 if a != b:
                     root[max(a, b)] = min(a, b)
-                    edges.append((int(comps[i]), int(comps[j])))
-    return found, edges
+                    edges.append((int(comps[i]), c))
+    return set(zip(keys[near].tolist(), comps[near].tolist())), edges
 
 
 def _sketch_pairs(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """``(set_key, c, other)``: sets (``other`` null) that have a close sketch
     of another component in a bucket of ``members`` (``sig, set_key, c,
-    rep_c``), and pairs of components (``set_key`` null) that connect those."""
+    rep_c``, the component of the bucket's smallest set), and pairs of
+    components (``set_key`` null) that connect those.
+
+    Sets meet once per bucket, or once per pair of blocks of their cluster
+    (components that share open buckets) where that sends fewer sketches: a
+    long set lies in hundreds of buckets, a cluster of most sets in many
+    blocks.  Both compare every pair that shares an open bucket."""
     sketches = materialize(_sketches(sets), "sketches")
     # near sets share many buckets of the same sets: one of those is enough, told by count and hash sums
     low = lambda seed: F.sum(F.pmod(F.xxhash64(F.lit(seed), "set_key"), F.lit(1 << 32)))
     content = [F.count(F.lit(1)).alias("count"), *(low(i).alias(f"sum{i}") for i in range(4))]
-    once = (members.groupBy("sig").agg(F.max(F.col("c") != F.col("rep_c")).alias("open"), *content).filter("open")
+    apart = F.col("c") != F.col("rep_c")
+    once = (members.groupBy("sig").agg(F.max(apart).alias("open"), *content).filter("open")
                    .groupBy("count", *(f"sum{i}" for i in range(4))).agg(F.min("sig").alias("sig")).select("sig"))
-    rows = members.join(once, "sig", "left_semi").select("sig", "set_key", "c")
-    rows = materialize(rows.join(sketches.select("set_key", "n"), "set_key"), "buckets")
+    rows = materialize(members.join(once, "sig", "left_semi").select("sig", "set_key", "c"), "buckets")
+    joined = connected_components(members.filter(apart).select(F.col("c").alias("a"), F.col("rep_c").alias("b")).distinct(), "a", "b")
+    rows = rows.join(joined.select(F.col("node").alias("c"), F.col("component").alias("cluster")), "c")
+    each = rows.groupBy("cluster", "set_key").agg(F.count(F.lit(1)).alias("times")).join(sketches.select("set_key", "n"), "set_key")
+    total = each.groupBy("cluster").agg(F.sum("times").alias("times"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("all_n"))
+    blocks = F.greatest(F.ceil(F.col("m") / SKETCH_SETS), F.ceil(F.col("all_n") / SKETCH_FEATURES)).cast("int")
+    whole = total.select("cluster", (F.col("m") * blocks <= F.col("times")).alias("whole"))
+    unit = F.when(F.col("whole"), F.xxhash64(F.lit("cluster"), "cluster")).otherwise(F.col("sig"))
+    rows = rows.join(whole, "cluster").select(unit.alias("sig"), "set_key", "c").distinct()
+    rows = materialize(rows.join(sketches.select("set_key", "n"), "set_key"), "units")
     size = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("all_n"))
-    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("all_n") / (16 * BLOCK_FEATURES))).cast("int")
     dealt = (rows.drop("n").join(size.select("sig", blocks.alias("blocks")), "sig")
                  .withColumn("side", F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int"))
                  .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

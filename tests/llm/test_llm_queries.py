@@ -391,9 +391,12 @@ def test_sketches_pass_every_linked_pair():
     assert 0 < linked <= passed < 2 * linked < 400
 
 
-def test_shared_passages_do_not_link(spark, monkeypatch):
-    """Texts around a common passage share buckets, in blocks of few sets, and only the near copies among them link."""
+@pytest.mark.parametrize("block", [2, 8, 4096])
+def test_shared_passages_do_not_link(spark, monkeypatch, block):
+    """Texts around a common passage share buckets; only the near copies among them link, whether sets meet by bucket
+    or by blocks of their cluster."""
     monkeypatch.setattr(ngram_join, "BLOCK_SETS", 8)
+    monkeypatch.setattr(ngram_join, "SKETCH_SETS", block)
     rng = np.random.default_rng(5)
     word = lambda n: [f"w{x}" for x in rng.integers(0, 50_000, n)]
     passage = word(60)
