@@ -32,6 +32,7 @@ from kestrel.sources.tables import table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 MIN_SCORE = 0.5
+SPACE = r"[\x20\x09-\x0D]"
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,9 +61,10 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(docs, carry=("text", "lang"))
-    words = F.regexp_extract_all("carry_text", F.lit(f"({mixing.WORDS})"), 1)
+    # words with the white space before them, so that a cut keeps its line breaks and indentation
+    words = F.regexp_extract_all("carry_text", F.lit(f"({SPACE}*{mixing.WORDS})"), 1)
     cut = F.transform("spans", lambda s: F.when(s["length"] == F.col("size"), F.col("carry_text")).otherwise(
-        F.array_join(F.slice(words, (s["start"] + 1).cast("int"), s["length"].cast("int")), " ")))
+        F.array_join(F.slice(words, (s["start"] + 1).cast("int"), s["length"].cast("int")), "")))
     parts = F.concat(F.array_repeat(F.col("carry_text"), F.col("copies").cast("int")), cut)
     return mixed.filter("taken > 0").select("doc_id", F.explode(parts).alias("text"), F.col("carry_lang").alias("lang"), "source") \
                 .withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
