@@ -186,6 +186,16 @@ def test_pipeline_keeps_clean_documents(spark):
     assert kept.count() == 60
 
 
+def test_pipeline_cuts_keep_white_space(spark):
+    """What the mix takes of a document stands in it as it is, line breaks and indentation included."""
+    import corpus_pipeline as P
+    texts = {i: "".join(f"line {i} {j}\n  indented {j}\t" for j in range(400)) for i in range(12)}
+    docs = spark.createDataFrame([(i, t, "en", "abc"[i % 3], len(t)) for i, t in texts.items()], DOCS)
+    got = P.mix_sources(spark, docs, "").collect()
+    assert got and all(r["text"].rstrip() in texts[r["doc_id"]] for r in got)
+    assert any(len(r["text"].split()) < len(texts[r["doc_id"]].split()) for r in got)
+
+
 @pytest.mark.parametrize("n", [5, 10_000])
 def test_line_dedup_fields_at_any_size(spark, n):
     """A field whose values come back in a large corpus stays a field."""
