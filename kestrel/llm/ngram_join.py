@@ -331,6 +331,7 @@ def _set_components(src: DataFrame, base: DataFrame, num: int, den: int, width:
     # every set against the smallest member of most of its buckets
     often = members.filter("set_key > rep").groupBy("set_key", "rep").agg(F.count(F.lit(1)).alias("times"))
     first = often.groupBy(F.col("set_key").alias("b")).agg(F.max_by("rep", F.struct("times", "rep")).alias("a"))
+    first = materialize(first, "first")
     edges = materialize(_verify(first, sets, num, den), "links")
     comp = materialize(connected_components(edges, "a", "b"), "components")
 
@@ -346,7 +347,7 @@ def _set_components(src: DataFrame, base: DataFrame, num: int, den: int, width:
     clusters = materialize(left.join(joined.select(F.col("node").alias("c"), F.col("component").alias("cluster")), "c"), "clusters")
     drop_tables(close)
     release_shuffles(spark)
-    more = materialize(_between_components(clusters, sets, num, den), "links")
+    more = materialize(_between_components(clusters, first, sets, num, den), "links")
     if not more.isEmpty():
         comp = materialize(connected_components(edges.unionByName(more), "a", "b"), "components")
     drop_tables(sets, clusters)
@@ -486,13 +487,17 @@ def _sketch_pairs(members: DataFrame, sets: DataFrame, num: int, den: int) -> Da
     return work.mapInArrow(run, "set_key bigint, c bigint, other bigint").distinct()
 
 
-def _between_components(clusters: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _between_components(clusters: DataFrame, first: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """``(a, b)``: edges that connect the components of each cluster wherever
-    two of its sets (``set_key, c, cluster``; ``c`` the component) are linked."""
+    two of its sets (``set_key, c, cluster``; ``c`` the component) are linked.
+    Clusters of two sets that ``first`` (``b, a``) names have been compared."""
     member = clusters.join(sets.select("set_key", F.size("features").alias("n")), "set_key")
     open_ = member.groupBy("cluster").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("in_cluster"),
                                           F.sum("n").alias("cluster_n")) \
                   .filter("lo < hi").drop("lo", "hi")
+    two = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("in_cluster"), F.max("set_key").alias("b"), F.min("set_key").alias("a"))
+    done = two.filter("in_cluster = 2").join(first, ["b", "a"]).select("cluster")
+    open_ = open_.join(done, "cluster", "left_anti")
     size = member.groupBy("c").agg(F.count(F.lit(1)).alias("in_c"), F.sum("n").alias("c_n"))
     blocks = lambda count, n: F.greatest(F.ceil(count / BLOCK_SETS), F.ceil(n / BLOCK_FEATURES))
     large = (F.col("in_c") >= BLOCK_SETS // 4) | (F.col("c_n") >= BLOCK_FEATURES // 4)
