@@ -34,7 +34,8 @@ least 0.75 (``num / den``).  The join is exact:
    the sets meet as parity sketches (one bit per cell of a hash, flipped by
    every feature that falls into it; two to four bits a feature): two sketches
    differ in no more bits than the sets differ in features, so a pair whose
-   sketches differ in more than a linked pair may is none.  The pairs that
+   sketches differ in more than a linked pair may is none, nor is one whose
+   sizes are further apart than 0.75.  The pairs that
    pass connect components to clusters; sets without one are done with.  A
    cluster is dealt into blocks (large components into blocks of their own),
    and every pair of blocks that may hold a link between different components
@@ -53,6 +54,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.joins import broadcast_if_small
 from .common import drop_tables, hashed_documents, materialize, mix64, release_shuffles, release_worker_cache
 from .components import connected_components
 
@@ -64,6 +66,7 @@ BLOCK_SETS = 1024               # sets, and features, of a block in step 4
 BLOCK_FEATURES = 1 << 20
 SKETCH_SETS = 4096              # sets, and features, of a block of sketches
 SKETCH_FEATURES = 1 << 24
+SMALL_TABLE = 16 << 20          # a written table of at most this size (in bytes) may be broadcast
 _U = np.uint64
 # one odd multiplier per place in a shingle, so that word order matters
 _SHIFT = mix64(np.arange(1, 9, dtype=np.uint64)) | _U(1)
@@ -313,7 +316,7 @@ def _set_components(src: DataFrame, base: DataFrame, num: int, den: int, width:
                  .filter(F.col("doc_id").isNotNull()).select("doc_id"))
     alive = materialize(alive, "alive")
     release_shuffles(spark)
-    near = materialize(_sets_of(src.join(alive, "doc_id", "left_semi"), width), "features")
+    near = materialize(_sets_of(src.join(broadcast_if_small(alive, SMALL_TABLE), "doc_id", "left_semi"), width), "features")
     single = _unique_features(near.select(F.explode("features").alias("feature"), "set_key"))
     n = F.size("features")
     sets = materialize(near.join(single, "set_key", "left")
@@ -376,9 +379,9 @@ def _sketches(sets: DataFrame) -> DataFrame:
 
 def close_sketches(keys: np.ndarray, comps: np.ndarray, sizes: np.ndarray, sides: np.ndarray, sketches: list[bytes],
                    num: int, den: int) -> tuple[set, list]:
-    """The rows ``(key, component)`` with a close sketch in another component
-    (on the other side, if there are two sides), and edges that connect the
-    components of all close pairs."""
+    """The rows ``(key, component)`` with a close sketch of a set of like size
+    in another component (on the other side, if there are two sides), and
+    edges that connect the components of all close pairs."""
     lens = np.array([len(x) for x in sketches])
     near = np.zeros(len(keys), dtype=bool)
     edges: list = []
@@ -403,6 +406,8 @@ def close_sketches(keys: np.ndarray, comps: np.ndarray, sizes: np.ndarray, sides
             i = wide[row]
             apart = np.bitwise_count(bits ^ bits[row]).sum(axis=1, dtype=np.int64)
             hit = ((den + num) * apart <= (den - num) * (sizes[i] + sizes[wide])) & (comps[wide] != comps[i])
+            # of sets of very different size the smaller one's few cells say nothing, but the sizes do
+            hit &= den * np.minimum(sizes[i], sizes[wide]) >= num * np.maximum(sizes[i], sizes[wide])
             if two:
                 hit &= sides[wide] != sides[i]
             if not hit.any():
@@ -432,9 +437,13 @@ def _sketch_pairs(members: DataFrame, sets: DataFrame, num: int, den: int) -> Da
     low = lambda seed: F.sum(F.pmod(F.xxhash64(F.lit(seed), "set_key"), F.lit(1 << 32)))
     content = [F.count(F.lit(1)).alias("count"), *(low(i).alias(f"sum{i}") for i in range(4))]
     apart = F.col("c") != F.col("rep_c")
-    once = (members.groupBy("sig").agg(F.max(apart).alias("open"), *content).filter("open")
+    # most buckets hold one component: the others are told first, and only their rows are grouped
+    open_ = materialize(members.filter(apart).select("sig").distinct(), "open")
+    members = materialize(members.join(broadcast_if_small(open_, SMALL_TABLE), "sig", "left_semi"), "open")
+    once = (members.groupBy("sig").agg(*content)
                    .groupBy("count", *(f"sum{i}" for i in range(4))).agg(F.min("sig").alias("sig")).select("sig"))
-    rows = materialize(members.join(once, "sig", "left_semi").select("sig", "set_key", "c"), "buckets")
+    once = materialize(once, "once")
+    rows = materialize(members.join(broadcast_if_small(once, SMALL_TABLE), "sig", "left_semi").select("sig", "set_key", "c"), "buckets")
     joined = connected_components(members.filter(apart).select(F.col("c").alias("a"), F.col("rep_c").alias("b")).distinct(), "a", "b")
     rows = rows.join(joined.select(F.col("node").alias("c"), F.col("component").alias("cluster")), "c")
     each = rows.groupBy("cluster", "set_key").agg(F.count(F.lit(1)).alias("times")).join(sketches.select("set_key", "n"), "set_key")

@@ -391,6 +391,14 @@ def test_sketches_pass_every_linked_pair():
     assert 0 < linked <= passed < 2 * linked < 400
 
 
+def test_sketches_of_unlike_sizes_do_not_pass():
+    """A small set's few cells are less than the bits that a large set may differ in; the sizes rule the pair out."""
+    rng = np.random.default_rng(4)
+    sets = [rng.integers(0, 2 ** 63, n).astype(np.uint64) for n in (13, 60, 3000)]
+    keys, sizes = np.arange(3), np.array([13, 60, 3000])
+    assert ngram_join.close_sketches(keys, keys, sizes, np.zeros(3, dtype=int), [ngram_join.parity_sketch(s) for s in sets], 75, 100) == (set(), [])
+
+
 @pytest.mark.parametrize("block", [2, 8, 4096])
 def test_shared_passages_do_not_link(spark, monkeypatch, block):
     """Texts around a common passage share buckets; only the near copies among them link, whether sets meet by bucket
