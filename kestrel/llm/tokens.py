@@ -1,14 +1,17 @@
 """Encoding whole texts with the ``tokenizers`` library inside tasks.
 
 Both vocabularies cut a text at a blank between two other characters before
-any merge is made, so the ids of a text are the ids of its stretches between
-such blanks in order.  Each worker process keeps the ids of stretches it has
-met (at most ``CACHE`` of them) and asks the library only for new ones.
-
-A new stretch of plain characters (ASCII, accented Latin-1 letters, no
-apostrophe) is cut here into the runs that the vocabulary's own first step
-makes of it (letters, digits, other signs, line breaks) and the library's
-merge model is asked for each run that is new; this skips the library's
+any merge is made, so the ids of a text are the ids of its stretches in order,
+each from such a blank on (the vocabulary that drops white space is cut
+before all of it).  A stretch of plain characters (ASCII, accented Latin-1
+letters, no apostrophe) is cut further into the runs that the vocabulary's own
+first step makes of it (letters, digits, other signs, line breaks).  The texts
+of a call are cut together, byte by byte in numpy, and Arrow numbers the
+distinct pieces, so Python sees each distinct one once a call.  Each worker
+process keeps the ids of pieces it has met (at most ``CACHE`` and those of one
+call).
+
+For new runs the library's merge model is asked, which skips the library's
 general normalising and splitting.  Any other stretch, and every stretch of a
 vocabulary whose first step is not one of the two known ones (``_plan``),
 goes through the whole library.
@@ -21,16 +24,18 @@ from __future__ import annotations
 
 import json as json_lib
 import re
-from struct import pack
 
 import numpy as np
+import pyarrow as pa
 
-CACHE = 400_000
-_TWO_BLANKS = re.compile(r"\s\s|^\s|\s$")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+CACHE = 600_000
+_ASCII_SPACE = "\t\n\x0b\f\r "
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _SIGN = r'!-&(-/:-@\[-`{-~'                         # ASCII signs without the apostrophe
-_PLAIN = re.compile(rf"[{_LETTER}{_SIGN}0-9]+(?:\n[{_LETTER}{_SIGN}0-9]+)*")
+# kinds of bytes; white space is where a stretch starts, all else is not plain
+_OTHER, _LETTERS, _DIGIT, _SIGNS, _LINE, _SPACE = range(6)
+_KINDS = np.array([_LETTERS if c.isalpha() else _DIGIT if c.isdigit() else _LINE if c == "\n" else _SPACE if c in _ASCII_SPACE
+                   else _SIGNS if "!" <= c <= "~" and c != "'" else _OTHER for c in map(chr, range(128))] + [_OTHER] * 128, dtype=np.uint8)
 
 # The first step of the word-end vocabulary, as its file states it.
 _WORD_NORMALIZER = ["NFC", "Replace", "Lowercase"]
@@ -74,51 +79,92 @@ class Encoder:
         self.tok.no_padding()
         self.tok.no_truncation()
         self.plan = _plan(json_lib.loads(json))
-        self.known: dict[str, bytes] = {}           # stretch after a blank -> ids
-        self.first: dict[str, bytes] = {}           # stretch at the start of a text -> ids
-        self.runs: dict[str, bytes] = {}            # run of a plain stretch -> ids
+        self.known: dict[str, bytes] = {}           # run or stretch, with the white space before it -> ids
+        self.merges = Tokenizer(self.tok.model)     # no normalizer, no first step
         as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in (10, 32, *range(0xC0, 0x100))}
         digits = "[0-9]" if self.plan == "word" else " ?[0-9]+"
         blank = "" if self.plan == "word" else " ?"
         line = "" if self.plan == "word" else r"|\n"
-        self.cut = re.compile(rf"{blank}[{_LETTER}]+|{digits}|{blank}[{_SIGN}]+{line}").findall
-
-    def _run(self, run: str) -> bytes:
-        if not run.isascii() or run == "\n":
-            text = run.translate(self.letters)
-        else:                                       # of ASCII only the blank has another sign
-            text = self.letters[32] + run[1:] if run[0] == " " else run
-        ids = [t.id for t in self.tok.model.tokenize(text)]
-        found = self.runs[run] = pack(f"<{len(ids)}I", *ids)
-        return found
-
-    def _learn(self, cache: dict[str, bytes], new: set[str], blank: str) -> None:
-        new = list(new - cache.keys())
-        if self.plan:
-            runs, cut, lower, other = self.runs, self.cut, self.plan == "word", []
-            if len(runs) > CACHE:
-                runs.clear()
-            for w in new:
-                if _PLAIN.fullmatch(w):
-                    cache[w] = b"".join([runs.get(r) or self._run(r) for r in cut(w.lower() if lower else blank + w)])
-                else:
-                    other.append(w)
-            new = other
+        self.is_run = re.compile(rf"{blank}[{_LETTER}]+|{digits}|{blank}[{_SIGN}]+{line}").fullmatch
+
+    def _ask(self, tok, new: list[str], words: list[str]) -> None:
+        """Keep ``tok``'s ids of ``words`` as those of ``new``."""
         for s in range(0, len(new), 4096):
-            part = new[s:s + 4096]              # one call for all: each stretch is a word of the input, counted by number
-            e = self.tok.encode_batch([[blank + w for w in part]], is_pretokenized=True, add_special_tokens=False)[0]
+            part = words[s:s + 4096]            # one call for all: each is a word of the input, counted by number
+            e = tok.encode_batch([part], is_pretokenized=True, add_special_tokens=False)[0]
             raw = np.array(e.ids, dtype="<u4").tobytes()
             ends = 4 * np.cumsum(np.bincount(np.array(e.word_ids, dtype=np.int64), minlength=len(part)))
             at = 0
-            for w, end in zip(part, ends.tolist()):
-                cache[w] = raw[at:end]
+            for w, end in zip(new[s:s + 4096], ends.tolist()):
+                self.known[w] = raw[at:end]
                 at = end
 
-    def _stretches(self, text: str) -> list[str]:
-        if self.plan == "word" and not ("\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text):
-            return text.split()                 # white space goes; those four are signs to the vocabulary
-        return _CUT.split(text) if _TWO_BLANKS.search(text) else text.split(" ")
+    def _learn(self, new: list[str]) -> None:
+        is_run, letters, word, known = self.is_run, self.letters, self.plan == "word", self.known
+        blank = letters[32]
+        runs, signs, other = [], [], []
+        for w in new:
+            body = w.lstrip(_ASCII_SPACE) if word else w
+            if not body:
+                known[w] = b""
+            elif self.plan and is_run(body):
+                if word:
+                    body = body.lower()
+                runs.append(w)
+                if not body.isascii() or body == "\n":
+                    signs.append(body.translate(letters))
+                else:                               # of ASCII only the blank has another sign
+                    signs.append(blank + body[1:] if body[0] == " " else body)
+            else:
+                other.append(w)
+        self._ask(self.merges, runs, signs)
+        self._ask(self.tok, other, other)
+
+    def _bounds(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where the pieces of the texts (UTF-8, one after the other, cut at
+        ``offsets``) start, and the end of the last."""
+        start = np.zeros(len(data) + 1, dtype=bool)
+        kind = _KINDS[data]
+        ascii_only = bool((data < 128).all())
+        if self.plan == "word":                     # white space goes
+            space = (kind == _SPACE) | (kind == _LINE)
+            kind[space] = _SPACE
+            start[1:-1] = space[1:] & ~space[:-1]
+        elif len(data) > 2:
+            space = (kind == _SPACE) | (kind == _LINE) | ((data >= 28) & (data <= 31))
+            if not ascii_only:
+                _mark_wide_spaces(data, space)
+            start[1:-2] = (data[1:-1] == 32) & ~space[:-2] & ~space[2:]
+            ends = offsets[1:][offsets[1:] > 0]
+            start[ends - 1] = False                 # the last blank of a text has nothing after it
+        start[offsets] = True
+        if self.plan:
+            if not ascii_only:                      # accented letters are two bytes
+                lead = np.flatnonzero(data == 0xC3)
+                lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+                kind[lead] = kind[lead + 1] = _LETTERS
+            self._cut_runs(kind, start, data)
+        return np.flatnonzero(start)
+
+    def _cut_runs(self, kind: np.ndarray, start: np.ndarray, data: np.ndarray) -> None:
+        """Set ``start`` where the runs of plain stretches start as well."""
+        bounds = np.flatnonzero(start)
+        plain = kind != _OTHER
+        if self.plan == "byte":
+            signed = (kind >= _LETTERS) & (kind <= _SIGNS)
+            after = np.append(signed[1:], False) & ~start[1:]          # a sign of the same stretch follows
+            line = kind == _LINE                    # one, between two signs of the stretch
+            plain &= ~line | (after & ~start[:-1] & np.concatenate(([False], signed[:-1])))
+            plain &= (kind != _SPACE) | ((data == 32) & start[:-1] & after)
+        fine = np.logical_and.reduceat(plain, bounds[:-1])
+        new = np.empty(len(kind), dtype=bool)
+        new[0] = True
+        np.not_equal(kind[1:], kind[:-1], out=new[1:])
+        if self.plan == "word":
+            new |= kind == _DIGIT
+        new[1:] &= kind[:-1] != _SPACE
+        start[:-1] |= new & np.repeat(fine, np.diff(bounds))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if self.has_added:
@@ -129,14 +175,40 @@ class Encoder:
         return self._encode(texts)
 
     def _encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [self._stretches(t) if t else None for t in texts]
-        for cache in (self.known, self.first):
-            if len(cache) > CACHE:
-                cache.clear()
-        self._learn(self.first, {c[0] for c in cut if c}, "")
-        self._learn(self.known, set().union(*[c[1:] for c in cut if c]), " ")
-        known, first = self.known, self.first
-        return [first[c[0]] + b"".join([known[w] for w in c[1:]]) if c else b"" for c in cut]
+        joined = pa.array([t or "" for t in texts], pa.large_string())
+        if not len(joined):
+            return []
+        _, at, held = joined.buffers()
+        offsets = np.frombuffer(at, dtype=np.int64)[:len(texts) + 1]
+        if not offsets[-1]:
+            return [b""] * len(texts)
+        bounds = self._bounds(np.frombuffer(held, dtype=np.uint8)[:offsets[-1]], offsets)
+        cut = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int64)), held).dictionary_encode()
+        if len(self.known) > CACHE:
+            self.known.clear()
+        words = cut.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.known.get, words))
+        new = [i for i, found in enumerate(ids) if found is None]
+        self._learn([words[i] for i in new])
+        for i in new:
+            ids[i] = self.known[words[i]]
+        ends = np.cumsum([0, *map(len, ids)], dtype=np.int64) // 4
+        lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), dtype="<u4")))
+        lists = lists.take(cut.indices)
+        flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+        ends = ends[np.searchsorted(bounds, offsets)]
+        return [flat[s:e].tobytes() for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+
+def _mark_wide_spaces(data: np.ndarray, space: np.ndarray) -> None:
+    """Set ``space`` at the bytes of the white space beyond ASCII."""
+    for lead, rest in ((0xC2, (b"\x85", b"\xa0")), (0xE1, (b"\x9a\x80",)), (0xE3, (b"\x80\x80",)),
+                       (0xE2, (*(bytes([0x80, x]) for x in (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF)), b"\x81\x9f"))):
+        at = np.flatnonzero(data == lead)           # the bytes of a character are all there
+        for tail in rest if len(at) else ():
+            hit = at[np.logical_and.reduce([data[at + 1 + k] == b for k, b in enumerate(tail)])]
+            for k in range(len(tail) + 1):
+                space[hit + k] = True
 
 
 def shared_encoder(json) -> Encoder:
@@ -158,7 +230,7 @@ def broadcast_tokenizer(spark, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def slices(batch, column: int, rows: int = 256, chars: int = 4_000_000):
+def slices(batch, column: int, rows: int = 1024, chars: int = 4_000_000):
     """``(start, texts)`` pieces of a batch of bounded size (a longer text is
     a piece of its own)."""
     texts, start, held = [], 0, 0

@@ -324,6 +324,23 @@ def test_encoder_equals_library():
             assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_encoder_asks_for_runs_once():
+    """New words of known runs, and words met again, are not asked for."""
+    from kestrel.llm.tokens import Encoder
+    asked = []
+
+    class Counting(Encoder):
+        def _ask(self, tok, new, words):
+            asked.extend(new)
+            super()._ask(tok, new, words)
+    for name, want in ((WORD_TOKENIZER, ["one", ",", " two", "!", " one"]), (BYTE_TOKENIZER, ["one", ",", " two", "!", " one"])):
+        enc = Counting(open(tokenizer_path(name), encoding="utf-8").read())
+        enc.encode(["one, two!", "one! two, one", None])
+        enc.encode(["one! two,", ""])
+        assert sorted(asked) == sorted(want)
+        asked.clear()
+
+
 @pytest.mark.parametrize("name", [WORD_TOKENIZER, BYTE_TOKENIZER])
 def test_tokens_equal_the_default_call(spark, name, scratch):
     """Strings of added tokens get the ids of the library's default call."""
