@@ -53,13 +53,15 @@ def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     the text that is left."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     hits = line_dedup.recurring_lines(docs)
-    left = line_dedup.drop_lines(docs.withColumn("kept", F.col("text")), hits, text="kept")
+    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    # only the figures of a text go on, not the text
+    left = line_dedup.drop_lines(docs.withColumn("kept", F.col("text")), hits, text="kept").select(
+        "doc_id", F.coalesce(breaks + 1, F.lit(0)).cast("bigint").alias("n_lines"), F.length("kept").cast("bigint").alias("kept_chars"))
     places = hits.select(F.col("doc_id").alias("id"), F.size("lines").cast("bigint").alias("n"),
                          F.array_join(F.transform("lines", lambda x: x.cast("string")), ",").alias("places"))
     return left.join(places, F.col("doc_id") == F.col("id"), "left").select(
-        "doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("bigint").alias("n_lines"),
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("n_dropped"), F.coalesce("places", F.lit("")).alias("dropped"),
-        F.length("kept").cast("bigint").alias("kept_chars"))
+        "doc_id", "n_lines", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_dropped"),
+        F.coalesce("places", F.lit("")).alias("dropped"), "kept_chars")
 
 
 def op5_url_filter(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,6 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 from kestrel.llm import language_id, line_dedup, ngram_join, packing, url_filter
 from kestrel.llm.queries import BYTE_TOKENIZER, QUERIES, URL_RULES, WORD_TOKENIZER, tokenizer_path
 
@@ -183,6 +184,20 @@ def test_op5_url_filter(spark):
         assert r["verdict"] == (URL_RULES[want] if want else "allow")
 
 
+def test_op4_query_sends_no_texts_to_its_last_join(spark, tmp_path):
+    """The figures of a text, not the text, are exchanged for the join with the places; they count empty and open lines."""
+    rows = [(1, "a\n\nb"), (2, ""), (3, None), (4, "x\n"), (None, "y"), (1, "a\n\nb")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = QUERIES["op4_line_dedup"](spark, str(tmp_path))
+    got = sorted(tuple(r) for r in out.select(F.coalesce("doc_id", F.lit(0)), "n_lines", "n_dropped", "dropped", F.coalesce("kept_chars", F.lit(-1))).collect())
+    assert got == [(0, 1, 0, "", 1), (1, 3, 0, "", 4), (1, 3, 0, "", 4), (2, 1, 0, "", 0), (3, 0, 0, "", -1), (4, 2, 0, "", 2)]
+    plan = out._jdf.queryExecution().optimizedPlan()
+    joins = [plan]
+    while "Join" not in joins[-1].nodeName():
+        joins.append(joins[-1].children().apply(0))
+    assert "text" not in [a.name() for a in [joins[-1].left().output().apply(i) for i in range(joins[-1].left().output().size())]]
+
+
 def test_op5_templates_learn_from_rules(spark):
     """A host's template is rejected by its blocked examples only where it has some."""
     urls = [(i, f"http://a.org/shop/{i}/buy") for i in range(20)] + [(100 + i, f"http://a.org/news/{i}") for i in range(20)]
