@@ -5,8 +5,10 @@ from __future__ import annotations
 
 import sys
 import types
+from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ..session import work_dir
@@ -22,6 +24,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark, size: int = 4 << 20):
+    """Rows of the jobs run inside go to Python in batches of about ``size``
+    bytes (a longer row is one of its own).  By default a batch may hold 64 MB
+    of texts, and the executor holds it several times over: as it is made, as
+    it is read, and the one before."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(size, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def drop_tables(*dfs: DataFrame) -> None:
     """Delete the files of tables made by ``materialize`` that no later step
     reads."""
@@ -57,6 +74,13 @@ def release_worker_cache() -> None:
     if holder is not None:
         for name in [n for n in vars(holder) if not n.startswith("__")]:
             delattr(holder, name)
+    release_buffers()
+
+
+def release_buffers() -> None:
+    """Give the memory that Arrow's pool keeps of freed buffers back: a pool
+    never shrinks by itself, so a worker would hold its largest call's."""
+    pa.default_memory_pool().release_unused()
 
 
 # ------------------------------------------------------------- word hashing

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, small_batches
 from .tokens import broadcast_tokenizer, shared_encoder, slices
 
 
@@ -133,4 +133,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text
     Null and empty texts have the end id only.  Repeated rows are documents of
     their own; null ids are kept.  An empty table gives an empty result.
     Other columns are not read."""
-    return pack(materialize(token_pieces(docs, tokenizer, doc_id, text, capacity, end_id), "pieces"), capacity, shard_pieces)
+    with small_batches(docs.sparkSession):
+        pieces = materialize(token_pieces(docs, tokenizer, doc_id, text, capacity, end_id), "pieces")
+    return pack(pieces, capacity, shard_pieces)

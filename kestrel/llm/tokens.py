@@ -28,6 +28,8 @@ import re
 import numpy as np
 import pyarrow as pa
 
+from .common import release_buffers, worker_cache
+
 CACHE = 600_000
 _ASCII_SPACE = "\t\n\x0b\f\r "
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -67,18 +69,16 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_str(json)
         self.tok.encode_special_tokens = True       # stretches hold none; whole texts with one go to `whole`
-        self.whole, self.has_added = None, None
-        tokens = [t for t in json_lib.loads(json).get("added_tokens") or [] if t.get("content")]
+        self.json, self.whole, self.has_added = json, None, None
+        spec = json_lib.loads(json)
+        tokens = [t for t in spec.get("added_tokens") or [] if t.get("content")]
         if added and tokens:
-            self.whole = Tokenizer.from_str(json)
-            self.whole.no_padding()
-            self.whole.no_truncation()
             exact = [t["content"] for t in tokens if not t.get("normalized")]
             # the others are looked for in the normalized text, so any text may hold them
             self.has_added = (lambda t: any(c in t for c in exact)) if len(exact) == len(tokens) else (lambda t: True)
         self.tok.no_padding()
         self.tok.no_truncation()
-        self.plan = _plan(json_lib.loads(json))
+        self.plan = _plan(spec)
         self.known: dict[str, bytes] = {}           # run or stretch, with the white space before it -> ids
         self.merges = Tokenizer(self.tok.model)     # no normalizer, no first step
         as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -166,13 +166,19 @@ class Encoder:
         new[1:] &= kind[:-1] != _SPACE
         start[:-1] |= new & np.repeat(fine, np.diff(bounds))
 
+    def _encode_whole(self, text: str) -> bytes:
+        if self.whole is None:                      # a second copy of the vocabulary: few corpora need it
+            from tokenizers import Tokenizer
+            self.whole = Tokenizer.from_str(self.json)
+            self.whole.no_padding()
+            self.whole.no_truncation()
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if self.has_added:
-            held = [bool(t) and self.has_added(t) for t in texts]
-            rest = iter(self._encode([t for t, h in zip(texts, held) if not h]))
-            return [np.array(self.whole.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if h else next(rest)
-                    for t, h in zip(texts, held)]
-        return self._encode(texts)
+        held = [bool(t) and self.has_added(t) for t in texts] if self.has_added else [False] * len(texts)
+        rest = iter(self._encode([t for t, h in zip(texts, held) if not h]))
+        release_buffers()                           # those of the cut texts, several times their size
+        return [self._encode_whole(t) if h else next(rest) for t, h in zip(texts, held)]
 
     def _encode(self, texts: list[str | None]) -> list[bytes]:
         joined = pa.array([t or "" for t in texts], pa.large_string())
@@ -216,8 +222,8 @@ def shared_encoder(json) -> Encoder:
     import hashlib
     import os
 
-    from .common import worker_cache
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # Spark runs one task per core
+    release_buffers()                               # of an earlier operator
     text = json.value
     name = "encoder_" + hashlib.sha1(text.encode()).hexdigest()[:12]
     return worker_cache(name, lambda: Encoder(text, added=True))
@@ -230,7 +236,7 @@ def broadcast_tokenizer(spark, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def slices(batch, column: int, rows: int = 1024, chars: int = 4_000_000):
+def slices(batch, column: int, rows: int = 1024, chars: int = 1_000_000):
     """``(start, texts)`` pieces of a batch of bounded size (a longer text is
     a piece of its own)."""
     texts, start, held = [], 0, 0

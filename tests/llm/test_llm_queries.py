@@ -356,6 +356,40 @@ def test_encoder_asks_for_runs_once():
         asked.clear()
 
 
+def test_encoder_loads_the_vocabulary_again_only_for_added_tokens():
+    from tokenizers import Tokenizer
+    from kestrel.llm.tokens import Encoder
+    enc = Encoder(open(tokenizer_path(WORD_TOKENIZER), encoding="utf-8").read(), added=True)
+    enc.encode(["plain words, 12", None])
+    assert enc.whole is None
+    text = "a <|endoftext|> b"
+    assert np.frombuffer(enc.encode([text])[0], dtype="<u4").tolist() == \
+        Tokenizer.from_file(tokenizer_path(WORD_TOKENIZER)).encode(text, add_special_tokens=False).ids
+
+
+def test_packing_holds_few_texts_at_a_time(spark, scratch, monkeypatch):
+    """Texts reach Python in batches of a few MB and the encoder in calls of a
+    million characters; the session's setting is as before."""
+    from kestrel.llm import tokens
+    log = f"{scratch}/sizes"
+
+    def noted(batch, column):
+        for at, texts in tokens.slices(batch, column):
+            with open(log, "a") as f:
+                f.write(f"{batch.nbytes} {sum(map(len, texts))} {len(texts)}\n")
+            yield at, texts
+    monkeypatch.setattr(packing, "slices", noted)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(400, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("abcd "), 10_000).alias("text"))
+    got = packing.pack_documents(docs, tokenizer_path(WORD_TOKENIZER))
+    assert got.groupBy("doc_id").agg(F.sum("length").alias("n")).distinct().count() == 400
+    assert spark.conf.get(key) == before
+    sizes = [tuple(map(int, x.split())) for x in open(log)]
+    assert sum(n for _, _, n in sizes) == 400
+    assert max(b for b, _, _ in sizes) < 8 << 20 and max(c for _, c, _ in sizes) <= 1_000_000
+
+
 @pytest.mark.parametrize("name", [WORD_TOKENIZER, BYTE_TOKENIZER])
 def test_tokens_equal_the_default_call(spark, name, scratch):
     """Strings of added tokens get the ids of the library's default call."""
