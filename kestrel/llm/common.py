@@ -3,6 +3,7 @@ caches, vectorised word hashing."""
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from contextlib import contextmanager
@@ -75,6 +76,9 @@ def release_worker_cache() -> None:
         for name in [n for n in vars(holder) if not n.startswith("__")]:
             delattr(holder, name)
     release_buffers()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc keeps freed memory as well
+    if trim is not None:
+        trim(0)
 
 
 def release_buffers() -> None:
