@@ -24,10 +24,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from ..plans.joins import broadcast_if_small
 from .tokens import broadcast_tokenizer, shared_encoder, slices
 
+CALL_CHARS = 2_000_000          # of an encoder call: a word is looked up once a call
 DELTA = ("doc_id", "row", "local_start", "n_tokens", "shard")
 
 
@@ -40,7 +42,7 @@ def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         enc = shared_encoder(json)
         row, start = 0, 0
         for b in batches:
-            for at, texts in slices(b, 1):
+            for at, texts in slices(b, 1, 2048, CALL_CHARS):
                 parts = [ids + end for ids in enc.encode(texts)]
                 sizes = np.array([len(p) // 4 for p in parts], dtype=np.int64)
                 ends = np.concatenate(([0], np.cumsum(sizes)))
@@ -51,7 +53,9 @@ def _encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                     names=["doc_id", "row", "local_start", "n_tokens", "ids"])
                 row += len(texts)
                 start += int(ends[-1])
-    return docs.mapInArrow(run, "doc_id bigint, row bigint, local_start bigint, n_tokens bigint, ids array<int>")
+    schema = StructType([*(StructField(c, LongType()) for c in ("doc_id", "row", "local_start", "n_tokens")),
+                         StructField("ids", ArrayType(IntegerType(), containsNull=False))])
+    return docs.mapInArrow(run, schema)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text",

@@ -9,7 +9,7 @@ first step makes of it (letters, digits, other signs, line breaks).  The texts
 of a call are cut together, byte by byte in numpy, and Arrow numbers the
 distinct pieces, so Python sees each distinct one once a call.  Each worker
 process keeps the ids of pieces it has met (at most ``CACHE`` and those of one
-call).
+call); when these are too many, it forgets those that one call alone has met.
 
 For new runs the library's merge model is asked, which skips the library's
 general normalising and splitting.  Any other stretch, and every stretch of a
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import json as json_lib
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -79,7 +80,7 @@ class Encoder:
         self.tok.no_padding()
         self.tok.no_truncation()
         self.plan = _plan(spec)
-        self.known: dict[str, bytes] = {}           # run or stretch, with the white space before it -> ids
+        self._forget()
         self.merges = Tokenizer(self.tok.model)     # no normalizer, no first step
         as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in (10, 32, *range(0xC0, 0x100))}
@@ -88,37 +89,65 @@ class Encoder:
         line = "" if self.plan == "word" else r"|\n"
         self.is_run = re.compile(rf"{blank}[{_LETTER}]+|{digits}|{blank}[{_SIGN}]+{line}").fullmatch
 
+    def _forget(self) -> None:
+        """Start with nothing known."""
+        self.known: dict[str, int] = {}             # run or stretch, with the white space before it -> number, from 0 in order
+        self.ends = np.zeros(1024, dtype=np.int64)  # the ids of number k are those from ends[k] to ends[k + 1]
+        self.ids = np.empty(4096, dtype="<u4")
+        self.again = np.zeros(1024, dtype=bool)     # whether a later call met the piece
+
+    def _keep(self, words: list[str], ids: np.ndarray, sizes) -> None:
+        """``words`` are known from now on: their ids, one word's after the other."""
+        n, held = len(self.known), int(self.ends[len(self.known)])
+        while len(self.ends) <= n + len(words):
+            self.ends, self.again = (np.append(x, np.zeros_like(x)) for x in (self.ends, self.again))
+        while len(self.ids) < held + len(ids):
+            self.ids = np.append(self.ids, np.empty_like(self.ids))
+        self.known.update(zip(words, range(n, n + len(words))))
+        self.ends[n + 1:n + 1 + len(words)] = held + np.cumsum(sizes)
+        self.ids[held:held + len(ids)] = ids
+
+    def _known_lists(self) -> pa.LargeListArray:
+        n = len(self.known)
+        return pa.LargeListArray.from_arrays(pa.array(self.ends[:n + 1]), pa.array(self.ids[:self.ends[n]]))
+
+    def _make_room(self) -> None:
+        """Forget the pieces that one call alone has met; all, if the others
+        leave too little room."""
+        old = np.flatnonzero(self.again[:len(self.known)])
+        words, lists = list(self.known), self._known_lists()
+        self._forget()
+        if len(old) <= CACHE // 2:
+            kept = lists.take(pa.array(old))
+            self._keep([words[i] for i in old.tolist()], kept.values.to_numpy(), np.diff(kept.offsets.to_numpy()))
+
     def _ask(self, tok, new: list[str], words: list[str]) -> None:
         """Keep ``tok``'s ids of ``words`` as those of ``new``."""
         for s in range(0, len(new), 4096):
-            part = words[s:s + 4096]            # one call for all: each is a word of the input, counted by number
-            e = tok.encode_batch([part], is_pretokenized=True, add_special_tokens=False)[0]
-            raw = np.array(e.ids, dtype="<u4").tobytes()
-            ends = 4 * np.cumsum(np.bincount(np.array(e.word_ids, dtype=np.int64), minlength=len(part)))
-            at = 0
-            for w, end in zip(new[s:s + 4096], ends.tolist()):
-                self.known[w] = raw[at:end]
-                at = end
+            part = words[s:s + 4096]
+            if tok is self.merges:              # the model alone: nothing is normalized, cut or added
+                found = [[t.id for t in tokens] for tokens in map(tok.model.tokenize, part)]
+                ids, sizes = list(chain.from_iterable(found)), list(map(len, found))
+            else:                               # one call for all: each is a word of the input, counted by number
+                e = tok.encode_batch([part], is_pretokenized=True, add_special_tokens=False)[0]
+                ids, sizes = e.ids, np.bincount(np.array(e.word_ids, dtype=np.int64), minlength=len(part))
+            self._keep(new[s:s + 4096], np.array(ids, dtype="<u4"), sizes)
 
     def _learn(self, new: list[str]) -> None:
-        is_run, letters, word, known = self.is_run, self.letters, self.plan == "word", self.known
-        blank = letters[32]
-        runs, signs, other = [], [], []
-        for w in new:
-            body = w.lstrip(_ASCII_SPACE) if word else w
-            if not body:
-                known[w] = b""
-            elif self.plan and is_run(body):
-                if word:
-                    body = body.lower()
-                runs.append(w)
-                if not body.isascii() or body == "\n":
-                    signs.append(body.translate(letters))
-                else:                               # of ASCII only the blank has another sign
-                    signs.append(blank + body[1:] if body[0] == " " else body)
-            else:
-                other.append(w)
-        self._ask(self.merges, runs, signs)
+        word, letters = self.plan == "word", self.letters
+        bodies = [w.lstrip(_ASCII_SPACE) for w in new] if word else new
+        is_run = self.is_run if self.plan else lambda body: None
+        runs, ascii_runs, other, none = [], [], [], []
+        for w, body in zip(new, bodies):
+            (none if not body else other if not is_run(body) else ascii_runs if body.isascii() else runs).append(w)
+        if none:
+            self._keep(none, np.empty(0, dtype="<u4"), np.zeros(len(none), dtype=np.int64))
+        signs = [w.lstrip(_ASCII_SPACE).lower() for w in runs] if word else runs
+        self._ask(self.merges, runs, [w.translate(letters) for w in signs])
+        # of ASCII only the blank and the line break have other signs; no run holds a tab
+        signs = "\t".join([w.lstrip(_ASCII_SPACE) for w in ascii_runs] if word else ascii_runs)
+        signs = (signs.lower() if word else signs).replace(" ", letters[32]).replace("\n", letters[10])
+        self._ask(self.merges, ascii_runs, signs.split("\t"))
         self._ask(self.tok, other, other)
 
     def _bounds(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -191,16 +220,16 @@ class Encoder:
         bounds = self._bounds(np.frombuffer(held, dtype=np.uint8)[:offsets[-1]], offsets)
         cut = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int64)), held).dictionary_encode()
         if len(self.known) > CACHE:
-            self.known.clear()
-        words = cut.dictionary.to_numpy(zero_copy_only=False).tolist()
-        ids = list(map(self.known.get, words))
-        new = [i for i, found in enumerate(ids) if found is None]
+            self._make_room()
+        words, known = cut.dictionary.to_numpy(zero_copy_only=False).tolist(), self.known
+        numbers = list(map(known.get, words))
+        new = [i for i, k in enumerate(numbers) if k is None]
         self._learn([words[i] for i in new])
         for i in new:
-            ids[i] = self.known[words[i]]
-        ends = np.cumsum([0, *map(len, ids)], dtype=np.int64) // 4
-        lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), dtype="<u4")))
-        lists = lists.take(cut.indices)
+            numbers[i] = known[words[i]]
+        numbers = np.array(numbers, dtype=np.int64)
+        self.again[np.delete(numbers, new)] = True
+        lists = self._known_lists().take(pa.array(numbers)).take(cut.indices)   # the call's own first: they lie close
         flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
         ends = ends[np.searchsorted(bounds, offsets)]
         return [flat[s:e].tobytes() for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]

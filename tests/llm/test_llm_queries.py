@@ -356,6 +356,41 @@ def test_encoder_asks_for_runs_once():
         asked.clear()
 
 
+def test_encoder_keeps_words_met_again_when_it_is_full(monkeypatch):
+    """Beyond ``CACHE`` pieces those of one call alone are forgotten."""
+    from kestrel.llm import tokens
+    from tokenizers import Tokenizer
+    asked = []
+
+    class Counting(tokens.Encoder):
+        def _ask(self, tok, new, words):
+            asked.extend(new)
+            super()._ask(tok, new, words)
+    monkeypatch.setattr(tokens, "CACHE", 8)
+    for name in (WORD_TOKENIZER, BYTE_TOKENIZER):
+        tok = Tokenizer.from_file(tokenizer_path(name))
+        enc = Counting(open(tokenizer_path(name), encoding="utf-8").read())
+        texts = [f"often größer {x} it's" for x in ("a", "b", "c d e f", "g h i j", "k l m n")]
+        for t in texts:
+            assert np.frombuffer(enc.encode([t])[0], dtype="<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
+        assert len(asked) == len(set(asked)) and len(enc.known) < 12
+        many = "1 2 3 4 5 6 7 8 9 :"
+        for _ in range(3):                      # more pieces met again than it may keep
+            assert np.frombuffer(enc.encode([many])[0], dtype="<u4").tolist() == tok.encode(many, add_special_tokens=False).ids
+        asked.clear()
+
+
+def test_op9_files_have_no_null_ids(spark, scratch):
+    """The elements of the lists are required: nothing is written or read for their absence."""
+    from kestrel.llm import token_files
+    path = f"{scratch}/required"
+    token_files.write_tokens(spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string"), path, tokenizer_path(BYTE_TOKENIZER), shards=1)
+    import glob
+    file = pq.ParquetFile(glob.glob(f"{path}/tokens/*.parquet")[0])
+    assert not file.schema_arrow.field("ids").type.value_field.nullable
+    assert [r["ids"][-1] for r in token_files.read_tokens(spark, path).collect()] == [2, 2]
+
+
 def test_encoder_loads_the_vocabulary_again_only_for_added_tokens():
     from tokenizers import Tokenizer
     from kestrel.llm.tokens import Encoder
