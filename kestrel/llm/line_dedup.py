@@ -49,6 +49,7 @@ FIELD = "<*>"
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\u30fc\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 # white space beyond ASCII (the Unicode separators, next line)
 WIDE_SPACE = r"\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WIDE = rf"[\x80-\uffff&&[{WIDE_SPACE}]]"    # the same, ASCII told apart in one comparison
 SIGNS_A_WORD = 3                # and so many of them are as long as a word
 CHARS_A_WORD = 10               # a line has at least one word for so many characters
 RUN_WORDS = 16                  # words of a run of short lines that recur together
@@ -67,7 +68,7 @@ def _parsed(docs: DataFrame, depth: int, long_tokens: int) -> DataFrame:
     text = F.col("text")
     ascii_only = F.octet_length(text) == F.length(text)
     uneven = functools.reduce(lambda a, b: a | b, [text.contains(x) for x in ("  ", " \n", "\n ", "\t", "\r", "\x0b", "\f")],
-                              text.startswith(" ") | text.endswith(" ")) | (~ascii_only & text.rlike(f"[{WIDE_SPACE}]"))
+                              text.startswith(" ") | text.endswith(" ")) | (~ascii_only & text.rlike(WIDE))
     even = F.btrim(F.regexp_replace(F.regexp_replace(text, f"[ \t\x0b\f\r{WIDE_SPACE}]+", " "), " ?\n ?", "\n"), F.lit(" "))
     far = ~ascii_only & text.rlike("[^\\x00-\\u0dff\\u2000-\\u2bff]")              # beyond the scripts with blanks: look closer
     out = docs.select("doc_id", F.when(uneven, even).otherwise(text).alias("plain"), far.alias("far"))
@@ -76,15 +77,16 @@ def _parsed(docs: DataFrame, depth: int, long_tokens: int) -> DataFrame:
     apart = F.btrim(F.regexp_replace(F.regexp_replace(apart, " +", " "), " ?\n ?", "\n"), F.lit(" "))
     out = out.select("doc_id", "plain", "unspaced", F.when(F.col("unspaced"), apart).otherwise(F.col("plain")).alias("text"))
     masked = F.regexp_replace("text", r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", FIELD)
-    out = out.select("doc_id", "unspaced", "text", F.when(F.col("text").rlike("[0-9]"), masked).otherwise(F.col("text")).alias("masked"), "plain")
-    lines = lambda c: F.split(c, "\n")                                             # noqa: E731
-    zipped = F.arrays_zip(lines("text").alias("line"), lines("masked").alias("masked"),
-                          F.when(F.col("unspaced"), lines("plain")).otherwise(F.array().cast("array<string>")).alias("plain"))
+    out = out.select("doc_id", "unspaced", "text", F.when(F.col("text").rlike("[0-9]"), masked).alias("masked"), "plain")
+    # cut only where it differs from the text
+    lines = lambda c, where: F.when(where, F.split(c, "\n")).otherwise(F.array().cast("array<string>"))
+    zipped = F.arrays_zip(F.split("text", "\n").alias("line"), lines("masked", F.col("masked").isNotNull()).alias("masked"),
+                          lines("plain", F.col("unspaced")).alias("plain"))
     out = out.select("doc_id", F.posexplode_outer(zipped).alias("pos", "l")) \
-             .select("doc_id", "pos", F.col("l.line").alias("line"), F.col("l.masked").alias("masked"), F.col("l.plain").alias("plain"))
+             .select("doc_id", "pos", F.col("l.line").alias("line"), F.coalesce("l.masked", "l.line").alias("masked"), F.col("l.plain").alias("plain"))
     out = out.filter("line != ''")
     signs = F.when(F.col("plain").isNotNull(), F.length("plain") - F.length(F.regexp_replace("plain", UNSPACED, ""))).otherwise(0)
-    blanks = F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit("")))
+    blanks = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit("")))
     fields = F.when(F.col("line") != F.col("masked"), F.size(F.split("masked", r"(?<![^ ])<\*>(?![^ ])")) - 1).otherwise(0)
     out = out.select("doc_id", "pos", "line", "masked", signs.alias("signs"), (blanks + 1).alias("n"),
                      F.length(F.coalesce("plain", "line")).alias("chars"), fields.alias("n_var"))
@@ -185,8 +187,9 @@ def drop_lines(docs: DataFrame, hits: DataFrame, doc_id: str = "doc_id", text: s
     out of ``text``; columns and other rows stay as they are.  A document all
     of whose lines go keeps an empty text."""
     h = broadcast_if_small(hits.select(F.col("doc_id").alias("_hit_id"), F.col("lines").alias("_hit_lines")), SMALL_TABLE)
-    parts = F.split(F.col(text), "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_hit_lines"))
-    left = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
-    joined = docs.join(h, F.col(doc_id) == F.col("_hit_id"), "left")
-    return joined.withColumn(text, F.when(F.col("_hit_lines").isNull(), F.col(text)).otherwise(left)).drop("_hit_id", "_hit_lines")
+    # a column of its own: inside the function of `transform` the text would be cut again for every line
+    parts = F.when(F.col("_hit_lines").isNotNull(), F.split(F.col(text), "\n"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("_hit_parts") - 1), F.col("_hit_lines"))
+    left = F.array_join(F.transform(kept, lambda i: F.get("_hit_parts", i)), "\n")
+    joined = docs.join(h, F.col(doc_id) == F.col("_hit_id"), "left").withColumn("_hit_parts", parts)
+    return joined.withColumn(text, F.when(F.col("_hit_lines").isNull(), F.col(text)).otherwise(left)).drop("_hit_id", "_hit_lines", "_hit_parts")

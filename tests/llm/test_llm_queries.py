@@ -184,6 +184,29 @@ def test_op5_url_filter(spark):
         assert r["verdict"] == (URL_RULES[want] if want else "allow")
 
 
+def test_op4_cuts_a_text_once(spark):
+    """Not once per line: the cut text is a column, so the function of ``transform`` holds no ``split``."""
+    docs = spark.createDataFrame([(1, "a 1\n\nb\nc 2"), (2, "x\ny"), (3, None), (4, "z")], "doc_id long, text string")
+    hits = spark.createDataFrame([(1, [0, 2]), (4, [0])], "doc_id long, lines array<int>")
+    left = line_dedup.drop_lines(docs, hits)
+    assert left._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert {r["doc_id"]: r["text"] for r in left.collect()} == {1: "\nc 2", 2: "x\ny", 3: None, 4: ""}
+    assert left.columns == docs.columns
+
+
+def test_op4_parses_lines_with_and_without_fields(spark):
+    """Masked texts are cut only where they differ; wide blanks count as blanks."""
+    docs = spark.createDataFrame([(1, "one two 33 four\n\nno field here"), (2, "no field here"), (3, "no\u3000field\xa0here"),
+                                  (4, "gr\xf6\xdfer\u2003no  field"), (5, None)], "doc_id long, text string")
+    got = {(r["doc_id"], r["pos"]): r for r in line_dedup._parsed(docs, 3, 1).collect()}
+    assert {k: (r["n"], r["n_var"], r["masked"]) for k, r in got.items()} == {
+        (1, 0): (4, 1, "one two <*> four"), (1, 2): (3, 0, "no field here"), (2, 0): (3, 0, "no field here"),
+        (3, 0): (3, 0, "no field here"), (4, 0): (3, 0, "gr\xf6\xdfer no field")}
+    assert len({(got[k]["raw"], got[k]["form"], got[k]["leaf"]) for k in ((1, 2), (2, 0), (3, 0))}) == 1
+    plan = line_dedup._parsed(docs, 3, 8)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"isnotnull\(masked#\d+\) THEN split\(masked", plan)) == 1
+
+
 def test_op4_query_sends_no_texts_to_its_last_join(spark, tmp_path):
     """The figures of a text, not the text, are exchanged for the join with the places; they count empty and open lines."""
     rows = [(1, "a\n\nb"), (2, ""), (3, None), (4, "x\n"), (None, "y"), (1, "a\n\nb")]
