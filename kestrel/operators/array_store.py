@@ -19,6 +19,7 @@ statistics.  No join and no shuffle is needed to lay regions over each other.
 from __future__ import annotations
 
 import json
+import threading
 import uuid
 from collections.abc import Sequence
 
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 Region = Sequence[tuple[int, int]]
+_COMMIT = threading.Lock()      # the local file system looks for the target and renames in two steps
 
 
 def _inside(dims: Sequence[str], region: Region) -> Column:
@@ -91,7 +93,8 @@ class ArrayStore:
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration())
         plain = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)      # rename that refuses to overwrite
         try:
-            context.rename(tmp, target, plain)
+            with _COMMIT:
+                context.rename(tmp, target, plain)
             return True
         except Exception:
             if not fs.exists(target):
