@@ -75,8 +75,14 @@ def release_worker_cache() -> None:
     if holder is not None:
         for name in [n for n in vars(holder) if not n.startswith("__")]:
             delattr(holder, name)
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give back what this process has freed: Arrow's pool and glibc keep it
+    for their next use."""
     release_buffers()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc keeps freed memory as well
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
 

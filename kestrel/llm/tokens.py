@@ -8,8 +8,9 @@ letters, no apostrophe) is cut further into the runs that the vocabulary's own
 first step makes of it (letters, digits, other signs, line breaks).  The texts
 of a call are cut together, byte by byte in numpy, and Arrow numbers the
 distinct pieces, so Python sees each distinct one once a call.  Each worker
-process keeps the ids of pieces it has met (at most ``CACHE`` and those of one
-call); when these are too many, it forgets those that one call alone has met.
+process keeps the ids of pieces it has met (at most ``CACHE``, or what the
+operator asks for, and those of one call); when these are too many, it forgets
+those that one call alone has met.
 
 For new runs the library's merge model is asked, which skips the library's
 general normalising and splitting.  Any other stretch, and every stretch of a
@@ -29,7 +30,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from .common import release_buffers, worker_cache
+from .common import release_buffers, release_memory, release_worker_cache, worker_cache
 
 CACHE = 600_000
 _ASCII_SPACE = "\t\n\x0b\f\r "
@@ -64,10 +65,12 @@ def _plan(spec: dict) -> str | None:
 class Encoder:
     """Little-endian unsigned 32-bit ids of whole texts.  With ``added`` the
     strings of added tokens get their own ids, as the library has it by
-    default; without, they are ordinary text."""
+    default; without, they are ordinary text.  ``cache`` bounds the pieces
+    kept (``CACHE``): some 200 bytes each."""
 
-    def __init__(self, json: str, added: bool = False):
+    def __init__(self, json: str, added: bool = False, cache: int | None = None):
         from tokenizers import Tokenizer, pre_tokenizers
+        self.cache = CACHE if cache is None else cache
         self.tok = Tokenizer.from_str(json)
         self.tok.encode_special_tokens = True       # stretches hold none; whole texts with one go to `whole`
         self.json, self.whole, self.has_added = json, None, None
@@ -117,7 +120,7 @@ class Encoder:
         old = np.flatnonzero(self.again[:len(self.known)])
         words, lists = list(self.known), self._known_lists()
         self._forget()
-        if len(old) <= CACHE // 2:
+        if len(old) <= self.cache // 2:
             kept = lists.take(pa.array(old))
             self._keep([words[i] for i in old.tolist()], kept.values.to_numpy(), np.diff(kept.offsets.to_numpy()))
 
@@ -219,7 +222,7 @@ class Encoder:
             return [b""] * len(texts)
         bounds = self._bounds(np.frombuffer(held, dtype=np.uint8)[:offsets[-1]], offsets)
         cut = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int64)), held).dictionary_encode()
-        if len(self.known) > CACHE:
+        if len(self.known) > self.cache:
             self._make_room()
         words, known = cut.dictionary.to_numpy(zero_copy_only=False).tolist(), self.known
         numbers = list(map(known.get, words))
@@ -246,16 +249,23 @@ def _mark_wide_spaces(data: np.ndarray, space: np.ndarray) -> None:
                 space[hit + k] = True
 
 
-def shared_encoder(json) -> Encoder:
-    """The worker's encoder for a broadcast tokenizer file (its text)."""
+def shared_encoder(json, cache: int | None = None) -> Encoder:
+    """The worker's encoder for a broadcast tokenizer file (its text), which
+    keeps at most ``cache`` pieces.  A new one takes the place of whatever the
+    worker held for another operator."""
     import hashlib
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # Spark runs one task per core
-    release_buffers()                               # of an earlier operator
     text = json.value
-    name = "encoder_" + hashlib.sha1(text.encode()).hexdigest()[:12]
-    return worker_cache(name, lambda: Encoder(text, added=True))
+
+    def make() -> Encoder:
+        release_worker_cache()
+        enc = Encoder(text, added=True, cache=cache)
+        release_memory()                            # the parsed file is several times its text
+        return enc
+
+    return worker_cache(f"encoder_{hashlib.sha1(text.encode()).hexdigest()[:12]}_{cache}", make)
 
 
 def broadcast_tokenizer(spark, path: str):

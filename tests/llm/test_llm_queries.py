@@ -448,6 +448,62 @@ def test_packing_holds_few_texts_at_a_time(spark, scratch, monkeypatch):
     assert max(b for b, _, _ in sizes) < 8 << 20 and max(c for _, c, _ in sizes) <= 1_000_000
 
 
+def test_packing_keeps_few_pieces(spark, scratch, monkeypatch):
+    """600,000 different words: a worker keeps the ids of a bounded part."""
+    import sys
+    from kestrel.llm import tokens
+    log = f"{scratch}/known"
+
+    def noted(batch, column):
+        for at, texts in tokens.slices(batch, column):
+            yield at, texts
+            held = [e for e in vars(sys.modules["_kestrel_worker_cache"]).values() if hasattr(e, "known")]
+            with open(log, "a") as f:
+                f.write(f"{len(texts)} {len(held)} {sum(len(e.known) for e in held)}\n")
+    monkeypatch.setattr(packing, "slices", noted)
+    words = F.transform(F.sequence(F.lit(0), F.lit(9_999)), lambda x: F.translate((F.col("id") * 10_000 + x + 1_000_000).cast("string"),
+                                                                                  "0123456789", "abcdefghij"))
+    docs = spark.range(60, numPartitions=1).select(F.col("id").alias("doc_id"), F.array_join(words, " ").alias("text"))
+    got = packing.pack_documents(docs, tokenizer_path(WORD_TOKENIZER))
+    assert got.select("doc_id").distinct().count() == 60
+    seen = [tuple(map(int, x.split())) for x in open(log)]
+    assert sum(n for n, _, _ in seen) == 60 and {k for _, k, _ in seen} == {1}
+    assert max(known for _, _, known in seen) < 330_000       # 200,000 and those of one call
+
+
+def test_a_new_encoder_takes_the_place_of_others():
+    """A worker holds one vocabulary, not those of earlier operators too."""
+    import sys
+    from types import SimpleNamespace
+    from kestrel.llm import common, tokens
+    common.release_worker_cache()
+    common.worker_cache("earlier", lambda: "held")
+    try:
+        for name in (WORD_TOKENIZER, BYTE_TOKENIZER):
+            json = SimpleNamespace(value=open(tokenizer_path(name), encoding="utf-8").read())
+            enc = tokens.shared_encoder(json)
+            assert tokens.shared_encoder(json) is enc
+            assert [v for k, v in vars(sys.modules["_kestrel_worker_cache"]).items() if not k.startswith("__")] == [enc]
+    finally:
+        common.release_worker_cache()
+
+
+def test_pipeline_joins_in_small_batches(spark, monkeypatch):
+    """The n-gram stage's jobs send texts to Python a few MB at a time; the
+    session's setting is as before."""
+    import corpus_pipeline as P
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(key)
+    join = P.ngram_join.jaccard_components
+    monkeypatch.setattr(P.ngram_join, "jaccard_components", lambda docs: seen.append(int(spark.conf.get(key).rstrip("b"))) or join(docs))
+    words = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, words, "en", "a", 1), (2, words, "en", "a", 1), (3, "other words", "en", "a", 1), (None, None, None, None, None)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = P.keep_one_of_each_group(spark, docs, "")
+    assert seen and max(seen) <= 4 << 20 and spark.conf.get(key) == before
+    assert sorted((r["doc_id"] or 0) for r in got.collect()) == [0, 1, 3]
+
+
 @pytest.mark.parametrize("name", [WORD_TOKENIZER, BYTE_TOKENIZER])
 def test_tokens_equal_the_default_call(spark, name, scratch):
     """Strings of added tokens get the ids of the library's default call."""
