@@ -27,8 +27,6 @@ from pyspark.sql import functions as F
 from .common import materialize, small_batches
 from .tokens import broadcast_tokenizer, shared_encoder, slices
 
-CACHE = 200_000                 # pieces of text whose ids a worker keeps: with 600,000 it grows by some 75 MB
-
 
 def fullest(lengths: list[int], counts: np.ndarray, room: int) -> dict[int, int]:
     """Use of each length in the combination with the largest sum up to
@@ -85,14 +83,14 @@ def pack_lengths(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
-                 capacity: int = 4096, end_id: int = 1) -> DataFrame:
+                 capacity: int = 4096, end_id: int = 1, cache: int | None = None) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)`` of every piece of every
     row; the checksum is over little-endian unsigned 32-bit ids."""
     json = broadcast_tokenizer(docs.sparkSession, tokenizer)
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        enc = shared_encoder(json, CACHE)
+        enc = shared_encoder(json, cache)
         for b in batches:
             for at, texts in slices(b, 1):
                 rows: list[tuple] = []
@@ -128,13 +126,15 @@ def pack(pieces: DataFrame, capacity: int = 4096, shard_pieces: int = 200_000, s
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
-                   capacity: int = 4096, end_id: int = 1, shard_pieces: int = 200_000) -> DataFrame:
+                   capacity: int = 4096, end_id: int = 1, shard_pieces: int = 200_000, cache: int | None = None) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``: one
     row per piece of every row of ``docs``.
 
     Null and empty texts have the end id only.  Repeated rows are documents of
     their own; null ids are kept.  An empty table gives an empty result.
-    Other columns are not read."""
+    Other columns are not read.  ``cache`` bounds the pieces of text whose ids
+    a worker keeps (``tokens.CACHE``): a smaller one takes less memory and
+    more time."""
     with small_batches(docs.sparkSession):
-        pieces = materialize(token_pieces(docs, tokenizer, doc_id, text, capacity, end_id), "pieces")
+        pieces = materialize(token_pieces(docs, tokenizer, doc_id, text, capacity, end_id, cache), "pieces")
     return pack(pieces, capacity, shard_pieces)

@@ -448,8 +448,9 @@ def test_packing_holds_few_texts_at_a_time(spark, scratch, monkeypatch):
     assert max(b for b, _, _ in sizes) < 8 << 20 and max(c for _, c, _ in sizes) <= 1_000_000
 
 
-def test_packing_keeps_few_pieces(spark, scratch, monkeypatch):
+def test_pipeline_packing_keeps_few_pieces(spark, scratch, monkeypatch):
     """600,000 different words: a worker keeps the ids of a bounded part."""
+    import corpus_pipeline as P
     import sys
     from kestrel.llm import tokens
     log = f"{scratch}/known"
@@ -464,7 +465,7 @@ def test_packing_keeps_few_pieces(spark, scratch, monkeypatch):
     words = F.transform(F.sequence(F.lit(0), F.lit(9_999)), lambda x: F.translate((F.col("id") * 10_000 + x + 1_000_000).cast("string"),
                                                                                   "0123456789", "abcdefghij"))
     docs = spark.range(60, numPartitions=1).select(F.col("id").alias("doc_id"), F.array_join(words, " ").alias("text"))
-    got = packing.pack_documents(docs, tokenizer_path(WORD_TOKENIZER))
+    got = P.pack_sequences(spark, docs, "")
     assert got.select("doc_id").distinct().count() == 60
     seen = [tuple(map(int, x.split())) for x in open(log)]
     assert sum(n for n, _, _ in seen) == 60 and {k for _, k, _ in seen} == {1}
